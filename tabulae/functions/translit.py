@@ -1,0 +1,90 @@
+"""Accent transliteration to ASCII as native Spark expressions.
+
+Registry files are ISO-8859-1, so every non-ASCII character they can hold is
+in U+0080..U+00FF: a finite table.  One-to-one letters go through a single
+``translate`` (which also deletes characters mapped to nothing); the few
+one-to-many entries are plain ``replace`` calls, only evaluated on rows that
+contain one of them.  Everything stays inside whole-stage codegen; no Python
+runs per row.
+"""
+
+from __future__ import annotations
+
+import unicodedata
+from functools import reduce
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# FIXED VALUES: ASCII spelling of U+00A0 .. U+00FF, in code-point order
+# (the usual transliteration of the Latin-1 supplement).
+LATIN1_ASCII = [
+    # U+00A0 .. U+00AF
+    " ", "!", "C/", "PS", "$?", "Y=", "|", "SS", '"', "(c)", "a", "<<", "!", "", "(r)", "-",
+    # U+00B0 .. U+00BF
+    "deg", "+-", "2", "3", "'", "u", "P", "*", ",", "1", "o", ">>", " 1/4", " 1/2", " 3/4", "?",
+    # U+00C0 .. U+00CF
+    "A", "A", "A", "A", "A", "A", "AE", "C", "E", "E", "E", "E", "I", "I", "I", "I",
+    # U+00D0 .. U+00DF
+    "D", "N", "O", "O", "O", "O", "O", "x", "O", "U", "U", "U", "U", "Y", "Th", "ss",
+    # U+00E0 .. U+00EF
+    "a", "a", "a", "a", "a", "a", "ae", "c", "e", "e", "e", "e", "i", "i", "i", "i",
+    # U+00F0 .. U+00FF
+    "d", "n", "o", "o", "o", "o", "o", "/", "o", "u", "u", "u", "u", "y", "th", "y",
+]
+
+# FIXED VALUES: Latin Extended-A letters that have no canonical decomposition.
+EXTENDED_A_SPECIAL = {
+    "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "Ĳ": "IJ", "ĳ": "ij",
+    "Ł": "L", "ł": "l", "Œ": "OE", "œ": "oe", "Ŧ": "T", "ŧ": "t", "ſ": "s",
+}
+
+
+def _build_table() -> dict[str, str]:
+    table: dict[str, str] = {}
+    # C1 control characters carry no text: removed.
+    for cp in range(0x80, 0xA0):
+        table[chr(cp)] = ""
+    for i, ascii_form in enumerate(LATIN1_ASCII):
+        table[chr(0xA0 + i)] = ascii_form
+    # Latin Extended-A (U+0100..U+017F) by rule: the base letter of the
+    # canonical decomposition, when that base is ASCII.
+    for cp in range(0x100, 0x180):
+        ch = chr(cp)
+        if ch in EXTENDED_A_SPECIAL:
+            table[ch] = EXTENDED_A_SPECIAL[ch]
+            continue
+        base = unicodedata.normalize("NFD", ch)[0]
+        if base.isascii() and base.isalpha():
+            table[ch] = base
+    return table
+
+
+TABLE = _build_table()
+
+# translate(): source chars with a one-char target, then chars to delete.
+_ONE = {k: v for k, v in TABLE.items() if len(v) == 1}
+_DELETE = [k for k, v in TABLE.items() if v == ""]
+TRANSLATE_FROM = "".join(_ONE) + "".join(_DELETE)
+TRANSLATE_TO = "".join(_ONE.values())
+MULTI = {k: v for k, v in TABLE.items() if len(v) > 1}
+_MULTI_CLASS = "[" + "".join(MULTI) + "]"
+
+
+def translit(c: Column) -> Column:
+    """Transliterate accented text to ASCII (null stays null)."""
+    one = F.translate(c, TRANSLATE_FROM, TRANSLATE_TO)
+    many = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), MULTI.items(), one)
+    return F.when(one.rlike(_MULTI_CLASS), many).otherwise(one)
+
+
+def translit_sql(expr: str) -> str:
+    """The same mapping as portable SQL (DuckDB/ANSI ``translate``/``replace``)."""
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    out = f"translate({expr}, {q(TRANSLATE_FROM)}, {q(TRANSLATE_TO)})"
+    for k, v in MULTI.items():
+        out = f"replace({out}, {q(k)}, {q(v)})"
+    return out

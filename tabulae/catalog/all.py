@@ -6,3 +6,6 @@ from tabulae.catalog import registry_q
 
 CATALOG: dict = {}
 CATALOG.update(registry_q.QUERIES)
+from tabulae.catalog import ops_q  # noqa: E402
+
+CATALOG.update(ops_q.Q)

@@ -9,3 +9,6 @@ CATALOG.update(registry_q.QUERIES)
 from tabulae.catalog import ops_q  # noqa: E402
 
 CATALOG.update(ops_q.Q)
+from tabulae.catalog import trade_q  # noqa: E402
+
+CATALOG.update(trade_q.QUERIES)

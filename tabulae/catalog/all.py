@@ -12,3 +12,6 @@ CATALOG.update(ops_q.Q)
 from tabulae.catalog import trade_q  # noqa: E402
 
 CATALOG.update(trade_q.QUERIES)
+from tabulae.catalog import io_q  # noqa: E402
+
+CATALOG.update(io_q.Q)

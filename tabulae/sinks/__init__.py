@@ -31,3 +31,26 @@ def write_table(
             header="true", quote='"', escape='"',
             ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
         ).csv(path)
+
+
+def write_delimited(
+    df: DataFrame,
+    path: str,
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+    header: bool = False,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+) -> None:
+    """Write raw-format delimited text (e.g. to stage or publish a registry file).
+
+    Quotes are escaped by doubling them, and blanks are kept, so the text
+    reads back exactly with ``sources.scan_delimited``.
+    """
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.options(
+        sep=sep, encoding=encoding, header="true" if header else "false", quote='"', escape='"',
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+    ).csv(path)

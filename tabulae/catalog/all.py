@@ -15,3 +15,6 @@ CATALOG.update(trade_q.QUERIES)
 from tabulae.catalog import io_q  # noqa: E402
 
 CATALOG.update(io_q.Q)
+from tabulae.catalog import jobs_q  # noqa: E402
+
+CATALOG.update(jobs_q.Q)

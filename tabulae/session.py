@@ -41,24 +41,26 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    root = spark.conf.get(_CKPT_KEY, None)
+    sc = spark.sparkContext
+    root = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if root:
         return root
-    try:
-        root = spark.sparkContext.getCheckpointDir()
-    except Exception:  # pragma: no cover - very old pyspark
-        root = None
-    return root or None
+    return sc.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint root, creating a local one only if none is set."""
+    """Return the checkpoint root, creating a local one only if none is set.
+
+    ``DataFrame.checkpoint`` needs the context's directory set too; it is
+    pointed at the configured shared folder when that is known.
+    """
+    sc = spark.sparkContext
     root = checkpoint_root(spark)
-    if root:
-        return root
-    root = tempfile.mkdtemp(prefix="tabulae-ckpt-")
-    spark.conf.set(_CKPT_KEY, root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not root:
+        root = tempfile.mkdtemp(prefix="tabulae-ckpt-")  # local tests only
+        spark.conf.set(_CKPT_KEY, root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 

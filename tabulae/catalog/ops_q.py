@@ -11,7 +11,7 @@ from tabulae.catalog.sqlgen import (
 )
 from tabulae.catalog.standin import Standin, d8, table
 from tabulae.functions import clean as C
-from tabulae.functions.translit import translit, translit_sql
+from tabulae.functions.transliteration import translit, translit_sql
 from tabulae.operators import columns as P
 from tabulae.operators.lookups import coerce_key, lookup
 from tabulae.operators.sets import distinct_rows, union_by_name

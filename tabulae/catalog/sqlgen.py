@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulae.functions.translit import translit_sql
+from tabulae.functions.transliteration import translit_sql
 
 
 def q(s: str) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tabulae.functions.translit import translit
+from tabulae.functions.transliteration import translit
 from tabulae.schemas import NO_NUMBER_SENTINELS
 
 

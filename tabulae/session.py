@@ -32,6 +32,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # wide cleaning projections generate methods over HotSpot's 8000-byte
+        # JIT limit; let them compile instead of running interpreted
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

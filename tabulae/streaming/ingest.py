@@ -24,6 +24,7 @@ def ingest_available(
     multiline: bool = False,
     transform=None,
     max_files_per_trigger: int | None = None,
+    recursive: bool = True,
 ) -> int:
     """Ingest every not-yet-seen delimited file of ``source_dir`` into the
     parquet table ``sink_dir``; returns the number of micro-batches run."""
@@ -31,6 +32,8 @@ def ingest_available(
     opts.update({"header": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     if multiline:
         opts["multiLine"] = "true"
+    if recursive:  # deliveries land in sub-folders of the landing folder
+        opts["recursiveFileLookup"] = "true"
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     stream: DataFrame = spark.readStream.schema(schema).options(**opts).csv(source_dir)

@@ -18,3 +18,6 @@ CATALOG.update(io_q.Q)
 from tabulae.catalog import jobs_q  # noqa: E402
 
 CATALOG.update(jobs_q.Q)
+from tabulae.catalog import jobs_files_q  # noqa: E402
+
+CATALOG.update(jobs_files_q.QUERIES)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulae.sources.files import list_files
+from tabulae.sources.fs import filesystem as _fs
 
 CHUNK = 8 << 20  # bytes per copy step
 
@@ -25,16 +26,6 @@ EXTRACT_SCHEMA = "archive string, member string, path string, bytes long"
 PACK_SCHEMA = "source string, archive string, bytes long"
 
 
-def _fs(uri: str):
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _stem(name: str) -> str:
     return name[:-4] if name.lower().endswith(".zip") else name
 

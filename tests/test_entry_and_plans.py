@@ -12,7 +12,7 @@ def _plan(df):
 def test_contract():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 45
+    assert len(q) >= 50
     assert set(q) - set(o) == {"preview_limit"}
 
 

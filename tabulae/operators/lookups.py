@@ -38,17 +38,21 @@ def lookup(
     on: str | list[str],
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``fact`` to the code table ``dim`` on ``on`` (USING semantics).
 
     The key keeps the fact side's type and value.  ``how`` is ``left``
     (unknown codes keep the row with null labels) or ``inner`` (rows with an
-    unknown or null code are dropped).
+    unknown or null code are dropped).  ``small`` skips the size check when
+    the caller has already proven (or ruled out) the bound.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup join must be 'left' or 'inner', got {how!r}")
-    if fits_broadcast(dim, max_broadcast_rows):
+    if small is None:
+        small = fits_broadcast(dim, max_broadcast_rows)
+    if small:
         return fact.join(F.broadcast(dim), keys, how)
     if how == "inner":
         # Catalyst adds IsNotNull on the keys, so null keys never shuffle.

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulae.operators.lookups import lookup
+from tabulae.operators.lookups import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast, lookup
 
 
 @dataclass
@@ -29,11 +29,17 @@ class Tier:
     name: str = field(default="")
 
 
-def best_per_key(ref: DataFrame, tier: Tier, values: list[str], rank: list[Column], out: str) -> DataFrame:
-    """One row per tier key: the ``values`` of the lowest ``rank`` row."""
+def candidates(ref: DataFrame, tier: Tier) -> DataFrame:
+    """Reference rows the tier accepts (rows with a null key part never match)."""
     cand = ref if tier.accept is None else ref.filter(tier.accept)
     for rc in tier.keys.values():
         cand = cand.filter(F.col(rc).isNotNull())
+    return cand
+
+
+def best_per_key(ref: DataFrame, tier: Tier, values: list[str], rank: list[Column], out: str) -> DataFrame:
+    """One row per tier key: the ``values`` of the lowest ``rank`` row."""
+    cand = candidates(ref, tier)
     key_cols = [F.col(rc).alias(fc) for fc, rc in tier.keys.items()]
     return (cand.groupBy(*key_cols)
                 .agg(F.min_by(F.struct(*values), F.struct(*rank)).alias(out)))
@@ -46,15 +52,27 @@ def tiered_match(
     values: list[str],
     rank: list[Column],
     tier_col: str = "tier",
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Records + ``values`` from the first tier that matches + ``tier_col``
     (1-based; null when no tier matched).  ``rank`` orders candidates:
-    smallest first, e.g. ``[-F.col('score'), F.col('id')]``."""
+    smallest first, e.g. ``[-F.col('score'), F.col('id')]``.
+
+    Size checks never run the reduction twice: if a tier's accepted rows are
+    within the broadcast bound, so is their reduction; otherwise the reduced
+    table is checkpointed to the shared folder once, counted there, and
+    joined from there.
+    """
     out = records
     slots = []
     for i, tier in enumerate(tiers, start=1):
         slot = f"__tier{i}"
-        out = lookup(out, best_per_key(ref, tier, values, rank, slot), list(tier.keys), "left")
+        best = best_per_key(ref, tier, values, rank, slot)
+        small = fits_broadcast(candidates(ref, tier), max_broadcast_rows)
+        if not small:
+            best = best.checkpoint(eager=True)
+            small = fits_broadcast(best, max_broadcast_rows)
+        out = lookup(out, best, list(tier.keys), "left", small=small)
         slots.append(slot)
     chosen = F.coalesce(*[F.col(s) for s in slots])
     tier_no = reduce(lambda acc, i: acc.when(F.col(slots[i]).isNotNull(), F.lit(i + 1)),

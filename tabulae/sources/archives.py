@@ -43,8 +43,9 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def list_members(spark: SparkSession, archive_root: str, suffix: str = ".zip") -> DataFrame:
     """``(archive, member, size)`` of every archive below ``archive_root``."""
     archives = list_files(spark, archive_root, suffix=suffix).select("path")
-    # spread archives over tasks: reading a central directory is cheap
-    return archives.repartition(F.col("path")).mapInPandas(_list_members, MEMBER_SCHEMA)
+    # reading a central directory is cheap: spread over the cluster's cores
+    n = spark.sparkContext.defaultParallelism
+    return archives.repartition(n, F.col("path")).mapInPandas(_list_members, MEMBER_SCHEMA)
 
 
 def _extractor(dest_root: str):
@@ -75,8 +76,13 @@ def unpack_archives(spark: SparkSession, archive_root: str, dest_root: str, suff
     The manifest is checkpointed to the shared folder, which both runs the
     extraction exactly once and cuts the lineage for readers of the files.
     """
-    members = list_members(spark, archive_root, suffix)
-    extracted = members.repartition(F.col("archive"), F.col("member")).mapInPandas(_extractor(dest_root), EXTRACT_SCHEMA)
+    members = list_members(spark, archive_root, suffix).checkpoint(eager=True)
+    # One member per task.  The member list is tiny, so a plain
+    # repartition(col) would be coalesced by AQE into a single task; an
+    # explicit range partitioning with one range per member is kept as is.
+    n = max(1, members.count())
+    extracted = (members.repartitionByRange(n, F.col("archive"), F.col("member"))
+                 .mapInPandas(_extractor(dest_root), EXTRACT_SCHEMA))
     return extracted.checkpoint(eager=True)
 
 
@@ -104,6 +110,7 @@ def _packer(dest_root: str, member_suffix: str):
 def pack_files(spark: SparkSession, src_root: str, dest_root: str, suffix: str = ".csv", member_suffix: str = "") -> DataFrame:
     """Zip every ``suffix`` file below ``src_root`` into its own archive
     (member name = file stem + ``member_suffix``), one task per file."""
-    files = list_files(spark, src_root, suffix=suffix).select("path")
-    packed = files.repartition(F.col("path")).mapInPandas(_packer(dest_root, member_suffix), PACK_SCHEMA)
+    files = list_files(spark, src_root, suffix=suffix).select("path").checkpoint(eager=True)
+    n = max(1, files.count())
+    packed = files.repartitionByRange(n, F.col("path")).mapInPandas(_packer(dest_root, member_suffix), PACK_SCHEMA)
     return packed.checkpoint(eager=True)

@@ -74,6 +74,9 @@ def test_tiered_match_vs_brute_force(spark):
 
     assert got == {rid: brute(r) for r in recs for rid in [r[0]]}
     assert len(got) == len(recs)  # no fan-out
+    # a reference table over the broadcast bound: checkpointed reduction + shuffle joins
+    big = tiered_match(cdf, rdf, tiers, ["lat", "lng"], [-F.col("score"), F.col("id")], max_broadcast_rows=0)
+    assert {r.rid: (r.lat, r.tier) for r in big.collect()} == got
 
 
 def test_unpack_archives(spark, tmp):
@@ -86,6 +89,7 @@ def test_unpack_archives(spark, tmp):
         zf.writestr("EMPRECSV", '"3";"c"\n')
     assert list_members(spark, f"{tmp}/zips").count() == 3
     manifest = unpack_archives(spark, f"{tmp}/zips", f"{tmp}/out")
+    assert manifest.rdd.getNumPartitions() == 3  # one task per member
     sizes = {r.member: r.bytes for r in manifest.collect()}
     assert sizes["K3241.K03200Y0.D10710.SOCIOCSV"] == len(big)
     assert os.path.isfile(f"{tmp}/out/K3241.K03200Y0.D10710/K3241.K03200Y0.D10710.EMPRECSV")

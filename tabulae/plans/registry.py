@@ -16,7 +16,7 @@ from tabulae.functions.clean import (
     to_date8, to_int, upper_trim,
 )
 from tabulae.operators.columns import columns_by_rule, project, suffix_columns
-from tabulae.operators.lookups import lookup
+from tabulae.operators.lookups import fits_broadcast, lookup
 from tabulae.sinks import write_table
 from tabulae.sources.delimited import scan_delimited
 
@@ -38,7 +38,9 @@ def simples_table(raw: DataFrame) -> DataFrame:
     return raw.withColumns(fixes).select(*S.SIMPLES_COLS)
 
 
-def companies_table(raw: DataFrame, natju: DataFrame, quals: DataFrame, capital_type: str = "decimal(18,2)") -> DataFrame:
+def companies_table(raw: DataFrame, natju: DataFrame, quals: DataFrame, capital_type: str = "decimal(18,2)",
+                    small: dict[str, bool] | None = None) -> DataFrame:
+    small = small or {}
     df = raw.withColumns({
         "cnpj": pad_key("cnpj", S.CNPJ_ROOT_WIDTH),
         "razao_social": clean_text("razao_social"),
@@ -49,12 +51,13 @@ def companies_table(raw: DataFrame, natju: DataFrame, quals: DataFrame, capital_
         "nome_porte": decode("porte", S.COMPANY_SIZE_LABELS, cast="int"),
         "capital_social": decimal_comma("capital_social", capital_type),
     })
-    df = lookup(df, natju.select("cod_natju", "nome_natju"), "cod_natju", "left")
-    df = lookup(df, quals.select("cod_quals", "nome_quals"), "cod_quals", "left")
+    df = lookup(df, natju.select("cod_natju", "nome_natju"), "cod_natju", "left", small=small.get("natju"))
+    df = lookup(df, quals.select("cod_quals", "nome_quals"), "cod_quals", "left", small=small.get("quals"))
     return df.select(*S.COMPANY_OUT)
 
 
-def partners_table(raw: DataFrame, quals: DataFrame, pais: DataFrame) -> DataFrame:
+def partners_table(raw: DataFrame, quals: DataFrame, pais: DataFrame, small: dict[str, bool] | None = None) -> DataFrame:
+    small = small or {}
     df = raw.withColumns({
         "cnpj_empresa": pad_key("cnpj_empresa", S.CNPJ_ROOT_WIDTH),
         "cod_quals": to_int("cod_quals"),
@@ -68,9 +71,12 @@ def partners_table(raw: DataFrame, quals: DataFrame, pais: DataFrame) -> DataFra
     })
     quals = quals.select("cod_quals", "nome_quals")
     # one code table in two roles: the legal representative's qualification
-    df = lookup(df, suffix_columns(quals, "_rep_legal"), "cod_quals_rep_legal", "left")
-    df = lookup(df, quals, "cod_quals", "left")
-    df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left")
+    q_small = small.get("quals")
+    if q_small is None:
+        q_small = fits_broadcast(quals)  # one check for both roles
+    df = lookup(df, suffix_columns(quals, "_rep_legal"), "cod_quals_rep_legal", "left", small=q_small)
+    df = lookup(df, quals, "cod_quals", "left", small=q_small)
+    df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left", small=small.get("pais"))
     return df.select(*S.PARTNER_OUT)
 
 
@@ -79,7 +85,8 @@ ESTAB_TEXT = ["nome_fantasia", "nome_cidade_ext", "tipo_logradouro", "logradouro
 ESTAB_DATE = ["data_situacao_cadastral", "data_inicio_atividades", "data_situacao_especial"]
 
 
-def establishments_table(raw: DataFrame, mun: DataFrame, pais: DataFrame) -> DataFrame:
+def establishments_table(raw: DataFrame, mun: DataFrame, pais: DataFrame, small: dict[str, bool] | None = None) -> DataFrame:
+    small = small or {}
     fixes = {c: to_int(c) for c in ESTAB_INT}
     fixes.update({c: clean_text(c) for c in ESTAB_TEXT})
     fixes.update({c: to_date8(c) for c in ESTAB_DATE})
@@ -93,8 +100,8 @@ def establishments_table(raw: DataFrame, mun: DataFrame, pais: DataFrame) -> Dat
     })
     df = raw.withColumns(fixes)
     # establishments without a known municipality are not published
-    df = lookup(df, mun.select("cod_mun", "nome_mun"), "cod_mun", "inner")
-    df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left")
+    df = lookup(df, mun.select("cod_mun", "nome_mun"), "cod_mun", "inner", small=small.get("mun"))
+    df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left", small=small.get("pais"))
     return project(df, S.ESTAB_OUT)
 
 
@@ -121,17 +128,18 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet")
     codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")} if fmt == "parquet" else None
     if codes is None:
         raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
+    small = {name: fits_broadcast(df) for name, df in codes.items()}  # each checked once
 
     simples = scan_delimited(spark, raw_root, S.SIMPLES_COLS, file_glob=f"*{S.SIMPLES_MARKER}*", recursive=True)
     out["simples"] = f"{out_root}/df_simples"
     write_table(simples_table(simples), out["simples"], fmt)
 
     out["empresas"] = f"{out_root}/df_empresas"
-    write_table(companies_table(scan_big_table(spark, raw_root, "companies"), codes["natju"], codes["quals"]), out["empresas"], fmt)
+    write_table(companies_table(scan_big_table(spark, raw_root, "companies"), codes["natju"], codes["quals"], small=small), out["empresas"], fmt)
 
     out["socios"] = f"{out_root}/df_socios"
-    write_table(partners_table(scan_big_table(spark, raw_root, "partners"), codes["quals"], codes["pais"]), out["socios"], fmt)
+    write_table(partners_table(scan_big_table(spark, raw_root, "partners"), codes["quals"], codes["pais"], small=small), out["socios"], fmt)
 
     out["estab"] = f"{out_root}/df_estab"
-    write_table(establishments_table(scan_big_table(spark, raw_root, "establishments"), codes["mun"], codes["pais"]), out["estab"], fmt)
+    write_table(establishments_table(scan_big_table(spark, raw_root, "establishments"), codes["mun"], codes["pais"], small=small), out["estab"], fmt)
     return out

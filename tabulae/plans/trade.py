@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from tabulae import schemas as S
 from tabulae.functions.clean import to_int, trim_translit
 from tabulae.operators.columns import drop_all_null
-from tabulae.operators.lookups import coerce_key, lookup
+from tabulae.operators.lookups import coerce_key, fits_broadcast, lookup
 from tabulae.operators.sets import distinct_rows, union_by_name
 from tabulae.sinks import write_table
-from tabulae.sources.delimited import scan_header_csv
+from tabulae.sources.delimited import scan_header_groups
 from tabulae.sources.files import list_files
 
 
@@ -56,14 +56,23 @@ def fact_file(raw: DataFrame) -> DataFrame:
     return df.select([e.alias(c) for c, e in typed.items()])
 
 
-def decorate(facts: DataFrame, mun: DataFrame, pais: DataFrame, prod: DataFrame) -> DataFrame:
+def prepare_lookups(mun: DataFrame, pais: DataFrame, prod: DataFrame) -> dict:
+    """Lookup tables keyed like the facts (int), each size-checked once."""
+    tables = {
+        "CO_MUN": coerce_key(mun, "CO_MUN", "int"),
+        "CO_PAIS": coerce_key(pais, "CO_PAIS", "int"),
+        "SH4": distinct_rows(coerce_key(prod, "SH4", "int")),
+    }
+    return {key: (df, fits_broadcast(df)) for key, df in tables.items()}
+
+
+def decorate(facts: DataFrame, mun: DataFrame, pais: DataFrame, prod: DataFrame, prepared: dict | None = None) -> DataFrame:
     """Inner lookups on int fact keys against text lookup keys, then publish."""
-    mun = coerce_key(mun, "CO_MUN", "int")
-    pais = coerce_key(pais, "CO_PAIS", "int")
-    prod = distinct_rows(coerce_key(prod, "SH4", "int"))
-    df = lookup(facts, mun, "CO_MUN", "inner")
-    df = lookup(df, pais, "CO_PAIS", "inner")
-    df = lookup(df, prod, "SH4", "inner")
+    prepared = prepared or prepare_lookups(mun, pais, prod)
+    df = facts
+    for key in ("CO_MUN", "CO_PAIS", "SH4"):
+        dim, small = prepared[key]
+        df = lookup(df, dim, key, "inner", small=small)
     df = df.withColumnsRenamed({
         "CO_MUN": "cod_municipio", "CO_PAIS": "cod_pais", "SG_UF_MUN": "uf",
         "CO_ANO": "ano", "CO_MES": "mes",
@@ -71,11 +80,11 @@ def decorate(facts: DataFrame, mun: DataFrame, pais: DataFrame, prod: DataFrame)
     return df.select(*S.TRADE_OUT)
 
 
-def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: DataFrame) -> DataFrame:
+def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: DataFrame, prepared: dict | None = None) -> DataFrame:
     """All files of one flow, stacked by column name, decorated once."""
     if not raw_files:
         raise ValueError("no fact files for this flow")
-    return decorate(union_by_name([fact_file(r) for r in raw_files]), mun, pais, prod)
+    return decorate(union_by_name([fact_file(r) for r in raw_files]), mun, pais, prod, prepared)
 
 
 # --- file-level job ---------------------------------------------------------
@@ -83,16 +92,22 @@ def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: Data
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet") -> dict[str, str]:
     """``raw_root/mun/*EXP*|*IMP*`` facts + ``raw_root/aux_tables`` lookups."""
     aux = f"{raw_root}/aux_tables"
-    mun = municipalities(scan_header_csv(spark, f"{aux}/UF_MUN.csv", S.TRADE_MUN_COLS))
-    pais = countries(scan_header_csv(spark, f"{aux}/PAIS.csv", S.TRADE_COUNTRY_COLS))
-    prod = products(scan_header_csv(spark, f"{aux}/NCM_SH.csv", S.TRADE_PRODUCT_COLS))
-    # the listing is tiny (a few files per year); the paths pick the scans
+
+    def lookup_file(name: str, cols: list[str]) -> DataFrame:
+        paths = [r["path"] for r in list_files(spark, f"{aux}/{name}").select("path").collect()]
+        return union_by_name([df.select(*cols) for df in scan_header_groups(spark, paths)])
+
+    mun = municipalities(lookup_file("UF_MUN.csv", S.TRADE_MUN_COLS))
+    pais = countries(lookup_file("PAIS.csv", S.TRADE_COUNTRY_COLS))
+    prod = products(lookup_file("NCM_SH.csv", S.TRADE_PRODUCT_COLS))
+    # the listing is metadata: a few files per year
     listing = list_files(spark, f"{raw_root}/mun").select("path", "name").collect()
+    prepared = prepare_lookups(mun, pais, prod)  # checked once, used by both flows
     out = {}
     for flow_name, marker in S.TRADE_FLOWS.items():
         paths = sorted(r["path"] for r in listing if marker in r["name"])
-        # one scan per file: each file is read with its own header
-        df = flow([scan_header_csv(spark, p) for p in paths], mun, pais, prod)
+        # one scan per distinct header; each file is still judged on its own columns
+        df = flow(scan_header_groups(spark, paths), mun, pais, prod, prepared)
         out[flow_name] = f"{out_root}/comex_{flow_name}"
         write_table(df, out[flow_name], fmt)
     return out

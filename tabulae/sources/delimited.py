@@ -70,3 +70,71 @@ def csv_to_parquet(spark: SparkSession, src: str | list[str], dst: str, sep: str
     """Convert header CSV to parquet (overwrite) and return the parquet table."""
     scan_header_csv(spark, src, sep=sep, encoding=encoding).write.mode("overwrite").parquet(dst)
     return spark.read.parquet(dst)
+
+
+# --- header files in groups --------------------------------------------------
+
+HEADER_SCHEMA = "path string, header string"
+_MAX_HEADER_BYTES = 1 << 20
+
+
+def _header_reader(encoding: str):
+    def run(batches):
+        import pandas as pd
+
+        from tabulae.sources.fs import filesystem
+
+        for pdf in batches:
+            out = []
+            for uri in pdf["path"]:
+                fs, path = filesystem(uri)
+                with fs.open_input_stream(path) as fh:
+                    head = fh.read(_MAX_HEADER_BYTES)
+                line = head.split(b"\n", 1)[0].rstrip(b"\r")
+                out.append((uri, line.decode(encoding)))
+            yield pd.DataFrame(out, columns=["path", "header"])
+    return run
+
+
+def read_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """First line of every file, read in parallel (one small task per chunk of
+    files; only the first line is decoded).  Returns ``{path: header}``."""
+    if not paths:
+        return {}
+    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+    listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
+    rows = listing.mapInPandas(_header_reader(encoding), HEADER_SCHEMA).collect()  # one row per file
+    return {r["path"]: r["header"] for r in rows}
+
+
+def header_names(header: str, sep: str = ",") -> list[str]:
+    import csv
+
+    return next(csv.reader([header], delimiter=sep, quotechar='"'))
+
+
+def scan_header_groups(
+    spark: SparkSession,
+    paths: list[str],
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    multiline: bool = False,
+) -> list[DataFrame]:
+    """Header CSV files, one scan per distinct header.
+
+    Files sharing a header are read by a single scan with an explicit
+    all-string schema (no per-file inference job); each file's own header
+    line is skipped.  Files whose columns differ (order or set) land in
+    different scans, to be stacked by name.
+    """
+    groups: dict[str, list[str]] = {}
+    for path, header in read_headers(spark, paths, encoding).items():
+        groups.setdefault(header, []).append(path)
+    out = []
+    for header, group in sorted(groups.items()):
+        opts = {"header": "true", "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', **_KEEP_BLANKS}
+        if multiline:
+            opts["multiLine"] = "true"
+        schema = string_schema(header_names(header, sep))
+        out.append(spark.read.schema(schema).options(**opts).csv(sorted(group)))
+    return out

@@ -27,9 +27,19 @@ def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
-def coerce_key(dim: DataFrame, key: str, dtype: str) -> DataFrame:
-    """Cast a text lookup key to the fact key's type; junk keys become null."""
-    return dim.withColumn(key, F.col(key).try_cast(dtype))
+def coerce_key(dim: DataFrame, key: str, dtype: str, integral_decimals: bool = False) -> DataFrame:
+    """Cast a text lookup key to the fact key's type; junk keys become null.
+
+    ``'0101'`` becomes 101.  With ``integral_decimals`` a key written as a
+    whole decimal (``'101.0'``, as spreadsheet exports write code columns
+    that have gaps) becomes 101 too; ``'101.5'`` never matches.
+    """
+    k = F.col(key)
+    typed = k.try_cast(dtype)
+    if integral_decimals:
+        d = k.try_cast("double")
+        typed = F.coalesce(typed, F.when(d == F.floor(d), d.try_cast(dtype)))
+    return dim.withColumn(key, typed)
 
 
 def lookup(

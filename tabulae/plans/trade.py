@@ -57,11 +57,15 @@ def fact_file(raw: DataFrame) -> DataFrame:
 
 
 def prepare_lookups(mun: DataFrame, pais: DataFrame, prod: DataFrame) -> dict:
-    """Lookup tables keyed like the facts (int), each size-checked once."""
+    """Lookup tables keyed like the facts (int), each size-checked once.
+
+    The lookup files are spreadsheet exports: a code column with gaps is
+    written as ``101.0``, which still names code 101.
+    """
     tables = {
-        "CO_MUN": coerce_key(mun, "CO_MUN", "int"),
-        "CO_PAIS": coerce_key(pais, "CO_PAIS", "int"),
-        "SH4": distinct_rows(coerce_key(prod, "SH4", "int")),
+        "CO_MUN": coerce_key(mun, "CO_MUN", "int", integral_decimals=True),
+        "CO_PAIS": coerce_key(pais, "CO_PAIS", "int", integral_decimals=True),
+        "SH4": distinct_rows(coerce_key(prod, "SH4", "int", integral_decimals=True)),
     }
     return {key: (df, fits_broadcast(df)) for key, df in tables.items()}
 

@@ -30,7 +30,8 @@ def make_raw(root):
         "2021,05,0101,249,SP,3550308,50,60",
     ])
     write(f"{root}/aux_tables/UF_MUN.csv", ["CO_MUN_GEO,NO_MUN_MIN", "3550308, São Paulo ", "3304557,Rio de Janeiro"])
-    write(f"{root}/aux_tables/PAIS.csv", ["CO_PAIS,NO_PAIS", "105,Brasil", "249,Estados Unidos "])
+    # a spreadsheet export with a gap in the code column writes floats
+    write(f"{root}/aux_tables/PAIS.csv", ["CO_PAIS,NO_PAIS", "105.0,Brasil", "249.0,Estados Unidos ", ",Sem codigo"])
     write(f"{root}/aux_tables/NCM_SH.csv", [
         "CO_NCM,CO_SH4,NO_SH4_POR,CO_SH2,NO_SH2_POR,CO_NCM_SECROM,NO_SEC_POR",
         "01011000,0101,Cavalos ,01,Animais vivos,I,Animais ",

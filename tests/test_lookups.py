@@ -36,6 +36,9 @@ def test_coerced_text_key(spark):
     dim = spark.createDataFrame([("0101", "a"), ("101.0", "b"), ("x", "c")], "SH4 string, name string")
     got = rows(lookup(fact, coerce_key(dim, "SH4", "int"), "SH4", "inner"))
     assert got == [(101, "a")]  # '0101' matches 101; '101.0' and junk never match
+    dim2 = spark.createDataFrame([("101.0", "b"), ("5.5", "c"), ("x", "d")], "SH4 string, name string")
+    got = rows(lookup(fact, coerce_key(dim2, "SH4", "int", integral_decimals=True), "SH4", "inner"))
+    assert got == [(101, "b")]  # a whole decimal names the code; 5.5 does not
 
 
 def test_size_check_is_bounded(spark):

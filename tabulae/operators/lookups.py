@@ -15,16 +15,31 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Code tables of the registry hold at most a few thousand rows; the bound
-# leaves room while keeping a broadcast well under executor memory.
+# Code tables of the registry hold at most a few thousand rows; the bounds
+# leave room while keeping a broadcast well under executor memory.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 NULL_SALT_BUCKETS = 64
 _SALT = "__tabulae_null_salt"
+_STRINGY = ("string", "binary")
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` provably has at most ``max_rows`` rows (bounded scan)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(
+    dim: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> bool:
+    """True when ``dim`` provably has at most ``max_rows`` rows and its rows
+    add up to at most ``max_bytes`` (string/binary lengths plus 8 bytes per
+    other field).  One bounded pass: never reads more than ``max_rows + 1``
+    rows, whatever the table's size."""
+    width = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in _STRINGY else F.lit(8)
+        for f in dim.schema.fields
+    ]
+    row_bytes = sum(width[1:], width[0]) if width else F.lit(0)
+    got = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 
 
 def coerce_key(dim: DataFrame, key: str, dtype: str, integral_decimals: bool = False) -> DataFrame:

@@ -118,8 +118,14 @@ def scan_big_table(spark: SparkSession, raw_root: str, kind: str) -> DataFrame:
     return scan_delimited(spark, raw_root, cols, file_glob=f"*{S.BIG_TABLE_MARKERS[kind]}", recursive=True)
 
 
-def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet") -> dict[str, str]:
-    """Whole register: code tables first (the others decode against them)."""
+def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
+        partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Whole register: code tables first (the others decode against them).
+
+    ``partition_by`` optionally lays a published table out by columns, e.g.
+    ``{"estab": ["uf"]}``.
+    """
+    layout = partition_by or {}
     out = {}
     for marker, name in S.CODE_TABLES.items():
         path = f"{out_root}/df_{name}"
@@ -132,14 +138,14 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet")
 
     simples = scan_delimited(spark, raw_root, S.SIMPLES_COLS, file_glob=f"*{S.SIMPLES_MARKER}*", recursive=True)
     out["simples"] = f"{out_root}/df_simples"
-    write_table(simples_table(simples), out["simples"], fmt)
+    write_table(simples_table(simples), out["simples"], fmt, partition_by=layout.get("simples"))
 
     out["empresas"] = f"{out_root}/df_empresas"
-    write_table(companies_table(scan_big_table(spark, raw_root, "companies"), codes["natju"], codes["quals"], small=small), out["empresas"], fmt)
+    write_table(companies_table(scan_big_table(spark, raw_root, "companies"), codes["natju"], codes["quals"], small=small), out["empresas"], fmt, partition_by=layout.get("empresas"))
 
     out["socios"] = f"{out_root}/df_socios"
-    write_table(partners_table(scan_big_table(spark, raw_root, "partners"), codes["quals"], codes["pais"], small=small), out["socios"], fmt)
+    write_table(partners_table(scan_big_table(spark, raw_root, "partners"), codes["quals"], codes["pais"], small=small), out["socios"], fmt, partition_by=layout.get("socios"))
 
     out["estab"] = f"{out_root}/df_estab"
-    write_table(establishments_table(scan_big_table(spark, raw_root, "establishments"), codes["mun"], codes["pais"], small=small), out["estab"], fmt)
+    write_table(establishments_table(scan_big_table(spark, raw_root, "establishments"), codes["mun"], codes["pais"], small=small), out["estab"], fmt, partition_by=layout.get("estab"))
     return out

@@ -93,8 +93,13 @@ def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: Data
 
 # --- file-level job ---------------------------------------------------------
 
-def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet") -> dict[str, str]:
-    """``raw_root/mun/*EXP*|*IMP*`` facts + ``raw_root/aux_tables`` lookups."""
+def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
+        partition_by: list[str] | None = None) -> dict[str, str]:
+    """``raw_root/mun/*EXP*|*IMP*`` facts + ``raw_root/aux_tables`` lookups.
+
+    ``partition_by=["ano"]`` lays the flows out by year, so readers that
+    filter on the year prune whole directories.
+    """
     aux = f"{raw_root}/aux_tables"
 
     def lookup_file(name: str, cols: list[str]) -> DataFrame:
@@ -113,5 +118,5 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet")
         # one scan per distinct header; each file is still judged on its own columns
         df = flow(scan_header_groups(spark, paths), mun, pais, prod, prepared)
         out[flow_name] = f"{out_root}/comex_{flow_name}"
-        write_table(df, out[flow_name], fmt)
+        write_table(df, out[flow_name], fmt, partition_by=partition_by)
     return out

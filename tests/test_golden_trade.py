@@ -58,3 +58,13 @@ def test_trade_job(spark, tmp):
     assert [(r.ano, r.mes, r.KG_LIQUIDO) for r in imp.collect()] == [(2021, 5, 50)]
     schema = dict((f.name, f.dataType.simpleString()) for f in exp.schema.fields)
     assert schema["VL_FOB"] == "bigint" and schema["SH4"] == "int" and schema["SH2"] == "string"
+
+
+def test_trade_job_partitioned_by_year(spark, tmp):
+    raw, out = f"{tmp}/raw", f"{tmp}/out"
+    make_raw(raw)
+    paths = T.run(spark, raw, out, partition_by=["ano"])
+    assert sorted(d for d in os.listdir(paths["exp"]) if d.startswith("ano=")) == ["ano=2020", "ano=2021"]
+    exp = spark.read.parquet(paths["exp"]).where("ano = 2021")
+    assert "PartitionFilters: [isnotnull(ano" in exp._jdf.queryExecution().executedPlan().toString()
+    assert exp.count() == 1

@@ -44,6 +44,9 @@ def test_coerced_text_key(spark):
 def test_size_check_is_bounded(spark):
     df = spark.range(1000)
     assert fits_broadcast(df, 1000) and not fits_broadcast(df, 999)
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("label"))
+    assert fits_broadcast(wide, max_bytes=10_000) and not fits_broadcast(wide, max_bytes=9_999)
+    assert fits_broadcast(spark.range(0))
 
 
 def test_invariants_on_tables(spark):

@@ -9,6 +9,7 @@ local, HDFS and object-store paths alike.
 
 from __future__ import annotations
 
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -59,11 +60,15 @@ def _extractor(dest_root: str):
                 target = f"{out_base.rstrip('/')}/{folder}/{member}"
                 out_fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 written = 0
+                # a retried or speculative copy of this task writes its own
+                # temporary file; the move publishes only complete members
+                partial = f"{target}.partial-{uuid.uuid4().hex}"
                 with in_fs.open_input_file(in_path) as raw, zipfile.ZipFile(raw) as zf, \
-                        zf.open(member) as src, out_fs.open_output_stream(target) as dst:
+                        zf.open(member) as src, out_fs.open_output_stream(partial) as dst:
                     while chunk := src.read(CHUNK):
                         dst.write(chunk)
                         written += len(chunk)
+                out_fs.move(partial, target)
                 rows.append((archive, member, f"{dest_root.rstrip('/')}/{folder}/{member}", written))
             yield pd.DataFrame(rows, columns=["archive", "member", "path", "bytes"])
     return run
@@ -97,11 +102,13 @@ def _packer(dest_root: str, member_suffix: str):
                 name = in_path.rsplit("/", 1)[-1]
                 stem = name.rsplit(".", 1)[0]
                 target = f"{out_base.rstrip('/')}/{stem}.zip"
-                with in_fs.open_input_stream(in_path) as src, out_fs.open_output_stream(target) as raw, \
+                partial = f"{target}.partial-{uuid.uuid4().hex}"
+                with in_fs.open_input_stream(in_path) as src, out_fs.open_output_stream(partial) as raw, \
                         zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf, \
                         zf.open(stem + member_suffix, "w", force_zip64=True) as dst:
                     while chunk := src.read(CHUNK):
                         dst.write(chunk)
+                out_fs.move(partial, target)
                 rows.append((uri, f"{dest_root.rstrip('/')}/{stem}.zip", out_fs.get_file_info(target).size))
             yield pd.DataFrame(rows, columns=["source", "archive", "bytes"])
     return run

@@ -19,6 +19,7 @@ from tabulae.operators.columns import columns_by_rule, project, suffix_columns
 from tabulae.operators.lookups import fits_broadcast, lookup
 from tabulae.sinks import write_table
 from tabulae.sources.delimited import scan_delimited
+from tabulae.sources.files import list_files
 
 
 def code_table(raw: DataFrame, name: str) -> DataFrame:
@@ -107,15 +108,31 @@ def establishments_table(raw: DataFrame, mun: DataFrame, pais: DataFrame, small:
 
 # --- file-level job ---------------------------------------------------------
 
-def scan_code_table(spark: SparkSession, raw_root: str, marker: str) -> DataFrame:
-    name = S.CODE_TABLES[marker]
-    cols = [f"cod_{name}", f"nome_{name}"]
-    return scan_delimited(spark, raw_root, cols, file_glob=f"*{marker}CSV", recursive=True)
+def discover(spark: SparkSession, raw_root: str) -> dict[str, list[str]]:
+    """Every raw file of the register, grouped by the table it belongs to.
+
+    One distributed listing of the whole tree (the file names are metadata,
+    one row per file); each table's scan then gets an explicit file list
+    instead of walking the tree again.  A table with no file is an error:
+    an empty code table would silently null every label.
+    """
+    rules = {name: lambda n, m=marker: n.endswith(m + "CSV") for marker, name in S.CODE_TABLES.items()}
+    rules["simples"] = lambda n: S.SIMPLES_MARKER in n
+    for kind, marker in S.BIG_TABLE_MARKERS.items():
+        rules[kind] = lambda n, m=marker: n.endswith(m)
+    found: dict[str, list[str]] = {k: [] for k in rules}
+    for row in list_files(spark, raw_root).select("path", "name").collect():
+        for key, rule in rules.items():
+            if rule(row["name"]):
+                found[key].append(row["path"])
+    missing = sorted(k for k, v in found.items() if not v)
+    if missing:
+        raise FileNotFoundError(f"no raw files under {raw_root} for: {', '.join(missing)}")
+    return {k: sorted(v) for k, v in found.items()}
 
 
-def scan_big_table(spark: SparkSession, raw_root: str, kind: str) -> DataFrame:
-    cols = {"companies": S.COMPANY_COLS, "partners": S.PARTNER_COLS, "establishments": S.ESTAB_COLS}[kind]
-    return scan_delimited(spark, raw_root, cols, file_glob=f"*{S.BIG_TABLE_MARKERS[kind]}", recursive=True)
+def scan_table(spark: SparkSession, paths: list[str], cols: list[str]) -> DataFrame:
+    return scan_delimited(spark, paths, cols)
 
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
@@ -125,27 +142,31 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     ``partition_by`` optionally lays a published table out by columns, e.g.
     ``{"estab": ["uf"]}``.
     """
+    if fmt != "parquet":
+        raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
     layout = partition_by or {}
+    files = discover(spark, raw_root)
     out = {}
-    for marker, name in S.CODE_TABLES.items():
+    for name in S.CODE_TABLES.values():
         path = f"{out_root}/df_{name}"
-        write_table(code_table(scan_code_table(spark, raw_root, marker), name), path, fmt)
+        write_table(code_table(scan_table(spark, files[name], [f"cod_{name}", f"nome_{name}"]), name), path, fmt)
         out[name] = path
-    codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")} if fmt == "parquet" else None
-    if codes is None:
-        raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
+    # the written code tables cut the lineage
+    codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")}
     small = {name: fits_broadcast(df) for name, df in codes.items()}  # each checked once
 
-    simples = scan_delimited(spark, raw_root, S.SIMPLES_COLS, file_glob=f"*{S.SIMPLES_MARKER}*", recursive=True)
+    simples = scan_table(spark, files["simples"], S.SIMPLES_COLS)
+    big = {kind: scan_table(spark, files[kind], cols) for kind, cols in
+           (("companies", S.COMPANY_COLS), ("partners", S.PARTNER_COLS), ("establishments", S.ESTAB_COLS))}
     out["simples"] = f"{out_root}/df_simples"
     write_table(simples_table(simples), out["simples"], fmt, partition_by=layout.get("simples"))
 
     out["empresas"] = f"{out_root}/df_empresas"
-    write_table(companies_table(scan_big_table(spark, raw_root, "companies"), codes["natju"], codes["quals"], small=small), out["empresas"], fmt, partition_by=layout.get("empresas"))
+    write_table(companies_table(big["companies"], codes["natju"], codes["quals"], small=small), out["empresas"], fmt, partition_by=layout.get("empresas"))
 
     out["socios"] = f"{out_root}/df_socios"
-    write_table(partners_table(scan_big_table(spark, raw_root, "partners"), codes["quals"], codes["pais"], small=small), out["socios"], fmt, partition_by=layout.get("socios"))
+    write_table(partners_table(big["partners"], codes["quals"], codes["pais"], small=small), out["socios"], fmt, partition_by=layout.get("socios"))
 
     out["estab"] = f"{out_root}/df_estab"
-    write_table(establishments_table(scan_big_table(spark, raw_root, "establishments"), codes["mun"], codes["pais"], small=small), out["estab"], fmt, partition_by=layout.get("estab"))
+    write_table(establishments_table(big["establishments"], codes["mun"], codes["pais"], small=small), out["estab"], fmt, partition_by=layout.get("estab"))
     return out

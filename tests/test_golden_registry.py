@@ -95,3 +95,13 @@ def test_register_job(spark, tmp):
     # D13: a second run over the same output folder succeeds (overwrite)
     R.run(spark, raw, out)
     assert read("estab").count() == 2
+
+
+def test_missing_table_is_an_error(spark, tmp):
+    import pytest
+
+    raw = f"{tmp}/raw"
+    make_raw(raw)
+    os.remove(f"{raw}/F.K03200$Z.D10710.PAISCSV")
+    with pytest.raises(FileNotFoundError, match="pais"):
+        R.run(spark, raw, f"{tmp}/out")

@@ -51,3 +51,24 @@ def base_name(c: str | Column, marker_regex: str) -> Column:
     """Everything after the first match of ``marker_regex`` ('' if absent)."""
     x = F.col(c) if isinstance(c, str) else c
     return F.regexp_extract(x, f"{marker_regex}(.+)", 1)
+
+
+def download_manifest(
+    pages: DataFrame,
+    suffix: str,
+    contains: str | None = None,
+    marker_regex: str | None = None,
+    years: tuple[int, int] | None = None,
+    html_col: str = "html",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Files to fetch from index pages: links ending in ``suffix`` (and
+    containing ``contains``), their base name after ``marker_regex`` (the
+    last path segment when not given), and, with ``years``, only names whose
+    first 4-digit run lies in the inclusive range."""
+    df = link_manifest(pages, html_col, keep, suffix=suffix, contains=contains)
+    name = base_name("link", marker_regex) if marker_regex else F.regexp_extract("link", r"([^/]+)$", 1)
+    df = df.withColumn("name", name)
+    if years is not None:
+        df = year_filter(df, "name", years[0], years[1])
+    return df

@@ -109,3 +109,25 @@ def test_stream_ingests_only_new_files(spark, tmp):
     write_delimited(spark.createDataFrame([("3", "c")], "k string, v string"), f"{landing}/d2")
     ingest_available(spark, landing, schema, sink, ckpt)
     assert rows(spark.read.parquet(sink).select("k", "v")) == [("1", "a"), ("2", "b"), ("3", "c")]
+
+
+def test_download_manifest(spark):
+    from tabulae.operators.links import download_manifest
+
+    html = ('<a href="https://x/mun/EXP_2015_MUN.csv">a</a><a href="https://x/mun/EXP_2016_MUN.csv">b</a>'
+            '<a href="https://x/ncm/EXP_2016.csv">c</a><a href="https://x/mun/IMP_2021_MUN.csv">d</a>'
+            '<a href="/CNPJ/Empresas0.zip">e</a>')
+    pages = spark.createDataFrame([(html,)], "html string")
+    trade = download_manifest(pages, ".csv", contains="mun", marker_regex="mun/", years=(2016, 2021))
+    assert sorted((r.name, r.year) for r in trade.collect()) == [("EXP_2016_MUN.csv", 2016), ("IMP_2021_MUN.csv", 2021)]
+    zips = download_manifest(pages, ".zip")
+    assert [r.name for r in zips.collect()] == ["Empresas0.zip"]
+
+
+def test_cli_runs_trade_job(spark, tmp):
+    from tabulae.__main__ import main
+    from test_golden_trade import make_raw
+
+    make_raw(f"{tmp}/raw")
+    assert main(["trade", f"{tmp}/raw", f"{tmp}/out"]) == 0
+    assert spark.read.parquet(f"{tmp}/out/comex_imp").count() == 1

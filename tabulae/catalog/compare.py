@@ -1,0 +1,60 @@
+"""Compare a Spark result with a DuckDB oracle as multisets of rows.
+
+Values are normalised to text (floats and decimals to 6 significant digits,
+dates ISO) and columns are taken in name order, so column order and float
+noise do not matter but every value does.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def norm(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else f"{v:.6g}"
+    if isinstance(v, Decimal):
+        return f"{float(v):.6g}"
+    if isinstance(v, (date, datetime)):
+        return v.isoformat()
+    return str(v)
+
+
+def multiset(cols, rows) -> Counter:
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return Counter(tuple(norm(r[i]) for i in order) for r in rows)
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        if os.path.exists(f"{sf_dir}/{t}.parquet"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')").fetchall()
+    return con
+
+
+def compare(df, con, sql: str) -> tuple[bool, str]:
+    """(equal, message) for a Spark DataFrame against oracle SQL."""
+    scols = df.columns
+    srows = [tuple(r) for r in df.collect()]
+    rel = con.sql(sql)
+    dcols, drows = rel.columns, rel.fetchall()
+    if sorted(scols) != sorted(dcols):
+        return False, f"columns differ: spark {scols} duck {dcols}"
+    a, b = multiset(scols, srows), multiset(dcols, drows)
+    if a == b:
+        return True, f"{len(srows)} rows"
+    only_s, only_d = list((a - b).elements())[:3], list((b - a).elements())[:3]
+    return False, (f"spark {len(srows)} rows, duck {len(drows)} rows; "
+                   f"only in spark {only_s}; only in duck {only_d}")

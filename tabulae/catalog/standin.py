@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabulae.session import parallelism
+
 # Tables big enough that their scan should use every core.
 FACT_TABLES = {"lineitem", "orders", "documents", "pages", "events", "customer", "part", "conversations"}
 
@@ -18,10 +20,12 @@ def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     splits) have far more partitions than cores and are left untouched, so
     this adds no shuffle at scale.
     """
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    cores = parallelism(spark)
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def d8(col: str) -> tuple[str, str]:

@@ -43,13 +43,31 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (falls back to the shuffle partition count)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    sc = spark.sparkContext
-    root = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
+    root = spark.conf.get(_CKPT_KEY, None)
     if root:
         return root
-    return sc.getCheckpointDir() or None
+    sc = _context(spark)
+    if sc is None:
+        return None
+    return sc.getConf().get(_CKPT_KEY, None) or sc.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -58,12 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``DataFrame.checkpoint`` needs the context's directory set too; it is
     pointed at the configured shared folder when that is known.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
     root = checkpoint_root(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="tabulae-ckpt-")  # local tests only
         spark.conf.set(_CKPT_KEY, root)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulae.sources.files import list_files
+from tabulae.session import parallelism
 from tabulae.sources.fs import filesystem as _fs
 
 CHUNK = 8 << 20  # bytes per copy step
@@ -45,7 +46,7 @@ def list_members(spark: SparkSession, archive_root: str, suffix: str = ".zip") -
     """``(archive, member, size)`` of every archive below ``archive_root``."""
     archives = list_files(spark, archive_root, suffix=suffix).select("path")
     # reading a central directory is cheap: spread over the cluster's cores
-    n = spark.sparkContext.defaultParallelism
+    n = parallelism(spark)
     return archives.repartition(n, F.col("path")).mapInPandas(_list_members, MEMBER_SCHEMA)
 
 

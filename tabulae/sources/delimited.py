@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulae.schemas import REGISTRY_READ_OPTIONS, string_schema
+from tabulae.session import parallelism
 
 # Writers and readers keep blanks exactly as they are.
 _KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -101,7 +102,7 @@ def read_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8")
     files; only the first line is decoded).  Returns ``{path: header}``."""
     if not paths:
         return {}
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+    n = max(1, min(len(paths), parallelism(spark)))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
     rows = listing.mapInPandas(_header_reader(encoding), HEADER_SCHEMA).collect()  # one row per file
     return {r["path"]: r["header"] for r in rows}

@@ -98,3 +98,31 @@ def q_ingest_stream(spark, sf):
 
 
 Q["ingest_stream"] = (q_ingest_stream, DOC_SQL)
+
+
+# --- R5 + C3 as a stream: deliveries of raw company rows cleaned on arrival ---
+def q_ingest_stream_companies(spark, sf):
+    from tabulae import schemas as S
+    from tabulae.catalog import registry_q as RQ
+    from tabulae.plans import registry as R
+
+    landing = scratch_path(spark, "landing-companies")
+    sink = scratch_path(spark, "companies-stream")
+    ckpt = scratch_path(spark, "companies-ckpt")
+    natju, quals = RQ.codes(spark, sf, "nation", "natju"), RQ.codes(spark, sf, "region", "quals")
+    raw = RQ.COMPANIES.df(spark, sf)
+    for batch in range(3):
+        write_delimited(raw.where(F.col("cnpj").cast("long") % 3 == batch), f"{landing}/delivery={batch}")
+        # stream-static joins: the code tables are checked and broadcast as in batch
+        ingest_available(spark, landing, string_schema(S.COMPANY_COLS), sink, ckpt,
+                         transform=lambda s: R.companies_table(s, natju, quals))
+    return spark.read.parquet(sink)
+
+
+def _companies_sql():
+    from tabulae.catalog import registry_q as RQ
+
+    return RQ.SQL_REGISTRY_COMPANIES
+
+
+Q["ingest_stream_companies"] = (q_ingest_stream_companies, _companies_sql())

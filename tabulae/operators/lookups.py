@@ -2,10 +2,11 @@
 
 Every lookup is an equi-join on a code.  Code tables are small, so the join
 is a broadcast hash join — no shuffle of the fact side at all — but only
-after their size is *checked*: a bounded ``limit(n + 1).count()`` proves the
-table has at most ``n`` rows.  A table over the bound takes the shuffle path
-instead, where AQE splits skewed partitions and null keys (which can never
-match) are spread over many reducers rather than piling into one.
+after their size is *checked*: one pass over at most ``n + 1`` rows proves
+the table has at most ``n`` rows and at most a byte budget of data.  A table
+over the bound takes the shuffle path instead, where AQE splits skewed
+partitions and null keys (which can never match) are spread over many
+reducers rather than piling into one.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ Registry files are ISO-8859-1, so every non-ASCII character they can hold is
 in U+0080..U+00FF: a finite table.  One-to-one letters go through a single
 ``translate`` (which also deletes characters mapped to nothing); the few
 one-to-many entries are plain ``replace`` calls, only evaluated on rows that
-contain one of them.  Everything stays inside whole-stage codegen; no Python
+are still non-ASCII after the ``translate``.  Everything stays inside whole-stage codegen; no Python
 runs per row.
 """
 
@@ -68,14 +68,19 @@ _DELETE = [k for k, v in TABLE.items() if v == ""]
 TRANSLATE_FROM = "".join(_ONE) + "".join(_DELETE)
 TRANSLATE_TO = "".join(_ONE.values())
 MULTI = {k: v for k, v in TABLE.items() if len(v) > 1}
-_MULTI_CLASS = "[" + "".join(MULTI) + "]"
 
 
 def translit(c: Column) -> Column:
-    """Transliterate accented text to ASCII (null stays null)."""
+    """Transliterate accented text to ASCII (null stays null).
+
+    After ``translate`` only one-to-many characters (or ones with no ASCII
+    form) can remain non-ASCII, so the ``replace`` chain runs only where the
+    UTF-8 byte length differs from the character length — a far cheaper test
+    than a regex scan.
+    """
     one = F.translate(c, TRANSLATE_FROM, TRANSLATE_TO)
     many = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), MULTI.items(), one)
-    return F.when(one.rlike(_MULTI_CLASS), many).otherwise(one)
+    return F.when(F.octet_length(one) == F.length(one), one).otherwise(many)
 
 
 def translit_sql(expr: str) -> str:

@@ -5,9 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulae import schemas as S
+from tabulae.catalog import registry_q as RQ
 from tabulae.catalog.io_q import DOC_COLS, DOC_SQL, _documents
 from tabulae.catalog.standin import Standin
 from tabulae.operators.match import Tier, tiered_match
+from tabulae.plans import registry as R
 from tabulae.schemas import string_schema
 from tabulae.session import scratch_path
 from tabulae.sinks import write_delimited
@@ -102,10 +105,6 @@ Q["ingest_stream"] = (q_ingest_stream, DOC_SQL)
 
 # --- R5 + C3 as a stream: deliveries of raw company rows cleaned on arrival ---
 def q_ingest_stream_companies(spark, sf):
-    from tabulae import schemas as S
-    from tabulae.catalog import registry_q as RQ
-    from tabulae.plans import registry as R
-
     landing = scratch_path(spark, "landing-companies")
     sink = scratch_path(spark, "companies-stream")
     ckpt = scratch_path(spark, "companies-ckpt")
@@ -119,10 +118,4 @@ def q_ingest_stream_companies(spark, sf):
     return spark.read.parquet(sink)
 
 
-def _companies_sql():
-    from tabulae.catalog import registry_q as RQ
-
-    return RQ.SQL_REGISTRY_COMPANIES
-
-
-Q["ingest_stream_companies"] = (q_ingest_stream_companies, _companies_sql())
+Q["ingest_stream_companies"] = (q_ingest_stream_companies, RQ.SQL_REGISTRY_COMPANIES)

@@ -39,6 +39,8 @@ def q_trade_job(spark, sf):
     for flow, flag in (("EXP", "A"), ("IMP", "R")):
         _stage(TQ.fact_standin(flag, "F").df(spark, sf), f"{raw}/mun/{flow}_F", flow + "_{:03d}_F_MUN.csv", **opts)
         _stage(TQ.fact_standin(flag, "O", reverse=True).df(spark, sf), f"{raw}/mun/{flow}_O", flow + "_{:03d}_O_MUN.csv", **opts)
+    # the third return flag is one more export "year" (same header as the first file)
+    _stage(TQ.fact_standin("N").df(spark, sf), f"{raw}/mun/EXP_N", "EXP_{:03d}_N_MUN.csv", **opts)
     write_delimited(TQ.MUN.df(spark, sf), f"{raw}/aux_tables/UF_MUN.csv", **opts)
     write_delimited(TQ.PAIS.df(spark, sf), f"{raw}/aux_tables/PAIS.csv", **opts)
     prod = TQ.PROD.df(spark, sf)
@@ -49,5 +51,5 @@ def q_trade_job(spark, sf):
 
 QUERIES = {
     "registry_job": (q_registry_job, RQ.SQL_REGISTRY_ESTABLISHMENTS),
-    "trade_job": (q_trade_job, TQ.QUERIES["trade_flow_exp"][1]),
+    "trade_job": (q_trade_job, TQ._flow_sql([TQ.fact_standin("A", "F"), TQ.fact_standin("A", "O", True), TQ.fact_standin("N")])),
 }

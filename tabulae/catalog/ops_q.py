@@ -267,12 +267,15 @@ def q_lookup_role_playing(spark, sf):
 
 # --- U1 / U2 ------------------------------------------------------------------------------
 @reg("union_flow_files", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
-  UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'O'""")
+  UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus NOT IN ('F', 'O')""")
 def q_union_flow_files(spark, sf):
+    # the whole table as three "files" by status, each with its own column order
     o = table(spark, sf, "orders")
     f1 = o.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     f2 = o.where("o_orderstatus = 'O'").select("o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey")
-    return union_by_name([f1, f2])
+    f3 = o.where("o_orderstatus NOT IN ('F', 'O')").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    return union_by_name([f1, f2, f3])
 
 
 @reg("distinct_dim", "SELECT DISTINCT p_brand, p_type FROM part")

@@ -26,6 +26,5 @@ def tmp(spark):
 
 
 def rows(df, order=None):
-    cols = df.columns
     out = [tuple(r) for r in df.collect()]
     return sorted(out, key=lambda r: tuple("" if v is None else str(v) for v in r)) if order is None else out

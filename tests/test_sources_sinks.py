@@ -65,3 +65,17 @@ def test_list_files_filters(spark, tmp):
     assert names(suffix=".csv") == ["EXP_2020_MUN.csv", "IMP_2020_MUN.csv"]
     assert names(contains="EXP") == ["EXP_2020.txt", "EXP_2020_MUN.csv"]
     assert names(regex=r"^IMP_\d{4}") == ["IMP_2020_MUN.csv"]
+
+
+def test_header_groups(spark, tmp):
+    from tabulae.operators.sets import union_by_name
+    from tabulae.sources.delimited import read_headers, scan_header_groups
+
+    write(f"{tmp}/g/a.csv", "A,B\n1,x\n", encoding="utf-8")
+    write(f"{tmp}/g/b.csv", "A,B\n2,y\n3,z\n", encoding="utf-8")
+    write(f"{tmp}/g/c.csv", '"B","A"\r\nw,4\r\n', encoding="utf-8")
+    paths = [f"{tmp}/g/{n}.csv" for n in "abc"]
+    assert set(read_headers(spark, paths).values()) == {"A,B", '"B","A"'}
+    groups = scan_header_groups(spark, paths)
+    assert len(groups) == 2  # one scan per distinct header
+    assert rows(union_by_name(groups)) == [("1", "x"), ("2", "y"), ("3", "z"), ("4", "w")]

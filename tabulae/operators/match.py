@@ -45,6 +45,20 @@ def best_per_key(ref: DataFrame, tier: Tier, values: list[str], rank: list[Colum
                 .agg(F.min_by(F.struct(*values), F.struct(*rank)).alias(out)))
 
 
+def _attach_tiers(df: DataFrame, bests: list[tuple[DataFrame, list[str], bool]], values: list[str],
+                  tier_col: str) -> tuple[DataFrame, list[str]]:
+    """Left-join each tier's best rows, then pick the first tier that matched."""
+    slots = []
+    for i, (best, keys, small) in enumerate(bests, start=1):
+        df = lookup(df, best, keys, "left", small=small)
+        slots.append(f"__tier{i}")
+    chosen = F.coalesce(*[F.col(s) for s in slots])
+    tier_no = reduce(lambda acc, i: acc.when(F.col(slots[i]).isNotNull(), F.lit(i + 1)),
+                     range(1, len(slots)), F.when(F.col(slots[0]).isNotNull(), F.lit(1)))
+    df = df.withColumn("__chosen", chosen).withColumn(tier_col, tier_no)
+    return df, [f"__chosen.{v}" for v in values]
+
+
 def tiered_match(
     records: DataFrame,
     ref: DataFrame,
@@ -62,21 +76,35 @@ def tiered_match(
     within the broadcast bound, so is their reduction; otherwise the reduced
     table is checkpointed to the shared folder once, counted there, and
     joined from there.
+
+    When every tier's reduction is broadcast, records are decorated in place
+    (no shuffle).  Otherwise the tiers are matched on the *distinct key
+    combinations* of the records — one narrow shuffle, combined map-side, so
+    a hot address costs one row — and the result is attached to the records
+    by a single null-safe join, instead of shuffling the records once per
+    tier.
     """
-    out = records
-    slots = []
+    bests = []
     for i, tier in enumerate(tiers, start=1):
-        slot = f"__tier{i}"
-        best = best_per_key(ref, tier, values, rank, slot)
+        best = best_per_key(ref, tier, values, rank, f"__tier{i}")
         small = fits_broadcast(candidates(ref, tier), max_broadcast_rows)
         if not small:
             best = best.checkpoint(eager=True)
             small = fits_broadcast(best, max_broadcast_rows)
-        out = lookup(out, best, list(tier.keys), "left", small=small)
-        slots.append(slot)
-    chosen = F.coalesce(*[F.col(s) for s in slots])
-    tier_no = reduce(lambda acc, i: acc.when(F.col(slots[i]).isNotNull(), F.lit(i + 1)),
-                     range(1, len(slots)), F.when(F.col(slots[0]).isNotNull(), F.lit(1)))
-    return (out.withColumn("__chosen", chosen)
-               .withColumn(tier_col, tier_no)
-               .select(*records.columns, *[F.col(f"__chosen.{v}").alias(v) for v in values], tier_col))
+        bests.append((best, list(tier.keys), small))
+
+    if all(small for _, _, small in bests):
+        out, picked = _attach_tiers(records, bests, values, tier_col)
+        return out.select(*records.columns, *[F.col(p).alias(v) for p, v in zip(picked, values)], tier_col)
+
+    key_cols = list(dict.fromkeys(k for tier in tiers for k in tier.keys))
+    matched, picked = _attach_tiers(records.select(*key_cols).distinct(), bests, values, tier_col)
+    renamed = {k: f"__key_{n}" for n, k in enumerate(key_cols)}
+    matched = matched.select(*[F.col(k).alias(renamed[k]) for k in key_cols],
+                             *[F.col(p).alias(v) for p, v in zip(picked, values)], tier_col)
+    matched = matched.checkpoint(eager=True)  # joined once below; cut the lineage
+    side = F.broadcast(matched) if fits_broadcast(matched, max_broadcast_rows) else matched
+    # null-safe: a record with a missing key part still finds its combination
+    cond = reduce(lambda a, b: a & b, [records[k].eqNullSafe(side[renamed[k]]) for k in key_cols])
+    out = records.join(side, cond, "left")
+    return out.select(*[records[c] for c in records.columns], *[side[v] for v in values], side[tier_col])

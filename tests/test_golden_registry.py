@@ -105,3 +105,13 @@ def test_missing_table_is_an_error(spark, tmp):
     os.remove(f"{raw}/F.K03200$Z.D10710.PAISCSV")
     with pytest.raises(FileNotFoundError, match="pais"):
         R.run(spark, raw, f"{tmp}/out")
+
+
+def test_cli_runs_register_job(spark, tmp, capsys):
+    from tabulae.__main__ import main
+
+    make_raw(f"{tmp}/raw")
+    assert main(["registry", f"{tmp}/raw", f"{tmp}/out"]) == 0
+    printed = capsys.readouterr().out
+    assert "estab\t" in printed and "df_cnae" in printed
+    assert spark.read.parquet(f"{tmp}/out/df_estab").count() == 2

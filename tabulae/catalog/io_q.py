@@ -84,10 +84,11 @@ def q_csv_to_parquet(spark, sf):
 @reg("discover_files", "SELECT DISTINCT lang FROM documents")
 def q_discover_files(spark, sf):
     path = scratch_path(spark, "by-lang")
-    docs = _documents(spark, sf)
-    write_delimited(docs.repartition("lang"), path, partition_by=["lang"])  # one file per language
+    # every task writes its own file per language folder: no funnel through
+    # one task for a dominant language
+    write_delimited(_documents(spark, sf), path, partition_by=["lang"])
     files = list_files(spark, path, suffix=".csv", contains="part-")
-    return files.select(F.regexp_extract("path", r"lang=([^/]+)/", 1).alias("lang"))
+    return files.select(F.regexp_extract("path", r"lang=([^/]+)/", 1).alias("lang")).distinct()
 
 
 @reg("sink_parquet", registry_q.SQL_REGISTRY_COMPANIES)

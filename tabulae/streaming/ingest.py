@@ -25,6 +25,7 @@ def ingest_available(
     transform=None,
     max_files_per_trigger: int | None = None,
     recursive: bool = True,
+    file_glob: str | None = None,
 ) -> int:
     """Ingest every not-yet-seen delimited file of ``source_dir`` into the
     parquet table ``sink_dir``; returns the number of micro-batches run."""
@@ -34,6 +35,8 @@ def ingest_available(
         opts["multiLine"] = "true"
     if recursive:  # deliveries land in sub-folders of the landing folder
         opts["recursiveFileLookup"] = "true"
+    if file_glob:  # only files whose name matches (e.g. *EMPRECSV)
+        opts["pathGlobFilter"] = file_glob
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     stream: DataFrame = spark.readStream.schema(schema).options(**opts).csv(source_dir)

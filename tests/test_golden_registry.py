@@ -115,3 +115,29 @@ def test_cli_runs_register_job(spark, tmp, capsys):
     printed = capsys.readouterr().out
     assert "estab\t" in printed and "df_cnae" in printed
     assert spark.read.parquet(f"{tmp}/out/df_estab").count() == 2
+
+
+def test_incremental_register(spark, tmp):
+    from tabulae.streaming.registry import run_incremental
+
+    make_raw(f"{tmp}/raw")
+    batch = R.run(spark, f"{tmp}/raw", f"{tmp}/batch")
+    codes_root = f"{tmp}/batch"
+    landing, out, ckpt = f"{tmp}/landing", f"{tmp}/inc", f"{tmp}/ckpt"
+    # first delivery: one companies file and the establishments
+    write(f"{landing}/d1/A.EMPRECSV", ['"12";"  acme açúcar ltda ";"2062";"49";"000000001000,50";"01";""'])
+    os.makedirs(f"{landing}/d1/x", exist_ok=True)
+    import shutil
+    shutil.copy(f"{tmp}/raw/K3241.K03200Y0.D10710.ESTABELECSV/K3241.K03200Y0.D10710.ESTABELECSV", f"{landing}/d1/x/B.ESTABELECSV")
+    run_incremental(spark, landing, codes_root, out, ckpt, tables=["empresas", "estab"])
+    assert spark.read.parquet(f"{out}/df_empresas").count() == 1
+    assert spark.read.parquet(f"{out}/df_estab").count() == 2
+    run_incremental(spark, landing, codes_root, out, ckpt, tables=["empresas", "estab"])  # nothing new
+    assert spark.read.parquet(f"{out}/df_empresas").count() == 1
+    # second delivery: two more companies
+    write(f"{landing}/d2/C.EMPRECSV", ['"34567890";"BETA";"9999";"";"1.234,56";"4";"União"', '"1";"Gama";"2062";"49";"5,00";"5";""'])
+    run_incremental(spark, landing, codes_root, out, ckpt, tables=["empresas", "estab"])
+    inc = spark.read.parquet(f"{out}/df_empresas")
+    ref = spark.read.parquet(batch["empresas"])
+    assert sorted(map(tuple, inc.select(*ref.columns).collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+    assert spark.read.parquet(f"{out}/df_estab").count() == 2

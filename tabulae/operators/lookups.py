@@ -88,3 +88,29 @@ def lookup(
     salted_fact = fact.withColumn(_SALT, salt.cast("long"))
     salted_dim = dim.withColumn(_SALT, F.lit(0).cast("long"))
     return salted_fact.join(salted_dim, keys + [_SALT], how).drop(_SALT)
+
+
+def lookup_role(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    fact_key: str,
+    rename: dict[str, str],
+    how: str = "left",
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    small: bool | None = None,
+) -> DataFrame:
+    """A code table in a second role: ``dim[key]`` matched against
+    ``fact[fact_key]``, bringing ``dim``'s columns in under ``rename``.
+
+    The broadcast side is the very same table as in the first role (only the
+    output is renamed), so Spark ships it once and reuses the exchange.
+    """
+    if small is None:
+        small = fits_broadcast(dim, max_broadcast_rows)
+    if not small:
+        renamed = dim.select(F.col(key).alias(fact_key), *[F.col(c).alias(n) for c, n in rename.items()])
+        return lookup(fact, renamed, fact_key, how, small=False)
+    role = F.broadcast(dim).alias("__role")
+    joined = fact.alias("__fact").join(role, F.col(f"__fact.{fact_key}") == F.col(f"__role.{key}"), how)
+    return joined.select("__fact.*", *[F.col(f"__role.{c}").alias(n) for c, n in rename.items()])

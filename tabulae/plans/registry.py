@@ -15,8 +15,8 @@ from tabulae.functions.clean import (
     blank_sentinel, clean_text, decimal_comma, decode, pad_key, repair_email,
     to_date8, to_int, upper_trim,
 )
-from tabulae.operators.columns import columns_by_rule, project, suffix_columns
-from tabulae.operators.lookups import fits_broadcast, lookup
+from tabulae.operators.columns import columns_by_rule, project
+from tabulae.operators.lookups import fits_broadcast, lookup, lookup_role
 from tabulae.sinks import write_table
 from tabulae.sources.delimited import scan_delimited
 from tabulae.sources.files import list_files
@@ -71,11 +71,11 @@ def partners_table(raw: DataFrame, quals: DataFrame, pais: DataFrame, small: dic
         "data_entrada_sociedade": to_date8("data_entrada_sociedade"),
     })
     quals = quals.select("cod_quals", "nome_quals")
-    # one code table in two roles: the legal representative's qualification
     q_small = small.get("quals")
     if q_small is None:
         q_small = fits_broadcast(quals)  # one check for both roles
-    df = lookup(df, suffix_columns(quals, "_rep_legal"), "cod_quals_rep_legal", "left", small=q_small)
+    # one code table in two roles, broadcast once
+    df = lookup_role(df, quals, "cod_quals", "cod_quals_rep_legal", {"nome_quals": "nome_quals_rep_legal"}, small=q_small)
     df = lookup(df, quals, "cod_quals", "left", small=q_small)
     df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left", small=small.get("pais"))
     return df.select(*S.PARTNER_OUT)

@@ -35,3 +35,11 @@ def test_scan_prunes_columns(spark):
     # only the columns the stand-in uses are read from the customer table
     assert "c_mktsegment" in plan and "c_acctbal" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,c_mktsegment:string>" in plan or "ReadSchema" in plan
+
+
+def test_two_roles_broadcast_once(spark):
+    df = E.queries()["registry_partners"](spark, SF001)
+    df.collect()  # run it: AQE finalises the plan and reuses exchanges
+    final = _plan(df)
+    assert "isFinalPlan=true" in final
+    assert "ReusedExchange" in final  # the qualification table is shipped once for both roles

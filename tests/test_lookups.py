@@ -67,3 +67,18 @@ def test_union_by_name_reordered(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     b = spark.createDataFrame([("y", 2)], "v string, k int")
     assert rows(union_by_name([a, b])) == [(1, "x"), (2, "y")]
+
+
+def test_lookup_role_matches_renamed_lookup(spark):
+    from tabulae.operators.columns import suffix_columns
+    from tabulae.operators.lookups import lookup_role
+
+    fact = spark.createDataFrame([(1, 10, 20), (2, None, 10), (3, 99, None)], "id int, q int, q_rep int")
+    dim = spark.createDataFrame([(10, "ten"), (20, "twenty")], "q int, name string")
+    a = lookup_role(fact, dim, "q", "q_rep", {"name": "name_rep"})
+    b = lookup(fact, suffix_columns(dim, "_rep").withColumnRenamed("q_rep", "q_rep"), "q_rep", "left")
+    want = [(1, 10, 20, "twenty"), (2, None, 10, "ten"), (3, 99, None, None)]
+    assert rows(a.select("id", "q", "q_rep", "name_rep")) == want
+    assert rows(b.select("id", "q", "q_rep", "name_rep")) == want
+    c = lookup_role(fact, dim, "q", "q_rep", {"name": "name_rep"}, max_broadcast_rows=0)
+    assert rows(c.select("id", "q", "q_rep", "name_rep")) == want

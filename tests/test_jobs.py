@@ -16,11 +16,11 @@ from conftest import rows
 
 
 def test_link_manifest(spark):
-    html = ('<a href="/CNPJ/Empresas0.zip">x</a><A class="c" HREF=\'/CNPJ/Socios1.zip\'>y</A>'
+    html = ('<a href="/registro/Empresas0.zip">x</a><A class="c" HREF=\'/registro/Socios1.zip\'>y</A>'
             '<a data-href="/no.zip">n</a><a name="top">t</a><a href="/mun/EXP_2020_MUN.csv">e</a>'
             '<a href="/ncm/EXP_2020.csv">n</a>')
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")
-    assert rows(link_manifest(pages, keep=["page_id"], suffix=".zip")) == [(1, "/CNPJ/Empresas0.zip"), (1, "/CNPJ/Socios1.zip")]
+    assert rows(link_manifest(pages, keep=["page_id"], suffix=".zip")) == [(1, "/registro/Empresas0.zip"), (1, "/registro/Socios1.zip")]
     assert rows(link_manifest(pages, suffix=".csv", contains="mun")) == [("/mun/EXP_2020_MUN.csv",)]
 
 
@@ -116,7 +116,7 @@ def test_download_manifest(spark):
 
     html = ('<a href="https://x/mun/EXP_2015_MUN.csv">a</a><a href="https://x/mun/EXP_2016_MUN.csv">b</a>'
             '<a href="https://x/ncm/EXP_2016.csv">c</a><a href="https://x/mun/IMP_2021_MUN.csv">d</a>'
-            '<a href="/CNPJ/Empresas0.zip">e</a>')
+            '<a href="/registro/Empresas0.zip">e</a>')
     pages = spark.createDataFrame([(html,)], "html string")
     trade = download_manifest(pages, ".csv", contains="mun", marker_regex="mun/", years=(2016, 2021))
     assert sorted((r.name, r.year) for r in trade.collect()) == [("EXP_2016_MUN.csv", 2016), ("IMP_2021_MUN.csv", 2021)]

@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("out_root")
     parser.add_argument("--partition-by", nargs="*", default=None,
                         help="trade: columns to lay the flows out by (e.g. ano)")
+    parser.add_argument("--fact-sep", default=",", help="trade: separator of the fact files (';' for the portal's own)")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tabulae-{args.job}").getOrCreate()
     if args.job == "registry":
@@ -31,7 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from tabulae.plans import trade
 
-        out = trade.run(spark, args.raw_root, args.out_root, partition_by=args.partition_by)
+        out = trade.run(spark, args.raw_root, args.out_root, partition_by=args.partition_by, fact_sep=args.fact_sep)
     for name, path in out.items():
         print(f"{name}\t{path}")
     return 0

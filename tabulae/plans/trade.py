@@ -94,17 +94,20 @@ def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: Data
 # --- file-level job ---------------------------------------------------------
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
-        partition_by: list[str] | None = None) -> dict[str, str]:
+        partition_by: list[str] | None = None, fact_sep: str = ",", aux_sep: str = ",",
+        encoding: str = "UTF-8") -> dict[str, str]:
     """``raw_root/mun/*EXP*|*IMP*`` facts + ``raw_root/aux_tables`` lookups.
 
     ``partition_by=["ano"]`` lays the flows out by year, so readers that
-    filter on the year prune whole directories.
+    filter on the year prune whole directories.  The fact files are read with
+    real CSV quoting, so the portal's own ``;``-separated quoted files work
+    as they are (``fact_sep=";"``), with no rewriting step.
     """
     aux = f"{raw_root}/aux_tables"
 
     def lookup_file(name: str, cols: list[str]) -> DataFrame:
         paths = [r["path"] for r in list_files(spark, f"{aux}/{name}").select("path").collect()]
-        return union_by_name([df.select(*cols) for df in scan_header_groups(spark, paths)])
+        return union_by_name([df.select(*cols) for df in scan_header_groups(spark, paths, sep=aux_sep, encoding=encoding)])
 
     mun = municipalities(lookup_file("UF_MUN.csv", S.TRADE_MUN_COLS))
     pais = countries(lookup_file("PAIS.csv", S.TRADE_COUNTRY_COLS))
@@ -116,7 +119,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     for flow_name, marker in S.TRADE_FLOWS.items():
         paths = sorted(r["path"] for r in listing if marker in r["name"])
         # one scan per distinct header; each file is still judged on its own columns
-        df = flow(scan_header_groups(spark, paths), mun, pais, prod, prepared)
+        df = flow(scan_header_groups(spark, paths, sep=fact_sep, encoding=encoding), mun, pais, prod, prepared)
         out[flow_name] = f"{out_root}/comex_{flow_name}"
         write_table(df, out[flow_name], fmt, partition_by=partition_by)
     return out

@@ -68,3 +68,19 @@ def test_trade_job_partitioned_by_year(spark, tmp):
     exp = spark.read.parquet(paths["exp"]).where("ano = 2021")
     assert "PartitionFilters: [isnotnull(ano" in exp._jdf.queryExecution().executedPlan().toString()
     assert exp.count() == 1
+
+
+def test_trade_job_reads_portal_files_as_they_are(spark, tmp):
+    raw, out = f"{tmp}/raw", f"{tmp}/out"
+    make_raw(raw)
+    # replace the facts by ';'-separated, fully quoted files
+    for name in os.listdir(f"{raw}/mun"):
+        os.remove(f"{raw}/mun/{name}")
+    write(f"{raw}/mun/EXP_2020_MUN.csv", ['"CO_ANO";"CO_MES";"SH4";"CO_PAIS";"SG_UF_MUN";"CO_MUN";"KG_LIQUIDO";"VL_FOB"',
+                                         '"2020";"01";"0101";"105";"SP";"3550308";"100";"7"'])
+    write(f"{raw}/mun/IMP_2020_MUN.csv", ['"CO_ANO";"CO_MES";"SH4";"CO_PAIS";"SG_UF_MUN";"CO_MUN";"KG_LIQUIDO";"VL_FOB"',
+                                         '"2020";"02";"0201";"249";"RJ";"3304557";"5";"6"'])
+    paths = T.run(spark, raw, out, fact_sep=";")
+    got = [(r.ano, r.SH4, r.nome_municipio, r.VL_FOB) for r in spark.read.parquet(paths["exp"]).collect()]
+    assert got == [(2020, 101, "Sao Paulo", 7)]
+    assert spark.read.parquet(paths["imp"]).count() == 1

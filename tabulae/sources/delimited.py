@@ -92,7 +92,8 @@ def _header_reader(encoding: str):
                 with fs.open_input_stream(path) as fh:
                     head = fh.read(_MAX_HEADER_BYTES)
                 line = head.split(b"\n", 1)[0].rstrip(b"\r")
-                out.append((uri, line.decode(encoding)))
+                # exports often start with a byte-order mark: not part of the name
+                out.append((uri, line.decode(encoding).lstrip("\ufeff")))
             yield pd.DataFrame(out, columns=["path", "header"])
     return run
 

@@ -79,3 +79,11 @@ def test_header_groups(spark, tmp):
     groups = scan_header_groups(spark, paths)
     assert len(groups) == 2  # one scan per distinct header
     assert rows(union_by_name(groups).select("A", "B")) == [("1", "x"), ("2", "y"), ("3", "z"), ("4", "w")]
+
+
+def test_header_with_byte_order_mark(spark, tmp):
+    from tabulae.sources.delimited import scan_header_groups
+
+    write(f"{tmp}/bom/a.csv", "﻿CO_ANO,NO\n2020,x\n", encoding="utf-8")
+    (df,) = scan_header_groups(spark, [f"{tmp}/bom/a.csv"])
+    assert df.columns == ["CO_ANO", "NO"] and rows(df) == [("2020", "x")]

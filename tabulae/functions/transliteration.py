@@ -35,8 +35,9 @@ LATIN1_ASCII = [
 
 # FIXED VALUES: Latin Extended-A letters that have no canonical decomposition.
 EXTENDED_A_SPECIAL = {
-    "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "Ĳ": "IJ", "ĳ": "ij",
-    "Ł": "L", "ł": "l", "Œ": "OE", "œ": "oe", "Ŧ": "T", "ŧ": "t", "ſ": "s",
+    "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "Ĳ": "IJ", "ĳ": "ij", "ĸ": "q",
+    "Ŀ": "L", "ŀ": "l", "Ł": "L", "ł": "l", "ŉ": "'n", "Œ": "OE", "œ": "oe", "Ŧ": "T",
+    "ŧ": "t", "ſ": "s",
 }
 
 

@@ -89,7 +89,7 @@ def test_new_only_both_paths(spark):
 
     manifest = spark.createDataFrame([("a.zip", 1), ("b.zip", 2), ("c.zip", 3), (None, 4)], "name string, n int")
     ledger = spark.createDataFrame([("a.zip",), ("a.zip",), ("c.zip",)], "name string")
-    want = [("b.zip", 2), (None, 4)]  # duplicates in the ledger are harmless; a null name is never "done"
+    want = [(None, 4), ("b.zip", 2)]  # duplicates in the ledger are harmless; a null name is never "done"
     assert rows(new_only(manifest, ledger, "name")) == want
     assert rows(new_only(manifest, ledger, "name", max_broadcast_rows=0)) == want
     assert new_only(manifest, ledger, "name", overwrite=True).count() == 4

@@ -13,11 +13,14 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    compression: str = "zstd",
 ) -> None:
     """Write ``df`` to ``path``.  Overwrite by default, so a re-run succeeds.
 
-    CSV keeps blanks as they are (Spark's writer trims them otherwise) and is
-    written in parallel by the executors, never through the driver.
+    Parquet is zstd-compressed by default (smaller files and, measured on the
+    establishments table, faster end to end than snappy).  CSV keeps blanks
+    as they are (Spark's writer trims them otherwise) and is written in
+    parallel by the executors, never through the driver.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown output format {fmt!r}; choose one of {FORMATS}")
@@ -25,7 +28,7 @@ def write_table(
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "parquet":
-        w.parquet(path)
+        w.option("compression", compression).parquet(path)
     else:
         w.options(
             header="true", quote='"', escape='"',

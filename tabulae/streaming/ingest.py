@@ -23,12 +23,17 @@ def ingest_available(
     options: dict[str, str] | None = None,
     multiline: bool = False,
     transform=None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     recursive: bool = True,
     file_glob: str | None = None,
 ) -> int:
     """Ingest every not-yet-seen delimited file of ``source_dir`` into the
-    parquet table ``sink_dir``; returns the number of micro-batches run."""
+    parquet table ``sink_dir``; returns the number of micro-batches run.
+
+    A backlog is drained in micro-batches of at most
+    ``max_files_per_trigger`` files, each committed to the checkpoint, so a
+    failure late in a large backlog redoes one batch, not all of it.
+    """
     opts = dict(REGISTRY_READ_OPTIONS if options is None else options)
     opts.update({"header": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     if multiline:

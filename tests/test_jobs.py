@@ -131,3 +131,13 @@ def test_cli_runs_trade_job(spark, tmp):
     make_raw(f"{tmp}/raw")
     assert main(["trade", f"{tmp}/raw", f"{tmp}/out"]) == 0
     assert spark.read.parquet(f"{tmp}/out/comex_imp").count() == 1
+
+
+def test_stream_backlog_in_bounded_batches(spark, tmp):
+    schema = string_schema(["k", "v"])
+    landing, sink, ckpt = f"{tmp}/landing", f"{tmp}/sink", f"{tmp}/ckpt"
+    for i in range(3):
+        write_delimited(spark.createDataFrame([(str(i), "x")], "k string, v string"), f"{landing}/d{i}")
+    batches = ingest_available(spark, landing, schema, sink, ckpt, max_files_per_trigger=1)
+    assert batches >= 3
+    assert spark.read.parquet(sink).count() == 3

@@ -69,7 +69,9 @@ def scan_header_csv(
 
 def csv_to_parquet(spark: SparkSession, src: str | list[str], dst: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Convert header CSV to parquet (overwrite) and return the parquet table."""
-    scan_header_csv(spark, src, sep=sep, encoding=encoding).write.mode("overwrite").parquet(dst)
+    from tabulae.sinks import write_table
+
+    write_table(scan_header_csv(spark, src, sep=sep, encoding=encoding), dst)
     return spark.read.parquet(dst)
 
 

@@ -49,6 +49,7 @@ def ingest_available(
         stream = transform(stream)
     q = (stream.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_dir)
+         .option("compression", "zstd")
          .outputMode("append")
          .trigger(availableNow=True)
          .start(sink_dir))

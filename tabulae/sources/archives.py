@@ -2,13 +2,16 @@
 
 One task per (archive, member): the member is streamed from the archive to
 its destination in fixed-size chunks, so memory stays flat whatever the
-member size, and a task that is lost is simply re-run (it rewrites the same
-destination file).  File access goes through ``pyarrow.fs``, which reaches
-local, HDFS and object-store paths alike.
+member size.  Each member is written under a unique temporary name and moved
+into place, so a lost, retried or speculative task never leaves a torn file.
+Member names are checked: none may leave the destination folder.  File
+access goes through ``pyarrow.fs``, which reaches local, HDFS and
+object-store paths alike.
 """
 
 from __future__ import annotations
 
+import posixpath
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -28,6 +31,14 @@ EXTRACT_SCHEMA = "archive string, member string, path string, bytes long"
 PACK_SCHEMA = "source string, archive string, bytes long"
 
 
+def safe_member(name: str) -> str:
+    """The member's relative path, refusing absolute paths and ``..`` escapes."""
+    norm = posixpath.normpath(name.replace("\\", "/"))
+    if norm.startswith("/") or norm == ".." or norm.startswith("../") or ":" in norm.split("/", 1)[0]:
+        raise ValueError(f"archive member escapes the destination: {name!r}")
+    return norm
+
+
 def _stem(name: str) -> str:
     return name[:-4] if name.lower().endswith(".zip") else name
 
@@ -39,7 +50,8 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fs, path = _fs(uri)
             with fs.open_input_file(path) as raw, zipfile.ZipFile(raw) as zf:
                 rows += [(uri, info.filename, info.file_size) for info in zf.infolist() if not info.is_dir()]
-        yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["archive", "member", "size"])
 
 
 def list_members(spark: SparkSession, archive_root: str, suffix: str = ".zip") -> DataFrame:
@@ -58,7 +70,8 @@ def _extractor(dest_root: str):
             for archive, member in zip(pdf["archive"], pdf["member"]):
                 in_fs, in_path = _fs(archive)
                 folder = _stem(archive.rstrip("/").rsplit("/", 1)[-1])
-                target = f"{out_base.rstrip('/')}/{folder}/{member}"
+                relative = safe_member(member)
+                target = f"{out_base.rstrip('/')}/{folder}/{relative}"
                 out_fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 written = 0
                 # a retried or speculative copy of this task writes its own
@@ -70,8 +83,9 @@ def _extractor(dest_root: str):
                         dst.write(chunk)
                         written += len(chunk)
                 out_fs.move(partial, target)
-                rows.append((archive, member, f"{dest_root.rstrip('/')}/{folder}/{member}", written))
-            yield pd.DataFrame(rows, columns=["archive", "member", "path", "bytes"])
+                rows.append((archive, member, f"{dest_root.rstrip('/')}/{folder}/{relative}", written))
+            if rows:
+                yield pd.DataFrame(rows, columns=["archive", "member", "path", "bytes"])
     return run
 
 
@@ -111,7 +125,8 @@ def _packer(dest_root: str, member_suffix: str):
                         dst.write(chunk)
                 out_fs.move(partial, target)
                 rows.append((uri, f"{dest_root.rstrip('/')}/{stem}.zip", out_fs.get_file_info(target).size))
-            yield pd.DataFrame(rows, columns=["source", "archive", "bytes"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["source", "archive", "bytes"])
     return run
 
 

@@ -141,3 +141,15 @@ def test_stream_backlog_in_bounded_batches(spark, tmp):
     batches = ingest_available(spark, landing, schema, sink, ckpt, max_files_per_trigger=1)
     assert batches >= 3
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_archive_members_cannot_escape():
+    import pytest
+
+    from tabulae.sources.archives import safe_member
+
+    assert safe_member("K3241.EMPRECSV") == "K3241.EMPRECSV"
+    assert safe_member("dir/./a.csv") == "dir/a.csv"
+    for bad in ("../x", "a/../../x", "/etc/x", "..", "C:/x"):
+        with pytest.raises(ValueError):
+            safe_member(bad)

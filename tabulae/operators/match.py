@@ -22,7 +22,12 @@ from tabulae.operators.lookups import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 @dataclass
 class Tier:
     """``keys`` maps record column -> reference column; ``accept`` filters
-    reference rows (``None`` accepts all)."""
+    reference rows (``None`` accepts all).
+
+    ``accept`` may use the reference's key columns: on a match they equal the
+    record's, so "the matched address contains the record's city" is
+    ``F.col("address").contains(F.col("city"))`` when the city is a key.
+    """
 
     keys: dict[str, str]
     accept: Column | None = None

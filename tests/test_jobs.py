@@ -153,3 +153,52 @@ def test_archive_members_cannot_escape():
     for bad in ("../x", "a/../../x", "/etc/x", "..", "C:/x"):
         with pytest.raises(ValueError):
             safe_member(bad)
+
+
+def test_tiered_match_with_address_rules(spark):
+    # (id, street, bairro, cep, city, state, matched address, score, quality, lat, lng)
+    ref = [
+        (1, "rua a", "centro", "01000", "sao paulo", "SP", "Rua A, Centro, sao paulo", 100, "Locality", 1.0, 1.0),
+        (2, "rua b", "centro", "01000", "sao paulo", "SP", "Rua B, somewhere else", 100, "PointAddress", 2.0, 2.0),
+        (3, None, "centro", None, "sao paulo", "SP", "Centro, sao paulo", 85, "Locality", 3.0, 3.0),
+        (4, None, None, "01000", "sao paulo", "SP", "01000", 10, "Postal", 4.0, 4.0),
+        (5, "rua c", "vila", "02000", "sao paulo", "SP", "Rua C, Vila, sao paulo", 85, "Locality", 5.0, 5.0),
+    ]
+    recs = [  # rid, rua, bairro, cep, municipio, uf
+        (10, "rua a", "centro", "01000", "sao paulo", "SP"),   # tier 1 (score 100, contains city)
+        (11, "rua b", "centro", "01000", "sao paulo", "SP"),   # tier 1 rejects (city missing) -> tier 2
+        (12, "rua c", "vila", "02000", "sao paulo", "SP"),     # tier 1 rejects (85, Locality); tier 2 none for vila? -> tier 2 via ref 5
+        (13, "rua z", "nowhere", "01000", "sao paulo", "SP"),  # tier 3 by cep
+        (14, "rua z", "nowhere", "99999", "sao paulo", "SP"),  # no match
+    ]
+    rdf = spark.createDataFrame(ref, "id int, street string, bairro string, cep string, city string, state string, "
+                                     "address string, score int, quality string, lat double, lng double")
+    cdf = spark.createDataFrame(recs, "rid int, rua string, b string, c string, municipio string, uf string")
+    has_city = F.col("address").contains(F.col("city"))
+    tiers = [
+        Tier({"rua": "street", "b": "bairro", "municipio": "city", "uf": "state"},
+             has_city & ((F.col("score") == 100) | ((F.col("score") >= 80) & F.col("quality").isin("PointAddress", "StreetAddress")))),
+        Tier({"b": "bairro", "municipio": "city", "uf": "state"}, has_city & (F.col("score") >= 80)),
+        Tier({"c": "cep", "municipio": "city", "uf": "state"}),
+    ]
+    got = {r.rid: (r.lat, r.tier) for r in tiered_match(cdf, rdf, tiers, ["lat", "lng"], [-F.col("score"), F.col("id")]).collect()}
+
+    def brute(rid, rua, b, c, mun, uf):
+        def ok1(g):
+            return (g[1], g[2], g[4], g[5]) == (rua, b, mun, uf) and mun in g[6] and (
+                g[7] == 100 or (g[7] >= 80 and g[8] in ("PointAddress", "StreetAddress")))
+
+        def ok2(g):
+            return (g[2], g[4], g[5]) == (b, mun, uf) and mun in g[6] and g[7] >= 80
+
+        def ok3(g):
+            return (g[3], g[4], g[5]) == (c, mun, uf)
+
+        for t, ok in enumerate((ok1, ok2, ok3), start=1):
+            cands = sorted((g for g in ref if ok(g)), key=lambda g: (-g[7], g[0]))
+            if cands:
+                return (cands[0][9], t)
+        return (None, None)
+
+    assert got == {r[0]: brute(*r) for r in recs}
+    assert got[10] == (1.0, 1) and got[11][1] == 2 and got[13] == (1.0, 3) and got[14] == (None, None)

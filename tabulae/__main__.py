@@ -1,7 +1,7 @@
 """Command line for the two jobs, meant for ``spark-submit``:
 
-    spark-submit --py-files tabulae.zip -m tabulae registry <raw_root> <out_root>
-    python -m tabulae trade <raw_root> <out_root> [--partition-by ano]
+    spark-submit --py-files tabulae.zip tabulae/__main__.py registry <raw_root> <out_root>
+    python -m tabulae trade <raw_root> <out_root> [--partition-by ano] [--fact-sep ';']
 
 The session comes from the submit configuration (``getOrCreate``); nothing
 here overrides cluster settings.

@@ -28,14 +28,16 @@ def code_table(raw: DataFrame, name: str) -> DataFrame:
     return raw.select(to_int(cod).alias(cod), clean_text(nome).alias(nome))
 
 
-def simples_table(raw: DataFrame) -> DataFrame:
+def simples_table(raw: DataFrame, pad: bool = True) -> DataFrame:
     """Small-company regime flags; the four ``data_*`` columns become dates.
 
-    The key is padded like in the three sibling tables so all four join.
+    The key is padded like in the three sibling tables so all four join
+    (``pad=False`` keeps it as delivered).
     """
     dates = columns_by_rule(raw.columns, contains="data")
     fixes = {c: to_date8(c) for c in dates}
-    fixes["cnpj"] = pad_key("cnpj", S.CNPJ_ROOT_WIDTH)
+    if pad:
+        fixes["cnpj"] = pad_key("cnpj", S.CNPJ_ROOT_WIDTH)
     return raw.withColumns(fixes).select(*S.SIMPLES_COLS)
 
 
@@ -136,11 +138,13 @@ def scan_table(spark: SparkSession, paths: list[str], cols: list[str]) -> DataFr
 
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
-        partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+        partition_by: dict[str, list[str]] | None = None, compat: bool = False) -> dict[str, str]:
     """Whole register: code tables first (the others decode against them).
 
     ``partition_by`` optionally lays a published table out by columns, e.g.
-    ``{"estab": ["uf"]}``.
+    ``{"estab": ["uf"]}``.  ``compat=True`` publishes the earlier types where
+    the defaults deliberately differ: ``capital_social`` as float and the
+    simples key unpadded.
     """
     if fmt != "parquet":
         raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
@@ -159,10 +163,12 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     big = {kind: scan_table(spark, files[kind], cols) for kind, cols in
            (("companies", S.COMPANY_COLS), ("partners", S.PARTNER_COLS), ("establishments", S.ESTAB_COLS))}
     out["simples"] = f"{out_root}/df_simples"
-    write_table(simples_table(simples), out["simples"], fmt, partition_by=layout.get("simples"))
+    write_table(simples_table(simples, pad=not compat), out["simples"], fmt, partition_by=layout.get("simples"))
 
     out["empresas"] = f"{out_root}/df_empresas"
-    write_table(companies_table(big["companies"], codes["natju"], codes["quals"], small=small), out["empresas"], fmt, partition_by=layout.get("empresas"))
+    capital = "float" if compat else "decimal(18,2)"
+    write_table(companies_table(big["companies"], codes["natju"], codes["quals"], capital_type=capital, small=small),
+                out["empresas"], fmt, partition_by=layout.get("empresas"))
 
     out["socios"] = f"{out_root}/df_socios"
     write_table(partners_table(big["partners"], codes["quals"], codes["pais"], small=small), out["socios"], fmt, partition_by=layout.get("socios"))

@@ -42,15 +42,19 @@ def products(raw: DataFrame) -> DataFrame:
     return distinct_rows(df)
 
 
-def fact_file(raw: DataFrame) -> DataFrame:
-    """One raw fact file -> typed published fact columns (before lookups)."""
+def fact_file(raw: DataFrame, measure_type: str = "bigint") -> DataFrame:
+    """One raw fact file -> typed published fact columns (before lookups).
+
+    Measures are ``bigint`` (values above 2^31 exist); ``measure_type="int"``
+    gives the earlier type, where such values become null.
+    """
     df = drop_all_null(raw)
     typed = {}
     for c in S.TRADE_FACT_COLS:
         if c in S.TRADE_TEXT_COLS:
             typed[c] = F.col(c)
         elif c in S.TRADE_MEASURES:
-            typed[c] = to_int(c, "bigint")
+            typed[c] = to_int(c, measure_type)
         else:
             typed[c] = to_int(c)
     return df.select([e.alias(c) for c, e in typed.items()])
@@ -84,24 +88,26 @@ def decorate(facts: DataFrame, mun: DataFrame, pais: DataFrame, prod: DataFrame,
     return df.select(*S.TRADE_OUT)
 
 
-def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: DataFrame, prepared: dict | None = None) -> DataFrame:
+def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: DataFrame, prepared: dict | None = None,
+         measure_type: str = "bigint") -> DataFrame:
     """All files of one flow, stacked by column name, decorated once."""
     if not raw_files:
         raise ValueError("no fact files for this flow")
-    return decorate(union_by_name([fact_file(r) for r in raw_files]), mun, pais, prod, prepared)
+    return decorate(union_by_name([fact_file(r, measure_type) for r in raw_files]), mun, pais, prod, prepared)
 
 
 # --- file-level job ---------------------------------------------------------
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
         partition_by: list[str] | None = None, fact_sep: str = ",", aux_sep: str = ",",
-        encoding: str = "UTF-8") -> dict[str, str]:
+        encoding: str = "UTF-8", compat: bool = False) -> dict[str, str]:
     """``raw_root/mun/*EXP*|*IMP*`` facts + ``raw_root/aux_tables`` lookups.
 
     ``partition_by=["ano"]`` lays the flows out by year, so readers that
     filter on the year prune whole directories.  The fact files are read with
     real CSV quoting, so the portal's own ``;``-separated quoted files work
-    as they are (``fact_sep=";"``), with no rewriting step.
+    as they are (``fact_sep=";"``), with no rewriting step.  ``compat=True``
+    publishes the measures as ``int`` (the earlier type).
     """
     aux = f"{raw_root}/aux_tables"
 
@@ -119,7 +125,8 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     for flow_name, marker in S.TRADE_FLOWS.items():
         paths = sorted(r["path"] for r in listing if marker in r["name"])
         # one scan per distinct header; each file is still judged on its own columns
-        df = flow(scan_header_groups(spark, paths, sep=fact_sep, encoding=encoding), mun, pais, prod, prepared)
+        df = flow(scan_header_groups(spark, paths, sep=fact_sep, encoding=encoding), mun, pais, prod, prepared,
+                  measure_type="int" if compat else "bigint")
         out[flow_name] = f"{out_root}/comex_{flow_name}"
         write_table(df, out[flow_name], fmt, partition_by=partition_by)
     return out

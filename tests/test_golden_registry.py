@@ -141,3 +141,11 @@ def test_incremental_register(spark, tmp):
     ref = spark.read.parquet(batch["empresas"])
     assert sorted(map(tuple, inc.select(*ref.columns).collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
     assert spark.read.parquet(f"{out}/df_estab").count() == 2
+
+
+def test_register_compat_types(spark, tmp):
+    make_raw(f"{tmp}/raw")
+    paths = R.run(spark, f"{tmp}/raw", f"{tmp}/out", compat=True)
+    emp = spark.read.parquet(paths["empresas"])
+    assert dict((f.name, f.dataType.simpleString()) for f in emp.schema.fields)["capital_social"] == "float"
+    assert spark.read.parquet(paths["simples"]).collect()[0].cnpj == "12"

@@ -176,3 +176,13 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     out["estab"] = f"{out_root}/df_estab"
     write_table(establishments_table(big["establishments"], codes["mun"], codes["pais"], small=small), out["estab"], fmt, partition_by=layout.get("estab"))
     return out
+
+
+def run_archives(spark: SparkSession, archive_root: str, work_root: str, out_root: str, **kwargs) -> dict[str, str]:
+    """Downloaded ``.zip`` archives -> published tables: every member is
+    unpacked in parallel (one task per member) into ``work_root/<archive>/``,
+    then the whole register is built from there."""
+    from tabulae.sources.archives import unpack_archives
+
+    unpack_archives(spark, archive_root, work_root)
+    return run(spark, work_root, out_root, **kwargs)

@@ -149,3 +149,26 @@ def test_register_compat_types(spark, tmp):
     emp = spark.read.parquet(paths["empresas"])
     assert dict((f.name, f.dataType.simpleString()) for f in emp.schema.fields)["capital_social"] == "float"
     assert spark.read.parquet(paths["simples"]).collect()[0].cnpj == "12"
+
+
+def test_register_from_archives(spark, tmp):
+    import zipfile
+
+    make_raw(f"{tmp}/raw")
+    os.makedirs(f"{tmp}/zips")
+    # one archive per top-level entry, as the portal ships them
+    for entry in sorted(os.listdir(f"{tmp}/raw")):
+        src = f"{tmp}/raw/{entry}"
+        stem = entry.split("$", 1)[-1].replace(".", "_")
+        with zipfile.ZipFile(f"{tmp}/zips/{stem}.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+            if os.path.isdir(src):
+                for name in os.listdir(src):
+                    zf.write(f"{src}/{name}", name)
+            else:
+                zf.write(src, entry)
+    paths = R.run_archives(spark, f"{tmp}/zips", f"{tmp}/work", f"{tmp}/out")
+    direct = R.run(spark, f"{tmp}/raw", f"{tmp}/direct")
+    for t in ("empresas", "socios", "estab", "simples", "quals"):
+        a = sorted(map(tuple, spark.read.parquet(paths[t]).collect()), key=str)
+        b = sorted(map(tuple, spark.read.parquet(direct[t]).collect()), key=str)
+        assert a == b, t

@@ -43,11 +43,16 @@ def candidates(ref: DataFrame, tier: Tier) -> DataFrame:
 
 
 def best_per_key(ref: DataFrame, tier: Tier, values: list[str], rank: list[Column], out: str) -> DataFrame:
-    """One row per tier key: the ``values`` of the lowest ``rank`` row."""
+    """One row per tier key: the ``values`` of the lowest ``rank`` row.
+
+    A missing rank value ranks last (each field is preceded by its null
+    flag; struct order would otherwise put nulls first).
+    """
     cand = candidates(ref, tier)
     key_cols = [F.col(rc).alias(fc) for fc, rc in tier.keys.items()]
+    order = F.struct(*[e for i, r in enumerate(rank) for e in (r.isNull().alias(f"n{i}"), r.alias(f"r{i}"))])
     return (cand.groupBy(*key_cols)
-                .agg(F.min_by(F.struct(*values), F.struct(*rank)).alias(out)))
+                .agg(F.min_by(F.struct(*values), order).alias(out)))
 
 
 def _attach_tiers(df: DataFrame, bests: list[tuple[DataFrame, list[str], bool]], values: list[str],

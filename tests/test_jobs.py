@@ -202,3 +202,11 @@ def test_tiered_match_with_address_rules(spark):
 
     assert got == {r[0]: brute(*r) for r in recs}
     assert got[10] == (1.0, 1) and got[11][1] == 2 and got[13] == (1.0, 3) and got[14] == (None, None)
+
+
+def test_missing_score_ranks_last(spark):
+    ref = spark.createDataFrame([(1, "SP", None, 9.0), (2, "SP", 10, 1.0), (3, "SP", None, 8.0)],
+                                "id int, state string, score int, lat double")
+    recs = spark.createDataFrame([(1, "SP")], "rid int, uf string")
+    got = tiered_match(recs, ref, [Tier({"uf": "state"})], ["lat"], [-F.col("score"), F.col("id")]).collect()
+    assert [(r.lat, r.tier) for r in got] == [(1.0, 1)]

@@ -9,6 +9,7 @@ absent (local tests) do we pick a local directory ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -32,6 +33,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # wide cleaning projections generate methods over HotSpot's 8000-byte
         # JIT limit; let them compile instead of running interpreted
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
@@ -86,10 +88,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH_MADE: list[str] = []
+
+
+def _remove_scratch() -> None:
+    """At interpreter exit, delete the scratch folders this process created.
+
+    Nothing outlives the process that made them (a DataFrame cannot leave
+    it), so they are only disk space by then.  Best effort: a path that is
+    gone or unreachable is skipped.
+    """
+    from tabulae.sources.fs import filesystem
+
+    while _SCRATCH_MADE:
+        uri = _SCRATCH_MADE.pop()
+        try:
+            fs, path = filesystem(uri)
+            fs.delete_dir(path)
+        except Exception:  # noqa: BLE001 - cleanup must never fail the exit
+            pass
+
+
+atexit.register(_remove_scratch)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory URI under the shared checkpoint root."""
+    """A fresh, unique directory URI under the shared checkpoint root
+    (removed when this Python process exits)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tabulae-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tabulae-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH_MADE.append(path)
+    return path
 
 
 def local_path(uri: str) -> str:

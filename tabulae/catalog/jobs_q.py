@@ -93,9 +93,11 @@ def q_ingest_stream(spark, sf):
     sink = scratch_path(spark, "ingested")
     ckpt = scratch_path(spark, "ingest-ckpt")
     docs = _documents(spark, sf)
-    for batch in range(3):
-        part = docs.where(F.col("doc_id").cast("long") % 3 == batch)
-        write_delimited(part, f"{landing}/delivery={batch}")
+    # one delivery per language (a handful of values), each ingested on arrival;
+    # together they are the whole table
+    langs = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
+    for n, lang in enumerate(langs):
+        write_delimited(docs.where(F.col("lang") == lang), f"{landing}/delivery={n}")
         ingest_available(spark, landing, string_schema(DOC_COLS), sink, ckpt, multiline=True)
     return spark.read.parquet(sink).select(*DOC_COLS)
 
@@ -110,8 +112,9 @@ def q_ingest_stream_companies(spark, sf):
     ckpt = scratch_path(spark, "companies-ckpt")
     natju, quals = RQ.codes(spark, sf, "nation", "natju"), RQ.codes(spark, sf, "region", "quals")
     raw = RQ.COMPANIES.df(spark, sf)
-    for batch in range(3):
-        write_delimited(raw.where(F.col("cnpj").cast("long") % 3 == batch), f"{landing}/delivery={batch}")
+    # one delivery per company-size code ("0".."5" in the stand-in): the whole table
+    for n, size in enumerate(["0", "1", "2", "3", "4", "5"]):
+        write_delimited(raw.where(F.col("porte") == size), f"{landing}/delivery={n}")
         # stream-static joins: the code tables are checked and broadcast as in batch
         ingest_available(spark, landing, string_schema(S.COMPANY_COLS), sink, ckpt,
                          transform=lambda s: R.companies_table(s, natju, quals))

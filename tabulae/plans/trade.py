@@ -1,9 +1,10 @@
 """Foreign-trade job: three lookup tables and one fact table per flow.
 
-Each fact file is cleaned on its own columns (an all-null row is judged on
-every column the file has), cut down to the published columns, and the files
-of a flow are stacked by name *before* the lookups, so each code table is
-broadcast once per flow, not once per file.
+Fact files sharing a header are read by one scan, and each scan is cleaned
+on its own columns: an all-null row is judged on every column the file has.
+The scans are cut down to the published columns and stacked by name *before*
+the lookups, so each code table is broadcast once per flow, not once per
+file.
 """
 
 from __future__ import annotations

@@ -132,7 +132,8 @@ def scan_header_groups(
     """
     groups: dict[str, list[str]] = {}
     for path, header in read_headers(spark, paths, encoding).items():
-        groups.setdefault(header, []).append(path)
+        if header.strip():  # an empty file has no header and no rows
+            groups.setdefault(header, []).append(path)
     out = []
     for header, group in sorted(groups.items()):
         opts = {"header": "true", "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', **_KEEP_BLANKS}

@@ -87,3 +87,12 @@ def test_header_with_byte_order_mark(spark, tmp):
     write(f"{tmp}/bom/a.csv", "﻿CO_ANO,NO\n2020,x\n", encoding="utf-8")
     (df,) = scan_header_groups(spark, [f"{tmp}/bom/a.csv"])
     assert df.columns == ["CO_ANO", "NO"] and rows(df) == [("2020", "x")]
+
+
+def test_empty_header_file_is_skipped(spark, tmp):
+    from tabulae.sources.delimited import scan_header_groups
+
+    write(f"{tmp}/e/a.csv", "A,B\n1,x\n", encoding="utf-8")
+    write(f"{tmp}/e/empty.csv", "", encoding="utf-8")
+    groups = scan_header_groups(spark, [f"{tmp}/e/a.csv", f"{tmp}/e/empty.csv"])
+    assert len(groups) == 1 and rows(groups[0]) == [("1", "x")]

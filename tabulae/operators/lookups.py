@@ -25,6 +25,16 @@ _SALT = "__tabulae_null_salt"
 _STRINGY = ("string", "binary")
 
 
+def _size_probe(dim: DataFrame, max_rows: int) -> DataFrame:
+    """One row: (rows, bytes) of at most ``max_rows + 1`` rows of ``dim``."""
+    width = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in _STRINGY else F.lit(8)
+        for f in dim.schema.fields
+    ]
+    row_bytes = sum(width[1:], width[0]) if width else F.lit(0)
+    return dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).cast("long").alias("b"))
+
+
 def fits_broadcast(
     dim: DataFrame,
     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -34,15 +44,24 @@ def fits_broadcast(
     add up to at most ``max_bytes`` (string/binary lengths plus 8 bytes per
     other field).  One bounded pass: never reads more than ``max_rows + 1``
     rows, whatever the table's size."""
-    width = [
-        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in _STRINGY else F.lit(8)
-        for f in dim.schema.fields
-    ]
-    row_bytes = sum(width[1:], width[0]) if width else F.lit(0)
-    got = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    got = _size_probe(dim, max_rows).first()
     return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 
 
+def fits_broadcast_all(
+    dims: dict[str, DataFrame],
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> dict[str, bool]:
+    """``fits_broadcast`` for several tables in one Spark job (a union of
+    the bounded probes), e.g. all code tables of a run."""
+    if not dims:
+        return {}
+    probes = [_size_probe(df, max_rows).select(F.lit(name).alias("t"), "n", "b") for name, df in dims.items()]
+    rows = reduce(lambda a, b: a.unionByName(b), probes).collect()  # one row per table
+    return {r["t"]: r["n"] <= max_rows and (r["b"] or 0) <= max_bytes for r in rows}
+
+
 def coerce_key(dim: DataFrame, key: str, dtype: str, integral_decimals: bool = False) -> DataFrame:
     """Cast a text lookup key to the fact key's type; junk keys become null.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabulae import schemas as S
 from tabulae.functions.clean import to_int, trim_translit
 from tabulae.operators.columns import drop_all_null
-from tabulae.operators.lookups import coerce_key, fits_broadcast, lookup
+from tabulae.operators.lookups import coerce_key, fits_broadcast_all, lookup
 from tabulae.operators.sets import distinct_rows, union_by_name
 from tabulae.sinks import write_table
 from tabulae.sources.delimited import scan_header_groups
@@ -72,7 +72,8 @@ def prepare_lookups(mun: DataFrame, pais: DataFrame, prod: DataFrame) -> dict:
         "CO_PAIS": coerce_key(pais, "CO_PAIS", "int", integral_decimals=True),
         "SH4": distinct_rows(coerce_key(prod, "SH4", "int", integral_decimals=True)),
     }
-    return {key: (df, fits_broadcast(df)) for key, df in tables.items()}
+    small = fits_broadcast_all(tables)  # one job for the three checks
+    return {key: (df, small[key]) for key, df in tables.items()}
 
 
 def decorate(facts: DataFrame, mun: DataFrame, pais: DataFrame, prod: DataFrame, prepared: dict | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tabulae import schemas as S
-from tabulae.operators.lookups import fits_broadcast
+from tabulae.operators.lookups import fits_broadcast_all
 from tabulae.plans import registry as R
 from tabulae.streaming.ingest import ingest_available
 
@@ -37,7 +37,7 @@ def run_incremental(spark: SparkSession, landing_root: str, codes_root: str, out
     the output of a batch ``registry.run``.
     """
     codes = {name: spark.read.parquet(f"{codes_root}/df_{name}") for name in ("natju", "quals", "pais", "mun")}
-    small = {name: fits_broadcast(df) for name, df in codes.items()}
+    small = fits_broadcast_all(codes)
     out = {}
     for name in tables or list(_TABLES):
         glob, cols, build = _TABLES[name]

@@ -93,3 +93,13 @@ def test_new_only_both_paths(spark):
     assert rows(new_only(manifest, ledger, "name")) == want
     assert rows(new_only(manifest, ledger, "name", max_broadcast_rows=0)) == want
     assert new_only(manifest, ledger, "name", overwrite=True).count() == 4
+
+
+def test_fits_broadcast_all_matches_single_checks(spark):
+    from tabulae.operators.lookups import fits_broadcast_all
+
+    dims = {"a": spark.range(10), "b": spark.range(1000), "c": spark.range(0),
+            "d": spark.range(5).select(F.repeat(F.lit("x"), 100).alias("s"))}
+    got = fits_broadcast_all(dims, max_rows=100, max_bytes=400)
+    assert got == {k: fits_broadcast(v, 100, 400) for k, v in dims.items()}
+    assert got == {"a": True, "b": False, "c": True, "d": False}

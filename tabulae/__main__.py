@@ -23,6 +23,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--partition-by", nargs="*", default=None,
                         help="trade: columns to lay the flows out by (e.g. ano)")
     parser.add_argument("--fact-sep", default=",", help="trade: separator of the fact files (';' for the portal's own)")
+    parser.add_argument("--format", choices=["parquet", "csv"], default="parquet",
+                        help="output format (the register job decodes against parquet code tables)")
     parser.add_argument("--compat", action="store_true",
                         help="publish the earlier types (float capital, int measures, unpadded simples key)")
     args = parser.parse_args(argv)
@@ -30,12 +32,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "registry":
         from tabulae.plans import registry
 
-        out = registry.run(spark, args.raw_root, args.out_root, compat=args.compat)
+        out = registry.run(spark, args.raw_root, args.out_root, fmt=args.format, compat=args.compat)
     else:
         from tabulae.plans import trade
 
-        out = trade.run(spark, args.raw_root, args.out_root, partition_by=args.partition_by, fact_sep=args.fact_sep,
-                        compat=args.compat)
+        out = trade.run(spark, args.raw_root, args.out_root, fmt=args.format, partition_by=args.partition_by,
+                        fact_sep=args.fact_sep, compat=args.compat)
     for name, path in out.items():
         print(f"{name}\t{path}")
     return 0

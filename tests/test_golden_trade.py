@@ -95,3 +95,13 @@ def test_trade_compat_types(spark, tmp):
     assert types["VL_FOB"] == "int" and types["KG_LIQUIDO"] == "int"
     # 5,000,000,000 does not fit an int: null under the earlier type
     assert sorted((r.VL_FOB is None) for r in exp.collect()) == [False, False, True]
+
+
+def test_trade_job_csv_output(spark, tmp):
+    from tabulae.__main__ import main
+    from tabulae.sources.delimited import scan_header_csv
+
+    make_raw(f"{tmp}/raw")
+    assert main(["trade", f"{tmp}/raw", f"{tmp}/out", "--format", "csv"]) == 0
+    back = scan_header_csv(spark, f"{tmp}/out/comex_exp")
+    assert back.columns == T.S.TRADE_OUT and back.count() == 3

@@ -95,3 +95,47 @@ def py_date8(s):
                        min_size=1, max_size=60))
 def test_date_rule(spark, values):
     assert run(spark, values, C.to_date8) == [py_date8(v) for v in values]
+
+
+from tabulae import schemas as S  # noqa: E402
+
+codes = st.lists(st.sampled_from(["0", "1", "2", "3", "4", "5", "9", "01", " 2 ", "x", ""]) | st.none(), min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(values=codes)
+def test_decode_rule(spark, values):
+    expect = [None if py_int(v) is None else S.COMPANY_SIZE_LABELS.get(py_int(v)) for v in values]
+    assert run(spark, values, lambda c: C.decode(c, S.COMPANY_SIZE_LABELS, cast="int")) == expect
+
+
+@SETTINGS
+@given(values=st.lists(st.sampled_from(["S/N", "S/N B", "s/n", "12", "", " S/N"]) | st.none(), min_size=1, max_size=40))
+def test_sentinel_rule(spark, values):
+    expect = [None if v is None else ("" if v in S.NO_NUMBER_SENTINELS else v) for v in values]
+    assert run(spark, values, C.blank_sentinel) == expect
+
+
+@SETTINGS
+@given(values=st.lists(st.text(alphabet="aB' .@x", max_size=15) | st.none(), min_size=1, max_size=60))
+def test_email_and_upper_rules(spark, values):
+    assert run(spark, values, C.repair_email) == [None if v is None else v.lower().strip(" ").replace("'", "@") for v in values]
+    assert run(spark, values, C.upper_trim) == [None if v is None else v.upper().strip(" ") for v in values]
+
+
+@SETTINGS
+@given(values=st.lists(st.from_regex(r"\A[0-9]{1,12},[0-9]{2}\Z") | st.text(alphabet="0123456789,.", max_size=8), min_size=1, max_size=60))
+def test_decimal_comma_rule(spark, values):
+    from decimal import Decimal, InvalidOperation
+
+    def py(v):
+        t = v.replace(",", ".")
+        if not re.fullmatch(r"[0-9]*\.?[0-9]*", t) or t in ("", "."):
+            return None
+        try:
+            d = Decimal(t).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+        except InvalidOperation:
+            return None
+        return d if d.adjusted() < 16 else None
+
+    assert run(spark, values, C.decimal_comma) == [py(v) for v in values]

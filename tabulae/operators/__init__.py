@@ -1,0 +1 @@
+"""Table -> table operators: columns, lookups, sets, match, links, ingest."""

@@ -1,0 +1 @@
+"""The two jobs: registry (company register) and trade (foreign trade by municipality)."""

@@ -133,18 +133,23 @@ def discover(spark: SparkSession, raw_root: str) -> dict[str, list[str]]:
     return {k: sorted(v) for k, v in found.items()}
 
 
-def scan_table(spark: SparkSession, paths: list[str], cols: list[str]) -> DataFrame:
-    return scan_delimited(spark, paths, cols)
+def scan_table(spark: SparkSession, paths: list[str], cols: list[str], options: dict[str, str] | None = None) -> DataFrame:
+    """Registry raw files with the standard options, overridden by ``options``."""
+    opts = dict(S.REGISTRY_READ_OPTIONS)
+    opts.update(options or {})
+    return scan_delimited(spark, paths, cols, options=opts)
 
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
-        partition_by: dict[str, list[str]] | None = None, compat: bool = False) -> dict[str, str]:
+        partition_by: dict[str, list[str]] | None = None, compat: bool = False,
+        read_options: dict[str, str] | None = None) -> dict[str, str]:
     """Whole register: code tables first (the others decode against them).
 
     ``partition_by`` optionally lays a published table out by columns, e.g.
     ``{"estab": ["uf"]}``.  ``compat=True`` publishes the earlier types where
     the defaults deliberately differ: ``capital_social`` as float and the
-    simples key unpadded.
+    simples key unpadded.  ``read_options`` overrides the raw read options
+    (e.g. ``{"encoding": "UTF-8"}`` if a release changes its encoding).
     """
     if fmt != "parquet":
         raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
@@ -153,14 +158,14 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     out = {}
     for name in S.CODE_TABLES.values():
         path = f"{out_root}/df_{name}"
-        write_table(code_table(scan_table(spark, files[name], [f"cod_{name}", f"nome_{name}"]), name), path, fmt)
+        write_table(code_table(scan_table(spark, files[name], [f"cod_{name}", f"nome_{name}"], read_options), name), path, fmt)
         out[name] = path
     # the written code tables cut the lineage
     codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")}
     small = fits_broadcast_all(codes)  # each checked once, all in one job
 
-    simples = scan_table(spark, files["simples"], S.SIMPLES_COLS)
-    big = {kind: scan_table(spark, files[kind], cols) for kind, cols in
+    simples = scan_table(spark, files["simples"], S.SIMPLES_COLS, read_options)
+    big = {kind: scan_table(spark, files[kind], cols, read_options) for kind, cols in
            (("companies", S.COMPANY_COLS), ("partners", S.PARTNER_COLS), ("establishments", S.ESTAB_COLS))}
     out["simples"] = f"{out_root}/df_simples"
     write_table(simples_table(simples, pad=not compat), out["simples"], fmt, partition_by=layout.get("simples"))

@@ -172,3 +172,18 @@ def test_register_from_archives(spark, tmp):
         a = sorted(map(tuple, spark.read.parquet(paths[t]).collect()), key=str)
         b = sorted(map(tuple, spark.read.parquet(direct[t]).collect()), key=str)
         assert a == b, t
+
+
+def test_register_with_utf8_release(spark, tmp):
+    raw = f"{tmp}/raw"
+    make_raw(raw)
+    # re-encode every raw file as UTF-8, as a release might
+    for dirpath, _, names in os.walk(raw):
+        for name in names:
+            path = os.path.join(dirpath, name)
+            text = open(path, encoding="ISO-8859-1").read()
+            open(path, "w", encoding="utf-8").write(text)
+    paths = R.run(spark, raw, f"{tmp}/out", read_options={"encoding": "UTF-8"})
+    emp = {r.cnpj: r for r in spark.read.parquet(paths["empresas"]).collect()}
+    assert emp["00000012"].razao_social == "Acme Acucar Ltda"
+    assert {r.nome_mun for r in spark.read.parquet(paths["mun"]).collect()} == {"Sao Paulo", "Rio De Janeiro"}

@@ -30,12 +30,15 @@ _TABLES = {
 
 
 def run_incremental(spark: SparkSession, landing_root: str, codes_root: str, out_root: str,
-                    checkpoint_root: str, tables: list[str] | None = None) -> dict[str, str]:
+                    checkpoint_root: str, tables: list[str] | None = None,
+                    read_options: dict[str, str] | None = None) -> dict[str, str]:
     """Append newly landed raw files of each table to ``out_root/df_<table>``.
 
     ``codes_root`` holds the published code tables (``df_natju`` ...), e.g.
     the output of a batch ``registry.run``.
     """
+    opts = dict(S.REGISTRY_READ_OPTIONS)
+    opts.update(read_options or {})
     codes = {name: spark.read.parquet(f"{codes_root}/df_{name}") for name in ("natju", "quals", "pais", "mun")}
     small = fits_broadcast_all(codes)
     out = {}
@@ -44,6 +47,6 @@ def run_incremental(spark: SparkSession, landing_root: str, codes_root: str, out
         out[name] = f"{out_root}/df_{name}"
         ingest_available(
             spark, landing_root, S.string_schema(cols), out[name], f"{checkpoint_root}/{name}",
-            transform=lambda raw, b=build: b(raw, codes, small), file_glob=glob,
+            options=opts, transform=lambda raw, b=build: b(raw, codes, small), file_glob=glob,
         )
     return out

@@ -43,7 +43,12 @@ def fits_broadcast(
     """True when ``dim`` provably has at most ``max_rows`` rows and its rows
     add up to at most ``max_bytes`` (string/binary lengths plus 8 bytes per
     other field).  One bounded pass: never reads more than ``max_rows + 1``
-    rows, whatever the table's size."""
+    rows, whatever the table's size.
+
+    The bound applies to the rows ``dim`` *produces*: if ``dim`` is itself
+    an aggregate or a join, that work runs for the check and again for the
+    broadcast, so checkpoint such a table first (as the tiered match does).
+    """
     got = _size_probe(dim, max_rows).first()
     return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 

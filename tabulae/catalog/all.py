@@ -2,22 +2,8 @@
 
 from __future__ import annotations
 
-from tabulae.catalog import registry_q
+from tabulae.catalog import io_q, jobs_files_q, jobs_q, ops_q, registry_q, trade_q
 
 CATALOG: dict = {}
-CATALOG.update(registry_q.QUERIES)
-from tabulae.catalog import ops_q  # noqa: E402
-
-CATALOG.update(ops_q.Q)
-from tabulae.catalog import trade_q  # noqa: E402
-
-CATALOG.update(trade_q.QUERIES)
-from tabulae.catalog import io_q  # noqa: E402
-
-CATALOG.update(io_q.Q)
-from tabulae.catalog import jobs_q  # noqa: E402
-
-CATALOG.update(jobs_q.Q)
-from tabulae.catalog import jobs_files_q  # noqa: E402
-
-CATALOG.update(jobs_files_q.QUERIES)
+for _part in (registry_q.QUERIES, ops_q.Q, trade_q.QUERIES, io_q.Q, jobs_q.Q, jobs_files_q.QUERIES):
+    CATALOG.update(_part)

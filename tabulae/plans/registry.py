@@ -110,7 +110,7 @@ def establishments_table(raw: DataFrame, mun: DataFrame, pais: DataFrame, small:
 
 # --- file-level job ---------------------------------------------------------
 
-def discover(spark: SparkSession, raw_root: str) -> dict[str, list[str]]:
+def discover(spark: SparkSession, raw_root: str, required: list[str] | None = None) -> dict[str, list[str]]:
     """Every raw file of the register, grouped by the table it belongs to.
 
     One distributed listing of the whole tree (the file names are metadata,
@@ -127,7 +127,9 @@ def discover(spark: SparkSession, raw_root: str) -> dict[str, list[str]]:
         for key, rule in rules.items():
             if rule(row["name"]):
                 found[key].append(row["path"])
-    missing = sorted(k for k, v in found.items() if not v)
+    must = set(S.CODE_TABLES.values()) | set(required if required is not None else
+                                              ["simples", *S.BIG_TABLE_MARKERS])
+    missing = sorted(k for k, v in found.items() if not v and k in must)
     if missing:
         raise FileNotFoundError(f"no raw files under {raw_root} for: {', '.join(missing)}")
     return {k: sorted(v) for k, v in found.items()}
@@ -142,7 +144,7 @@ def scan_table(spark: SparkSession, paths: list[str], cols: list[str], options:
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
         partition_by: dict[str, list[str]] | None = None, compat: bool = False,
-        read_options: dict[str, str] | None = None) -> dict[str, str]:
+        read_options: dict[str, str] | None = None, tables: list[str] | None = None) -> dict[str, str]:
     """Whole register: code tables first (the others decode against them).
 
     ``partition_by`` optionally lays a published table out by columns, e.g.
@@ -150,11 +152,19 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     the defaults deliberately differ: ``capital_social`` as float and the
     simples key unpadded.  ``read_options`` overrides the raw read options
     (e.g. ``{"encoding": "UTF-8"}`` if a release changes its encoding).
+    ``tables`` rebuilds only some of ``simples``, ``empresas``, ``socios``,
+    ``estab`` (the code tables are always rebuilt: they are tiny and the
+    others decode against them).
     """
+    wanted = set(tables or ("simples", "empresas", "socios", "estab"))
+    unknown = wanted - {"simples", "empresas", "socios", "estab"}
+    if unknown:
+        raise ValueError(f"unknown register tables: {sorted(unknown)}")
     if fmt != "parquet":
         raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
     layout = partition_by or {}
-    files = discover(spark, raw_root)
+    needed = {"simples": "simples", "empresas": "companies", "socios": "partners", "estab": "establishments"}
+    files = discover(spark, raw_root, [needed[t] for t in wanted])
     out = {}
     for name in S.CODE_TABLES.values():
         path = f"{out_root}/df_{name}"
@@ -164,22 +174,19 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")}
     small = fits_broadcast_all(codes)  # each checked once, all in one job
 
-    simples = scan_table(spark, files["simples"], S.SIMPLES_COLS, read_options)
-    big = {kind: scan_table(spark, files[kind], cols, read_options) for kind, cols in
-           (("companies", S.COMPANY_COLS), ("partners", S.PARTNER_COLS), ("establishments", S.ESTAB_COLS))}
-    out["simples"] = f"{out_root}/df_simples"
-    write_table(simples_table(simples, pad=not compat), out["simples"], fmt, partition_by=layout.get("simples"))
-
-    out["empresas"] = f"{out_root}/df_empresas"
-    capital = "float" if compat else "decimal(18,2)"
-    write_table(companies_table(big["companies"], codes["natju"], codes["quals"], capital_type=capital, small=small),
-                out["empresas"], fmt, partition_by=layout.get("empresas"))
-
-    out["socios"] = f"{out_root}/df_socios"
-    write_table(partners_table(big["partners"], codes["quals"], codes["pais"], small=small), out["socios"], fmt, partition_by=layout.get("socios"))
-
-    out["estab"] = f"{out_root}/df_estab"
-    write_table(establishments_table(big["establishments"], codes["mun"], codes["pais"], small=small), out["estab"], fmt, partition_by=layout.get("estab"))
+    builders = {
+        "simples": ("simples", S.SIMPLES_COLS, lambda raw: simples_table(raw, pad=not compat)),
+        "empresas": ("companies", S.COMPANY_COLS, lambda raw: companies_table(
+            raw, codes["natju"], codes["quals"], capital_type="float" if compat else "decimal(18,2)", small=small)),
+        "socios": ("partners", S.PARTNER_COLS, lambda raw: partners_table(raw, codes["quals"], codes["pais"], small=small)),
+        "estab": ("establishments", S.ESTAB_COLS, lambda raw: establishments_table(raw, codes["mun"], codes["pais"], small=small)),
+    }
+    for name, (kind, cols, build) in builders.items():  # one map-only job per table, in order
+        if name not in wanted:
+            continue
+        out[name] = f"{out_root}/df_{name}"
+        write_table(build(scan_table(spark, files[kind], cols, read_options)), out[name], fmt,
+                    partition_by=layout.get(name))
     return out
 
 

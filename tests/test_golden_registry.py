@@ -187,3 +187,20 @@ def test_register_with_utf8_release(spark, tmp):
     emp = {r.cnpj: r for r in spark.read.parquet(paths["empresas"]).collect()}
     assert emp["00000012"].razao_social == "Acme Acucar Ltda"
     assert {r.nome_mun for r in spark.read.parquet(paths["mun"]).collect()} == {"Sao Paulo", "Rio De Janeiro"}
+
+
+def test_register_partial_run(spark, tmp):
+    import pytest
+
+    raw = f"{tmp}/raw"
+    make_raw(raw)
+    # the partners' files are not needed for a run that rebuilds only estab
+    import shutil
+    shutil.rmtree(f"{raw}/K3241.K03200Y0.D10710.SOCIOCSV")
+    paths = R.run(spark, raw, f"{tmp}/out", tables=["estab"])
+    assert "estab" in paths and "socios" not in paths and "quals" in paths
+    assert spark.read.parquet(paths["estab"]).count() == 2
+    with pytest.raises(FileNotFoundError, match="partners"):
+        R.run(spark, raw, f"{tmp}/out2")
+    with pytest.raises(ValueError):
+        R.run(spark, raw, f"{tmp}/out3", tables=["nope"])

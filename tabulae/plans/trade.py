@@ -122,10 +122,14 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     prod = products(lookup_file("NCM_SH.csv", S.TRADE_PRODUCT_COLS))
     # the listing is metadata: a few files per year
     listing = list_files(spark, f"{raw_root}/mun").select("path", "name").collect()
+    by_flow = {name: sorted(r["path"] for r in listing if marker in r["name"]) for name, marker in S.TRADE_FLOWS.items()}
+    empty = [name for name, paths in by_flow.items() if not paths]
+    if empty:  # fail before anything is written
+        raise ValueError(f"no fact files for flow(s) {empty} under {raw_root}/mun")
     prepared = prepare_lookups(mun, pais, prod)  # checked once, used by both flows
     out = {}
     for flow_name, marker in S.TRADE_FLOWS.items():
-        paths = sorted(r["path"] for r in listing if marker in r["name"])
+        paths = by_flow[flow_name]
         # one scan per distinct header; each file is still judged on its own columns
         df = flow(scan_header_groups(spark, paths, sep=fact_sep, encoding=encoding), mun, pais, prod, prepared,
                   measure_type="int" if compat else "bigint")

@@ -105,3 +105,14 @@ def test_trade_job_csv_output(spark, tmp):
     assert main(["trade", f"{tmp}/raw", f"{tmp}/out", "--format", "csv"]) == 0
     back = scan_header_csv(spark, f"{tmp}/out/comex_exp")
     assert back.columns == T.S.TRADE_OUT and back.count() == 3
+
+
+def test_flow_without_files_is_a_clear_error(spark, tmp):
+    import pytest
+
+    raw, out = f"{tmp}/raw", f"{tmp}/out"
+    make_raw(raw)
+    os.remove(f"{raw}/mun/IMP_2021_MUN.csv")  # no import file at all
+    with pytest.raises(ValueError, match="no fact files"):
+        T.run(spark, raw, out)
+    assert not os.path.exists(out) or not os.listdir(out)  # nothing written before the error

@@ -221,3 +221,12 @@ def test_incremental_register_all_tables_match_batch(spark, tmp):
         ref = spark.read.parquet(batch[t])
         inc = spark.read.parquet(out[t]).select(*ref.columns)
         assert sorted(map(tuple, inc.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str), t
+
+
+def test_register_partitioned_output(spark, tmp):
+    make_raw(f"{tmp}/raw")
+    paths = R.run(spark, f"{tmp}/raw", f"{tmp}/out", tables=["estab"], partition_by={"estab": ["uf"]})
+    assert sorted(d for d in os.listdir(paths["estab"]) if d.startswith("uf=")) == ["uf=RJ", "uf=SP"]
+    sp = spark.read.parquet(paths["estab"]).where("uf = 'SP'")
+    assert "PartitionFilters: [isnotnull(uf" in sp._jdf.queryExecution().executedPlan().toString()
+    assert [r.cnpj for r in sp.collect()] == ["00000012"]

@@ -24,6 +24,12 @@ def write_table(
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown output format {fmt!r}; choose one of {FORMATS}")
+    if partition_by:
+        # Without this every input task would write one small file per value
+        # (tasks x values files).  REBALANCE groups rows by the partition
+        # columns and lets AQE split an oversized value (a state with a
+        # third of the rows) across several tasks: few, evenly sized files.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

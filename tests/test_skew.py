@@ -53,3 +53,24 @@ def test_hot_key_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
     assert "isFinalPlan=true" in final
     assert "SortMergeJoin(skew=true)" in final  # the hot key's partition was split
+
+
+def test_partitioned_write_rebalances_a_hot_value(spark, tmp):
+    import os
+
+    from tabulae.sinks import write_table
+
+    df = spark.range(300_000).repartition(8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "SP").otherwise(F.concat(F.lit("U"), (F.col("id") % 20).cast("string"))).alias("uf"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),  # incompressible payload
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_table(df, f"{tmp}/p", partition_by=["uf"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in os.listdir(f"{tmp}/p/uf=SP") if f.endswith(".parquet")]
+    assert len(hot) > 1                      # the hot value is split over several tasks
+    assert spark.read.parquet(f"{tmp}/p").count() == 300_000

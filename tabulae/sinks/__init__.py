@@ -54,8 +54,11 @@ def write_delimited(
     """Write raw-format delimited text (e.g. to stage or publish a registry file).
 
     Quotes are escaped by doubling them, and blanks are kept, so the text
-    reads back exactly with ``sources.scan_delimited``.
+    reads back exactly with ``sources.scan_delimited``.  Partitioned output
+    is rebalanced like ``write_table``'s.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -25,6 +25,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--fact-sep", default=",", help="trade: separator of the fact files (';' for the portal's own)")
     parser.add_argument("--format", choices=["parquet", "csv"], default="parquet",
                         help="output format (the register job decodes against parquet code tables)")
+    parser.add_argument("--tables", nargs="*", default=None,
+                        help="registry: rebuild only these of simples empresas socios estab")
+    parser.add_argument("--encoding", default=None, help="raw file encoding, if not the usual one")
     parser.add_argument("--compat", action="store_true",
                         help="publish the earlier types (float capital, int measures, unpadded simples key)")
     args = parser.parse_args(argv)
@@ -32,12 +35,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "registry":
         from tabulae.plans import registry
 
-        out = registry.run(spark, args.raw_root, args.out_root, fmt=args.format, compat=args.compat)
+        opts = {"encoding": args.encoding} if args.encoding else None
+        out = registry.run(spark, args.raw_root, args.out_root, fmt=args.format, compat=args.compat,
+                           tables=args.tables, read_options=opts)
     else:
         from tabulae.plans import trade
 
         out = trade.run(spark, args.raw_root, args.out_root, fmt=args.format, partition_by=args.partition_by,
-                        fact_sep=args.fact_sep, compat=args.compat)
+                        fact_sep=args.fact_sep, compat=args.compat, encoding=args.encoding or "UTF-8")
     for name, path in out.items():
         print(f"{name}\t{path}")
     return 0

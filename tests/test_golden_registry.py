@@ -112,6 +112,9 @@ def test_cli_runs_register_job(spark, tmp, capsys):
 
     make_raw(f"{tmp}/raw")
     assert main(["registry", f"{tmp}/raw", f"{tmp}/out"]) == 0
+    assert main(["registry", f"{tmp}/raw", f"{tmp}/out2", "--tables", "empresas", "--encoding", "ISO-8859-1"]) == 0
+    assert sorted(d for d in os.listdir(f"{tmp}/out2") if d.startswith("df_")) == sorted(
+        ["df_cnae", "df_mun", "df_natju", "df_pais", "df_quals", "df_moti", "df_empresas"])
     printed = capsys.readouterr().out
     assert "estab\t" in printed and "df_cnae" in printed
     assert spark.read.parquet(f"{tmp}/out/df_estab").count() == 2

@@ -39,6 +39,14 @@ def safe_member(name: str) -> str:
     return norm
 
 
+def _hidden_partial(target: str) -> str:
+    """A unique temporary name next to ``target`` that starts with a dot:
+    Spark's file listing skips such names, so a leftover from a crashed task
+    is never read as data, whatever name rule a reader applies."""
+    folder, name = target.rsplit("/", 1)
+    return f"{folder}/.{name}.partial-{uuid.uuid4().hex}"
+
+
 def _stem(name: str) -> str:
     return name[:-4] if name.lower().endswith(".zip") else name
 
@@ -76,7 +84,7 @@ def _extractor(dest_root: str):
                 written = 0
                 # a retried or speculative copy of this task writes its own
                 # temporary file; the move publishes only complete members
-                partial = f"{target}.partial-{uuid.uuid4().hex}"
+                partial = _hidden_partial(target)
                 with in_fs.open_input_file(in_path) as raw, zipfile.ZipFile(raw) as zf, \
                         zf.open(member) as src, out_fs.open_output_stream(partial) as dst:
                     while chunk := src.read(CHUNK):
@@ -117,7 +125,7 @@ def _packer(dest_root: str, member_suffix: str):
                 name = in_path.rsplit("/", 1)[-1]
                 stem = name.rsplit(".", 1)[0]
                 target = f"{out_base.rstrip('/')}/{stem}.zip"
-                partial = f"{target}.partial-{uuid.uuid4().hex}"
+                partial = _hidden_partial(target)
                 with in_fs.open_input_stream(in_path) as src, out_fs.open_output_stream(partial) as raw, \
                         zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf, \
                         zf.open(stem + member_suffix, "w", force_zip64=True) as dst:

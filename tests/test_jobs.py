@@ -210,3 +210,24 @@ def test_missing_score_ranks_last(spark):
     recs = spark.createDataFrame([(1, "SP")], "rid int, uf string")
     got = tiered_match(recs, ref, [Tier({"uf": "state"})], ["lat"], [-F.col("score"), F.col("id")]).collect()
     assert [(r.lat, r.tier) for r in got] == [(1.0, 1)]
+
+
+def test_leftover_partial_is_never_read(spark, tmp):
+    import os
+
+    from tabulae.sources.archives import _hidden_partial
+
+    target = f"{tmp}/x/F.K03200$W.SIMPLES.CSV.D10911"
+    partial = _hidden_partial(target)
+    assert os.path.basename(partial).startswith(".")
+    os.makedirs(f"{tmp}/x")
+    with open(partial, "w") as fh:  # as if a task died mid-copy
+        fh.write('"99";"S"\n')
+    names = [r.name for r in list_files_rows(spark, f"{tmp}/x")]
+    assert names == []
+
+
+def list_files_rows(spark, root):
+    from tabulae.sources.files import list_files
+
+    return list_files(spark, root).collect()

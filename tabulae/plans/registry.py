@@ -124,6 +124,8 @@ def discover(spark: SparkSession, raw_root: str, required: list[str] | None = No
         rules[kind] = lambda n, m=marker: n.endswith(m)
     found: dict[str, list[str]] = {k: [] for k in rules}
     for row in list_files(spark, raw_root).select("path", "name").collect():
+        if row["name"].lower().endswith(".zip"):  # downloaded archives are not raw tables
+            continue
         for key, rule in rules.items():
             if rule(row["name"]):
                 found[key].append(row["path"])

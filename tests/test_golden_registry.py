@@ -233,3 +233,15 @@ def test_register_partitioned_output(spark, tmp):
     sp = spark.read.parquet(paths["estab"]).where("uf = 'SP'")
     assert "PartitionFilters: [isnotnull(uf" in sp._jdf.queryExecution().executedPlan().toString()
     assert [r.cnpj for r in sp.collect()] == ["00000012"]
+
+
+def test_archives_in_the_raw_tree_are_not_read(spark, tmp):
+    import zipfile
+
+    raw = f"{tmp}/raw"
+    make_raw(raw)
+    with zipfile.ZipFile(f"{raw}/SIMPLES.zip", "w") as zf:  # a download left next to the files
+        zf.writestr("x", "not a table")
+    files = R.discover(spark, raw)
+    assert not any(p.endswith(".zip") for paths in files.values() for p in paths)
+    assert len(files["simples"]) == 1

@@ -122,6 +122,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     prod = products(lookup_file("NCM_SH.csv", S.TRADE_PRODUCT_COLS))
     # the listing is metadata: a few files per year
     listing = list_files(spark, f"{raw_root}/mun").select("path", "name").collect()
+    listing = [r for r in listing if not r["name"].lower().endswith(".zip")]  # archives are not fact files
     by_flow = {name: sorted(r["path"] for r in listing if marker in r["name"]) for name, marker in S.TRADE_FLOWS.items()}
     empty = [name for name, paths in by_flow.items() if not paths]
     if empty:  # fail before anything is written

@@ -116,3 +116,14 @@ def test_flow_without_files_is_a_clear_error(spark, tmp):
     with pytest.raises(ValueError, match="no fact files"):
         T.run(spark, raw, out)
     assert not os.path.exists(out) or not os.listdir(out)  # nothing written before the error
+
+
+def test_archives_in_the_fact_folder_are_not_read(spark, tmp):
+    import zipfile
+
+    raw, out = f"{tmp}/raw", f"{tmp}/out"
+    make_raw(raw)
+    with zipfile.ZipFile(f"{raw}/mun/EXP_COMPLETA.zip", "w") as zf:
+        zf.writestr("x", "not a table")
+    paths = T.run(spark, raw, out)
+    assert spark.read.parquet(paths["exp"]).count() == 3

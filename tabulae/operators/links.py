@@ -72,3 +72,18 @@ def download_manifest(
     if years is not None:
         df = year_filter(df, "name", years[0], years[1])
     return df
+
+
+def registry_manifest(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """The register's downloads: every ``.zip`` link of the index pages."""
+    return download_manifest(pages, ".zip", html_col=html_col, keep=keep)
+
+
+def trade_manifest(pages: DataFrame, years: tuple[int, int] | None = None, html_col: str = "html",
+                   keep: list[str] | None = None) -> DataFrame:
+    """The trade downloads: ``.csv`` links under ``mun/`` whose name carries a
+    year in ``years`` (default: the published default range)."""
+    from tabulae.schemas import TRADE_DEFAULT_YEARS
+
+    return download_manifest(pages, ".csv", contains="mun", marker_regex="mun/",
+                             years=years or TRADE_DEFAULT_YEARS, html_col=html_col, keep=keep)

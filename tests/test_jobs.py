@@ -231,3 +231,15 @@ def list_files_rows(spark, root):
     from tabulae.sources.files import list_files
 
     return list_files(spark, root).collect()
+
+
+def test_registry_and_trade_manifests(spark):
+    from tabulae.operators.links import registry_manifest, trade_manifest
+
+    html = ('<a href="https://x/mun/EXP_2015_MUN.csv">a</a><a href="https://x/mun/EXP_2016_MUN.csv">b</a>'
+            '<a href="https://x/mun/IMP_2022_MUN.csv">c</a><a href="/registro/Empresas0.zip">d</a>')
+    pages = spark.createDataFrame([(html,)], "html string")
+    assert [r.name for r in trade_manifest(pages).collect()] == ["EXP_2016_MUN.csv"]
+    assert sorted(r.name for r in trade_manifest(pages, years=(2015, 2022)).collect()) == [
+        "EXP_2015_MUN.csv", "EXP_2016_MUN.csv", "IMP_2022_MUN.csv"]
+    assert [r.name for r in registry_manifest(pages).collect()] == ["Empresas0.zip"]

@@ -22,7 +22,8 @@ MAX_LOSS = 0.5          # of the non-space characters
 MAX_SYMBOLS = 0.10      # symbols to non-space characters of a line
 MAX_MARKS = 0.08        # '!' and '?' to non-space characters of a line
 MIN_SEPARATORS = 2      # '|', '»' or '›' in a navigation line
-BOILERPLATE_WORDS = 20  # a longer line that holds such a phrase is prose
+BOILERPLATE_CHARS = 160  # a longer line that holds such a phrase is prose
+SUSPECT = "[#*$%&|<>!?»›]"  # no punctuation or navigation rule fails without one of these
 
 
 def stripped(text: Column) -> Column:
@@ -73,24 +74,25 @@ def line_fails(line: Column) -> Column:
 
     Punctuation: too many symbols, too many '!' and '?'.  Navigation: parts
     parted by separators.  Boilerplate: a short line with a fixed phrase.
+    Characters are only counted in lines that have one to count.
     """
     chars = F.octet_length(stripped(line))
-    low = F.lower(line)
-    return (
+    marked = (
         (removed(line, SYMBOLS) > MAX_SYMBOLS * chars)
         | (removed(line, "!?") > MAX_MARKS * chars)
         | (F.length(line) - F.length(F.translate(line, "|»›", "")) >= MIN_SEPARATORS)
-        | (low.rlike(BOILERPLATE) & (F.size(F.split(line, "[\\x20\\x09-\\x0D]+")) <= BOILERPLATE_WORDS))
     )
+    return F.when(line.rlike(SUSPECT), marked).otherwise(F.lit(False)) | F.when(
+        F.octet_length(line) <= BOILERPLATE_CHARS, F.lower(line).rlike(BOILERPLATE)).otherwise(F.lit(False))
 
 
-def lines_kept(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ~line_fails(x))
+def lines_of(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def duplicate_lines(text: Column) -> Column:
+def duplicate_lines(lines: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    worded = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: stripped(x) != "")
+    worded = F.filter(lines, lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     return let(worded, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
 
 
@@ -101,20 +103,21 @@ def verdict(text: Column) -> Column:
     """
     base = F.struct(
         let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"))).alias("w"),
-        F.length(stripped(F.coalesce(text, F.lit("")))).cast("long").alias("word_chars"),
-        F.coalesce(removed(text, SYMBOLS), F.lit(0)).cast("long").alias("n_symbols"),
-        duplicate_lines(text).alias("n_dup_lines"),
-        F.length(stripped(F.array_join(lines_kept(text), ""))).cast("long").alias("left"),
+        F.length(F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", "")).cast("long").alias("word_chars"),
+        F.coalesce(F.regexp_count(text, F.lit(f"[{SYMBOLS}]")), F.lit(0)).cast("long").alias("n_symbols"),
+        let(lines_of(text), lambda x: F.struct(
+            duplicate_lines(x).alias("dup"),
+            F.length(stripped(F.array_join(F.filter(x, line_fails), ""))).cast("long").alias("lost"))).alias("lines"),
     )
 
     def judged(b: Column) -> Column:
         failed = (b["w"]["n"] < 10) | (100 * b["w"]["r"] > 20 * b["w"]["n"])
         return F.struct(
             b["w"]["n"].alias("n_words"), b["word_chars"].alias("word_chars"), b["n_symbols"].alias("n_symbols"),
-            b["n_dup_lines"].alias("n_dup_lines"), b["w"]["r"].alias("n_repeat_words"),
+            b["lines"]["dup"].alias("n_dup_lines"), b["w"]["r"].alias("n_repeat_words"),
             failed.alias("base_failed"),
-            (~failed & (b["left"] >= (1 - MAX_LOSS) * b["word_chars"])).alias("kept"),
-            b["left"].alias("chars_left"),
+            (~failed & (b["lines"]["lost"] <= MAX_LOSS * b["word_chars"])).alias("kept"),
+            b["lines"]["lost"].alias("chars_lost"),
         )
 
     return let(base, judged)
@@ -131,7 +134,7 @@ def judge_documents(docs: DataFrame) -> DataFrame:
 
 def clean_text(text: Column) -> Column:
     """The text without its failing lines (null stays null)."""
-    return F.when(text.isNotNull(), F.array_join(lines_kept(text), "\n"))
+    return F.when(text.isNotNull(), F.array_join(F.filter(lines_of(text), lambda x: ~line_fails(x)), "\n"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -43,7 +43,9 @@ def find_splitters(narrow: DataFrame, shards: int, total: int) -> list[int]:
         rows = narrow
         if level > FIRST_BITS:
             rows = rows.where(F.shiftright("__key", shift + width).isin(list(steps)))
-        counted: dict[int, int] = {r[0]: r[1] for r in rows.groupBy(step.alias("s")).agg(F.sum("size").alias("b")).collect()}
+        found = rows.groupBy(step.alias("s")).agg(F.sum("size"), F.min("__key") == F.max("__key")).collect()
+        counted = {r[0]: r[1] for r in found}
+        settled = {r[0] for r in found if r[2]}     # one key: there is no boundary within
         edges: list[tuple[int, int, int]] = []       # step, bytes below it, bytes below the next
         for parent, below in steps.items():
             mine = sorted(s for s in counted if level == FIRST_BITS or s >> width == parent)
@@ -56,7 +58,7 @@ def find_splitters(narrow: DataFrame, shards: int, total: int) -> list[int]:
                 for gap, key in ((abs(lo - t), s << shift), (abs(hi - t), (s + 1) << shift)):
                     if gap < best[i][0]:
                         best[i] = (gap, key)
-                if lo < t < hi and best[i][0] > slack:
+                if lo < t < hi and best[i][0] > slack and s not in settled:
                     open_steps[s] = lo
         if not open_steps or level == KEY_BITS:
             return sorted(key for _gap, key in best)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabulae.llm import language, quality_model
 from tabulae.llm.common import fold, read
 from tabulae.llm.decontaminate import find_contamination
+from tabulae.llm.ngram_join import join_documents
 from tabulae.llm.packing import pack_documents
 from tabulae.llm.quality_rules import judge_documents
 from tabulae.llm.secrets import scan_secrets
@@ -46,5 +47,9 @@ def op9_shard(spark, sf_dir):
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_quality_rules, op4_language, op5_pack, op6_secrets, op9_shard)}
+def op10_ngram_join(spark, sf_dir):
+    return join_documents(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_quality_rules, op4_language, op5_pack, op6_secrets, op9_shard, op10_ngram_join)}
 SQL: dict[str, str] = {}

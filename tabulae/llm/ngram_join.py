@@ -7,11 +7,11 @@ their sets' Jaccard similarity reaches the threshold.
 2. Shingles are hashed into GROUPS groups; a class is the point of its group
    counts.  The overlap of two sets is at most the sum of the coordinate
    minima of their points.
-3. Points are dealt to cells by the shingles of the smallest hashes, as many
-   as a linked pair must share one of.  A cell is a bounded number of points,
-   indexed by a bulk-loaded R-tree: two boxes are opened only if the summed
-   minima of their upper corners allow a link, and the same bound then holds
-   point against point.
+3. Points are dealt to cells by size band and by the shingles that come first
+   in one fixed order, as many as a linked pair must share one of.  A cell is
+   a bounded number of points, indexed by a bulk-loaded R-tree: two boxes are
+   opened only if the summed minima of their upper corners allow a link, and
+   the same bound then holds point against point.
 4. Surviving pairs are verified on their whole texts.  First a spanning forest
    of each cell's closest pairs, so that a large group becomes one component
    without all its pairs; then every other surviving pair of two components.
@@ -20,6 +20,7 @@ their sets' Jaccard similarity reaches the threshold.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +32,11 @@ from tabulae.llm.common import written
 
 N = 3                    # words in a shingle
 NUM, DEN = 90, 100       # threshold: DEN * intersection >= NUM * union
-GROUPS = 64              # coordinates of a point
+GROUPS = 256             # coordinates of a point
 CELL = 2048              # points of one cell, about
 LEAF = 32                # points of one R-tree leaf
-COMMON_DOCS, COMMON_IN = 4096, 12   # a shingle in so many of a sample of so many is common
+COMMON_DOCS, COMMON_IN = 8192, 8    # a shingle in so many of a sample of so many is common
+BAND = -math.log(NUM / DEN - 0.01)   # sizes of linked sets differ by less than this in logarithm
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U64 = np.uint64
 FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, point binary, keys array<long>"
@@ -92,8 +94,15 @@ def prefix(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def point(h: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((h >> _U64(20)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535).astype("<u2")
+def point(h: np.ndarray) -> bytes:
+    """Group counts, all low bytes before all high bytes (these pack well, being mostly zero)."""
+    c = np.minimum(np.bincount((h >> _U64(20)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535)
+    return (c & 255).astype(np.uint8).tobytes() + (c >> 8).astype(np.uint8).tobytes()
+
+
+def points_of(raw: list[bytes]) -> np.ndarray:
+    planes = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), 2, GROUPS).astype(np.int32)
+    return planes[:, 0] + (planes[:, 1] << 8)
 
 
 def _features(common):
@@ -105,10 +114,11 @@ def _features(common):
             rows = []
             for text in batch.column("text").to_pylist():
                 h = hashes(text, known)
-                late = np.isin(h, frequent) if len(frequent) else np.zeros(len(h), bool)
+                at = np.searchsorted(frequent, h)
+                late = frequent[np.minimum(at, len(frequent) - 1)] == h if len(frequent) else np.zeros(len(h), bool)
                 order = np.concatenate([h[~late], h[late]])[:prefix(len(h))] if len(h) else h
                 rows.append((len(h), xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None,
-                             point(h).tobytes(), order.view(np.int64)))
+                             point(h), order.view(np.int64)))
             cols = list(zip(*rows)) if rows else [[]] * 4
             types = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -152,6 +162,10 @@ class RTree:
     coordinate of widest spread in each slice (sort-tile-recursive loading)."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
+        if len(points) <= LEAF:                    # one leaf
+            self.order, self.points, self.sizes, self.starts = np.arange(len(points)), points, sizes, np.zeros(1, np.int64)
+            self.corner, self.low, self.high = points.max(0)[None], sizes.min(keepdims=True), sizes.max(keepdims=True)
+            return
         by_size = np.argsort(sizes, kind="stable")
         tile = LEAF * max(1, int(np.ceil(np.sqrt(len(points) / LEAF))))
         order = []
@@ -159,8 +173,8 @@ class RTree:
             part = by_size[lo:lo + tile]
             axis = int(points[part].var(0).argmax())
             order.append(part[np.argsort(points[part, axis], kind="stable")])
-        self.order = np.concatenate(order) if order else by_size
-        self.points, self.sizes = points[self.order].astype(np.int32), sizes[self.order]
+        self.order = np.concatenate(order)
+        self.points, self.sizes = points[self.order], sizes[self.order]
         self.starts = np.arange(0, len(points), LEAF)
         self.corner = np.maximum.reduceat(self.points, self.starts)        # upper corners of the leaves
         self.low = np.minimum.reduceat(self.sizes, self.starts)
@@ -235,50 +249,67 @@ def cell_pairs(reps: np.ndarray, sizes: np.ndarray, points: np.ndarray, chunks:
     return list(zip(np.minimum(reps[i], reps[j]).tolist(), np.maximum(reps[i], reps[j]).tolist()))
 
 
-def _cells(with_comps: bool):
-    """Task function over rows sorted by cell: candidate pairs of each cell."""
-    def flush(rows: list[tuple]) -> list[tuple[int, int]]:
-        _key, a, b = rows[0][:3]
-        if len(rows) < 2:
-            return []
-        rows.sort(key=lambda r: r[4])
-        reps, sizes = np.array([r[4] for r in rows]), np.array([r[5] for r in rows], np.int64)
-        points = np.frombuffer(b"".join(r[6] for r in rows), "<u2").reshape(len(rows), GROUPS)
-        comps = np.array([r[7] for r in rows]) if with_comps else None
-        return cell_pairs(reps, sizes, points, np.array([r[3] for r in rows]), a, b, comps)
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of each cell, from rows that are sorted by cell.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        found: list[tuple[int, int]] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][:3] != row[:3]:
-                    found += flush(held)
-                    held = []
-                    if len(found) >= 10_000:
-                        yield _pairs(found)
-                        found = []
-                held.append(row)
-        if held:
-            found += flush(held)
-        while found:
-            yield _pairs(found[:10_000])
-            found = found[10_000:]
-    return run
+    Cells of two points (most of them) are compared all at once.
+    """
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, table]) if held is not None else table
+        ends = _ends(held)
+        if len(ends) > 1:             # the last cell may go on in the next batch
+            done, held = held.slice(0, ends[-2]), held.slice(ends[-2])
+            yield _pairs(_of_cells(done))
+    if held is not None and held.num_rows:
+        yield _pairs(_of_cells(held))
+
+
+def _ends(table: pa.Table) -> np.ndarray:
+    """Row after the last of each cell."""
+    ids = [table.column(c).to_numpy() for c in ("key", "band", "cell_a", "cell_b")]
+    new = np.zeros(max(table.num_rows - 1, 0), bool)
+    for x in ids:
+        new |= x[1:] != x[:-1]
+    return np.append(np.flatnonzero(new) + 1, table.num_rows)
+
+
+def _of_cells(table: pa.Table) -> list[tuple[int, int]]:
+    ends = _ends(table)
+    starts = np.append(0, ends[:-1])
+    rep, n, chunk = (table.column(c).to_numpy() for c in ("rep", "n", "chunk"))
+    a, b = (table.column(c).to_numpy() for c in ("cell_a", "cell_b"))
+    comp = table.column("comp").to_numpy() if "comp" in table.column_names else None
+    raw = table.column("point").to_pylist()
+    out: list[tuple[int, int]] = []
+    two = starts[(ends - starts == 2) & (a[starts] == b[starts])]
+    for lo in range(0, len(two), 4096):
+        x = two[lo:lo + 4096]
+        least = np.minimum(points_of([raw[i] for i in x]), points_of([raw[i + 1] for i in x])).sum(1)
+        ok = (least >= need(n[x], n[x + 1])) & (comp is None or comp[x] != comp[x + 1])
+        out += zip(np.minimum(rep[x], rep[x + 1])[ok].tolist(), np.maximum(rep[x], rep[x + 1])[ok].tolist())
+    for lo, hi in zip(starts, ends):
+        if hi - lo > 2 or hi - lo == 2 and a[lo] != b[lo]:
+            order = lo + np.argsort(rep[lo:hi], kind="stable")
+            out += cell_pairs(rep[order], n[order], points_of([raw[i] for i in order]), chunk[order],
+                              a[lo], b[lo], None if comp is None else comp[order])
+    return out
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), ()))], names=["a", "b"])
 
 
-def candidates(cells: DataFrame, comps: DataFrame | None = None) -> DataFrame:
-    """Distinct candidate pairs (a, b) of all cells."""
-    rows = cells
-    if comps is not None:
-        rows = cells.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").select(
-            *cells.columns, F.coalesce("comp", "rep").alias("comp"))
-    dealt = rows.repartition("key", "cell_a", "cell_b").sortWithinPartitions("key", "cell_a", "cell_b")
-    return dealt.mapInArrow(_cells(comps is not None), "a long, b long").distinct()
+def candidates(cells: DataFrame, points: DataFrame) -> DataFrame:
+    """Distinct candidate pairs (a, b) of all cells.
+
+    ``points``: rep, n, point; with a column comp, every pair of two
+    components, else a spanning forest of each cell.
+    """
+    at = ["key", "band", "cell_a", "cell_b"]
+    dealt = cells.join(points, "rep").repartition(*at).sortWithinPartitions(*at)
+    return dealt.mapInArrow(_cells, "a long, b long").distinct()
 
 
 # -- verification and components ----------------------------------------------------------
@@ -294,7 +325,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = len(mine & other)
             if DEN * both >= NUM * (len(mine) + len(other) - both):
                 out.append((a, b))
-        yield _pairs(out) if out else pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
+        yield _pairs(out)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -333,20 +364,22 @@ def _mark(edges: DataFrame) -> tuple:
 # -- the operator ---------------------------------------------------------------------------
 
 def _cell_rows(classes: DataFrame) -> DataFrame:
-    """Every class once per cell that it is in."""
-    keys = classes.select("rep", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(
-        F.count("*").alias("members"),
-        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s1"),
-        F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("s2")).where("members > 1")
-    # Shingles shared by just the same classes make one cell.
-    once = shared.groupBy("members", "s1", "s2").agg(F.min("key").alias("key")).select("key", "members")
-    member = keys.join(once, "key").withColumn("chunks", F.ceil(F.col("members") / CELL).cast("int"))
+    """(key, band, cell_a, cell_b, chunk, rep): every class once per cell that it is in."""
+    band = F.floor(F.log("n") / BAND).cast("int")
+    keys = classes.select("rep", band.alias("band"), F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    # Linked sets are of one size band or of two neighbours: each class is in its own and the next.
+    banded = keys.join(shared, "key").withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    alike = banded.groupBy("key", "band").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x1"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2")).where("members > 1")
+    # Cells of just the same classes are one cell.
+    once = alike.groupBy("members", "x1", "x2").agg(F.min(F.struct("key", "band")).alias("at")).select("at.*", "members")
+    member = banded.join(once, ["key", "band"]).withColumn("chunks", F.ceil(F.col("members") / CELL).cast("int"))
     # A larger cell is cut into chunks by random; each two chunks meet in a cell of their own.
     chunk = F.pmod(F.xxhash64("rep", "key"), F.col("chunks")).cast("int")
     spread = member.withColumn("chunk", chunk).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return spread.join(classes.select("rep", "n", "point"), "rep").select(
-        "key", F.least("chunk", "with").alias("cell_a"), F.greatest("chunk", "with").alias("cell_b"), "chunk", "rep", "n", "point")
+    return spread.select("key", "band", F.least("chunk", "with").alias("cell_a"), F.greatest("chunk", "with").alias("cell_b"), "chunk", "rep")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
@@ -371,11 +404,15 @@ def join_documents(docs: DataFrame) -> DataFrame:
         F.min(F.struct("doc_id", "text_hash")).alias("own"), F.first("n_shingles").cast("int").alias("n"),
         F.first("point").alias("point"), F.first("keys").alias("keys")).withColumn("rep", F.monotonically_increasing_id()), "classes")
     cells = written(_cell_rows(classes), "cells")
-    wanted = cells.select("rep").distinct().join(classes, "rep").select("rep", "own.doc_id", "own.text_hash")
+    points = classes.select("rep", "n", "point")
+    pairs = written(candidates(cells, points), "pairs")
+    # Every class with a partner in a cell is in that cell's forest, so these texts do for both rounds.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes, "rep").select("rep", "own.doc_id", "own.text_hash")
     texts = written(rows.join(wanted, ["doc_id", "text_hash"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
-    first = written(verified(candidates(cells), texts), "links")
-    comps = components(first)
-    links = first.unionByName(written(verified(candidates(cells, comps), texts), "links"))
+    first = written(verified(pairs, texts), "links")
+    comps = texts.select("rep").join(components(first).withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", F.coalesce("comp", "rep").alias("comp"))
+    links = first.unionByName(written(verified(candidates(cells, points.join(comps, "rep")), texts), "links"))
     # Rows of one doc_id with different sets are one document: their classes meet.
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("d1"), F.max("digest").alias("d2")).where("d1 != d2").select("doc_id")
     met = usable.join(several, "doc_id", "left_semi").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")

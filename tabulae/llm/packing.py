@@ -8,6 +8,7 @@ first-fit decreasing with a tournament tree over the bins' free room.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,6 @@ from tabulae.llm.common import written
 LENGTH = 2048
 END_ID = 1
 GROUP = 8192            # remainders in a random group, about
-CACHE = 300_000         # pre-tokens a worker remembers
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -33,32 +33,40 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoded(dict):
-    """Pre-token -> its ids as little-endian 32-bit bytes, filled on demand.
+class Encoder:
+    """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    Byte-level BPE never merges across pre-tokens, so a text's ids are those
-    of its pre-tokens in turn; each distinct one is encoded once a worker.
+    The file's vocabulary lists its merges in order, so the same ids come from
+    tiktoken with the vocabulary as ranks, in a third of the time.  That is
+    used for texts up to U+02C1, where the two libraries' tables of letters,
+    numbers and blanks cannot differ; the tokenizers library takes the others.
     """
 
     def __init__(self, path: str):
         import public_tokenizers
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = out = np.array(ids, "<u4").tobytes()
-        return out
+        # Byte-level files write each byte as one character: the printable ones as they are, the rest from U+0100 on.
+        signs = set(ByteLevel.alphabet())
+        plain = [b for b in range(256) if chr(b) in signs]
+        byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+        special = set(map(str, self.tokenizer.get_added_tokens_decoder().values()))
+        ranks = {bytes(byte_of[c] for c in token): rank for token, rank in self.tokenizer.get_vocab(with_added_tokens=False).items()
+                 if token not in special}
+        self.ranked = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.other = re.compile("[\u02c2-\U0010ffff]").search
 
     def ids(self, text: str) -> bytes:
-        if len(self) > CACHE:
-            self.clear()
-        return b"".join(map(self.__getitem__, self.split(text)))
+        """Ids as little-endian 32-bit bytes."""
+        if self.other(text):
+            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        else:
+            found = self.ranked.encode_to_numpy(text, disallowed_special=())
+        return found.astype("<u4").tobytes()
 
 
 def pieces(ids: bytes) -> list[tuple[int, int, int]]:
@@ -69,12 +77,12 @@ def pieces(ids: bytes) -> list[tuple[int, int, int]]:
 
 def _tokenise(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Encoded(path or tokenizer_path())
+        encoder = Encoder(path or tokenizer_path())
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = known.ids(text or "") + end
+                ids = encoder.ids(text or "") + end
                 rows += [(doc, s, n, crc, len(ids) // 4) for s, n, crc in pieces(ids)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)],

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tabulae.llm import language, quality_model
 from tabulae.llm.common import fold, read
 from tabulae.llm.decontaminate import find_contamination
+from tabulae.llm.licences import scan_licences
 from tabulae.llm.ngram_join import join_documents
 from tabulae.llm.packing import pack_documents
+from tabulae.llm.pii import replace_personal_data
 from tabulae.llm.quality_rules import judge_documents
 from tabulae.llm.secrets import scan_secrets
 from tabulae.llm.sharding import shard_documents
@@ -42,6 +44,14 @@ def op6_secrets(spark, sf_dir):
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark, sf_dir):
+    return replace_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_licences(spark, sf_dir):
+    return scan_licences(read(spark, sf_dir, "documents"))
+
+
 def op9_shard(spark, sf_dir):
     return shard_documents(read(spark, sf_dir, "documents")).withColumns(
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -51,5 +61,7 @@ def op10_ngram_join(spark, sf_dir):
     return join_documents(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_quality_rules, op4_language, op5_pack, op6_secrets, op9_shard, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_decontaminate, op3_quality_rules, op4_language, op5_pack, op6_secrets,
+    op7_pii, op8_licences, op9_shard, op10_ngram_join)}
 SQL: dict[str, str] = {}

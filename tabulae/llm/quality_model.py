@@ -23,7 +23,7 @@ EMBED, FILTERS, HIDDEN = 4, 32, 16
 BLOCK = 1 << 19            # bytes convolved at a time
 FIT_ROWS = 2000            # sampled labelled rows per class, about
 FIT_CHARS = 8_000          # a longer text is not used for fitting
-EPOCHS, BATCH, RATE = 8, 32, 4e-3
+STEPS, BATCH, RATE = 1000, 32, 4e-3
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 RESULT = "doc_id long, score double"
@@ -109,7 +109,9 @@ def gradient(m: dict, texts: list[bytes], bad: np.ndarray) -> dict[str, np.ndarr
     z, first, second, fill, data = badness(m, texts)
     span = np.arange(2 * HALF // STRIDE) * STRIDE
     starts = first[:, None] * HALF + np.where((second > first)[:, None], span, span % HALF)
-    window = data[starts[:, :, None] + np.arange(WIDTH)]                       # text, place, byte
+    ends = np.cumsum([max(1, -(-len(t) // HALF)) for t in texts]) * HALF
+    at = starts[:, :, None] + np.arange(WIDTH)                                  # text, place, byte
+    window = np.where(at < ends[:, None, None], data[at], 0)
     x = m["e"][window].reshape(len(texts), len(span), -1)
     y = x @ m["w"] + m["b"]
     best = y.argmax(1)                                                          # text, filter
@@ -132,8 +134,9 @@ def fit(texts: list[bytes], bad: np.ndarray, seed: int = 5) -> dict[str, np.ndar
     """Adam on the log loss, classes weighted by sampling alone."""
     m, r = start(seed), np.random.default_rng(seed)
     s1, s2, t = {k: np.zeros_like(v) for k, v in m.items()}, {k: np.zeros_like(v) for k, v in m.items()}, 0
-    steps = EPOCHS * -(-len(texts) // BATCH)
-    for _ in range(EPOCHS):
+    epochs = -(-STEPS // -(-len(texts) // BATCH))
+    steps = epochs * -(-len(texts) // BATCH)
+    for _ in range(epochs):
         order = r.permutation(len(texts))
         for lo in range(0, len(order), BATCH):
             some = order[lo:lo + BATCH]

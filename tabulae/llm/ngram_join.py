@@ -35,7 +35,7 @@ NUM, DEN = 90, 100       # threshold: DEN * intersection >= NUM * union
 GROUPS = 256             # coordinates of a point
 CELL = 2048              # points of one cell, about
 LEAF = 32                # points of one R-tree leaf
-COMMON_DOCS, COMMON_IN = 8192, 8    # a shingle in so many of a sample of so many is common
+COMMON_DOCS, COMMON_IN = 16384, 3   # a shingle in so many of a sample of so many is common
 BAND = -math.log(NUM / DEN - 0.01)   # sizes of linked sets differ by less than this in logarithm
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U64 = np.uint64
@@ -147,7 +147,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
     found = some.select("text").mapInArrow(run, "h long").groupBy("h").count().where(
         F.col("count") >= max(2, COMMON_IN * min(n, COMMON_DOCS) // COMMON_DOCS)).select("h").orderBy("h").limit(1_000_000)
-    return np.sort(np.array([r[0] for r in found.collect()], np.int64).view(np.uint64))
+    return np.sort(found.toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
 # -- the R-tree ----------------------------------------------------------------------------

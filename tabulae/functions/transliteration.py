@@ -74,14 +74,13 @@ MULTI = {k: v for k, v in TABLE.items() if len(v) > 1}
 def translit(c: Column) -> Column:
     """Transliterate accented text to ASCII (null stays null).
 
-    After ``translate`` only one-to-many characters (or ones with no ASCII
-    form) can remain non-ASCII, so the ``replace`` chain runs only where the
-    UTF-8 byte length differs from the character length — a far cheaper test
-    than a regex scan.
+    Text whose UTF-8 byte length is its character length is ASCII and stays as
+    it is.  After ``translate`` only one-to-many characters (or ones with no
+    ASCII form) can remain, so the ``replace`` chain runs only on those.
     """
     one = F.translate(c, TRANSLATE_FROM, TRANSLATE_TO)
     many = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), MULTI.items(), one)
-    return F.when(F.octet_length(one) == F.length(one), one).otherwise(many)
+    return F.when(F.octet_length(c) == F.length(c), c).when(F.octet_length(one) == F.length(one), one).otherwise(many)
 
 
 def translit_sql(expr: str) -> str:

@@ -2,8 +2,8 @@
 
 Every lookup is an equi-join on a code.  Code tables are small, so the join
 is a broadcast hash join — no shuffle of the fact side at all — but only
-after their size is *checked*: one pass over at most ``n + 1`` rows proves
-the table has at most ``n`` rows and at most a byte budget of data.  A table
+after their size is *checked*: an ordinary aggregate (one row a task is
+shuffled) proves the row count and the bytes of data are within bounds.  A table
 over the bound takes the shuffle path instead, where AQE splits skewed
 partitions and null keys (which can never match) are spread over many
 reducers rather than piling into one.
@@ -25,14 +25,14 @@ _SALT = "__tabulae_null_salt"
 _STRINGY = ("string", "binary")
 
 
-def _size_probe(dim: DataFrame, max_rows: int) -> DataFrame:
-    """One row: (rows, bytes) of at most ``max_rows + 1`` rows of ``dim``."""
+def _size_probe(dim: DataFrame) -> DataFrame:
+    """One row: (rows, bytes) of ``dim``; a partial aggregate, so no rows travel."""
     width = [
         F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in _STRINGY else F.lit(8)
         for f in dim.schema.fields
     ]
     row_bytes = sum(width[1:], width[0]) if width else F.lit(0)
-    return dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).cast("long").alias("b"))
+    return dim.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).cast("long").alias("b"))
 
 
 def fits_broadcast(
@@ -42,14 +42,13 @@ def fits_broadcast(
 ) -> bool:
     """True when ``dim`` provably has at most ``max_rows`` rows and its rows
     add up to at most ``max_bytes`` (string/binary lengths plus 8 bytes per
-    other field).  One bounded pass: never reads more than ``max_rows + 1``
-    rows, whatever the table's size.
+    other field).  One aggregate over the table; each task sends one row.
 
     The bound applies to the rows ``dim`` *produces*: if ``dim`` is itself
     an aggregate or a join, that work runs for the check and again for the
     broadcast, so checkpoint such a table first (as the tiered match does).
     """
-    got = _size_probe(dim, max_rows).first()
+    got = _size_probe(dim).first()
     return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 
 
@@ -59,10 +58,10 @@ def fits_broadcast_all(
     max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> dict[str, bool]:
     """``fits_broadcast`` for several tables in one Spark job (a union of
-    the bounded probes), e.g. all code tables of a run."""
+    the aggregates), e.g. all code tables of a run."""
     if not dims:
         return {}
-    probes = [_size_probe(df, max_rows).select(F.lit(name).alias("t"), "n", "b") for name, df in dims.items()]
+    probes = [_size_probe(df).select(F.lit(name).alias("t"), "n", "b") for name, df in dims.items()]
     rows = reduce(lambda a, b: a.unionByName(b), probes).collect()  # one row per table
     return {r["t"]: r["n"] <= max_rows and (r["b"] or 0) <= max_bytes for r in rows}
 

@@ -81,6 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = _context(spark)
     root = checkpoint_root(spark)
     if not root:
+        master = sc.master if sc is not None else "unknown"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"{_CKPT_KEY} must name a shared folder: the master is {master}, and a local folder is not seen by every executor")
         root = tempfile.mkdtemp(prefix="tabulae-ckpt-")  # local tests only
         spark.conf.set(_CKPT_KEY, root)
     if sc is not None and not sc.getCheckpointDir():

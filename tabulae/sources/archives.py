@@ -17,7 +17,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulae.sources.files import list_files
@@ -70,14 +70,21 @@ def list_members(spark: SparkSession, archive_root: str, suffix: str = ".zip") -
     return archives.repartition(n, F.col("path")).mapInPandas(_list_members, MEMBER_SCHEMA)
 
 
+def _folder(archive: Column, root: str) -> Column:
+    """Folder for an archive's members: its place below the root, without its suffix."""
+    base = F.lit(root.rstrip("/") + "/")
+    at = F.locate(root.rstrip("/") + "/", archive)
+    below = F.when(at > 0, F.substring(archive, at + F.length(base), F.length(archive))).otherwise(F.substring_index(archive, "/", -1))
+    return F.regexp_replace(below, r"\.[^./]*$", "")
+
+
 def _extractor(dest_root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out_fs, out_base = _fs(dest_root)
         for pdf in batches:
             rows = []
-            for archive, member in zip(pdf["archive"], pdf["member"]):
+            for archive, member, folder in zip(pdf["archive"], pdf["member"], pdf["folder"]):
                 in_fs, in_path = _fs(archive)
-                folder = _stem(archive.rstrip("/").rsplit("/", 1)[-1])
                 relative = safe_member(member)
                 target = f"{out_base.rstrip('/')}/{folder}/{relative}"
                 out_fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
@@ -104,7 +111,8 @@ def unpack_archives(spark: SparkSession, archive_root: str, dest_root: str, suff
     The manifest is checkpointed to the shared folder, which both runs the
     extraction exactly once and cuts the lineage for readers of the files.
     """
-    members = list_members(spark, archive_root, suffix).checkpoint(eager=True)
+    members = list_members(spark, archive_root, suffix).withColumn(
+        "folder", _folder(F.col("archive"), _fs(archive_root)[1])).checkpoint(eager=True)
     # One member per task.  The member list is tiny, so a plain
     # repartition(col) would be coalesced by AQE into a single task; an
     # explicit range partitioning with one range per member is kept as is.

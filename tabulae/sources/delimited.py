@@ -79,7 +79,28 @@ def csv_to_parquet(spark: SparkSession, src: str | list[str], dst: str, sep: str
 # --- header files in groups --------------------------------------------------
 
 HEADER_SCHEMA = "path string, header string"
-_MAX_HEADER_BYTES = 1 << 20
+_CHUNK = 1 << 16
+
+
+def first_record(stream, encoding: str) -> str:
+    """The first record that is not a blank line, of any length; a line break
+    within quotes belongs to it."""
+    data, end = b"", -1
+    while True:
+        chunk = stream.read(_CHUNK)
+        data = (data + chunk).lstrip(b"\r\n") if end < 0 else data
+        line = data.removeprefix(b"\xef\xbb\xbf")
+        while line[:1] in (b"\r", b"\n"):
+            data = line = line.lstrip(b"\r\n")
+        end = data.find(b"\n")
+        while end >= 0 and data.count(b'"', 0, end) % 2:
+            end = data.find(b"\n", end + 1)
+        if end >= 0 or not chunk:
+            break
+        end = -1
+    record = data[:end] if end >= 0 else data
+    # exports often start with a byte-order mark: not part of the name
+    return record.rstrip(b"\r\n").decode(encoding).lstrip("\ufeff")
 
 
 def _header_reader(encoding: str):
@@ -91,17 +112,14 @@ def _header_reader(encoding: str):
             for uri in pdf["path"]:
                 fs, path = filesystem(uri)
                 with fs.open_input_stream(path) as fh:
-                    head = fh.read(_MAX_HEADER_BYTES)
-                line = head.split(b"\n", 1)[0].rstrip(b"\r")
-                # exports often start with a byte-order mark: not part of the name
-                out.append((uri, line.decode(encoding).lstrip("\ufeff")))
+                    out.append((uri, first_record(fh, encoding)))
             yield pd.DataFrame(out, columns=["path", "header"])
     return run
 
 
 def read_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, str]:
-    """First line of every file, read in parallel (one small task per chunk of
-    files; only the first line is decoded).  Returns ``{path: header}``."""
+    """Header record of every file, read in parallel (one small task per chunk
+    of files).  Returns ``{path: header}``; a file without records has ``""``."""
     if not paths:
         return {}
     n = max(1, min(len(paths), parallelism(spark)))
@@ -113,7 +131,7 @@ def read_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8")
 def header_names(header: str, sep: str = ",") -> list[str]:
     import csv
 
-    return next(csv.reader([header], delimiter=sep, quotechar='"'))
+    return next(csv.reader(header.splitlines(keepends=True), delimiter=sep, quotechar='"'))
 
 
 def scan_header_groups(
@@ -137,7 +155,7 @@ def scan_header_groups(
     out = []
     for header, group in sorted(groups.items()):
         opts = {"header": "true", "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', **_KEEP_BLANKS}
-        if multiline:
+        if multiline or "\n" in header:
             opts["multiLine"] = "true"
         schema = string_schema(header_names(header, sep))
         out.append(spark.read.schema(schema).options(**opts).csv(sorted(group)))

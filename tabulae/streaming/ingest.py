@@ -9,10 +9,14 @@ the last run, then stops.  Re-runs after a crash resume from the checkpoint
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tabulae.schemas import REGISTRY_READ_OPTIONS
 
+# The file source forgets files older than a week before the newest by default.
+NO_AGE_LIMIT = "36500d"
+
 
 def ingest_available(
     spark: SparkSession,
@@ -32,7 +36,9 @@ def ingest_available(
 
     A backlog is drained in micro-batches of at most
     ``max_files_per_trigger`` files, each committed to the checkpoint, so a
-    failure late in a large backlog redoes one batch, not all of it.
+    failure late in a large backlog redoes one batch, not all of it.  Files
+    count as new by name alone, however old their time stamps are.  Archives
+    that lie among the files are not read as data.
     """
     opts = dict(REGISTRY_READ_OPTIONS if options is None else options)
     opts.update({"header": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
@@ -44,7 +50,9 @@ def ingest_available(
         opts["pathGlobFilter"] = file_glob
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    opts["maxFileAge"] = NO_AGE_LIMIT
     stream: DataFrame = spark.readStream.schema(schema).options(**opts).csv(source_dir)
+    stream = stream.where(~F.lower(F.col("_metadata.file_name")).endswith(".zip"))
     if transform is not None:
         stream = transform(stream)
     q = (stream.writeStream.format("parquet")

@@ -206,8 +206,9 @@ def replace_personal_data(docs: DataFrame, key: str = "surrogate-key-1") -> Data
         rows = docs.withColumn("__again", F.lit(None).cast(kind))
     else:
         digest = F.xxhash64("text")
-        held = entities(docs, digest.alias("__digest")).join(again, ["kind", "canon"]).groupBy("__digest").agg(
-            F.collect_list(F.struct("kind", "canon", "attempt")).alias("__again"))
+        # Written first: its size is then known, and a small table spares the texts a shuffle.
+        held = written(entities(docs, digest.alias("__digest")).join(again, ["kind", "canon"]).groupBy("__digest").agg(
+            F.collect_list(F.struct("kind", "canon", "attempt")).alias("__again")), "held")
         rows = docs.join(held.withColumnRenamed("__digest", "__own"), F.xxhash64("text") == F.col("__own"), "left").drop("__own")
     done = rows.withColumn("__new", rewritten(F.col("text"), key, F.col("__again")))
     return done.withColumns({"text": F.col("__new.text"), "n_replaced": F.col("__new.n")}).drop("__new", "__again")

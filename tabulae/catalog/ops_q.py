@@ -13,7 +13,7 @@ from tabulae.catalog.standin import Standin, d8, table
 from tabulae.functions import clean as C
 from tabulae.functions.transliteration import translit, translit_sql
 from tabulae.operators import columns as P
-from tabulae.operators.lookups import coerce_key, lookup
+from tabulae.operators.lookups import coerce_key, duplicate_keys, lookup, unmatched_keys
 from tabulae.operators.sets import distinct_rows, union_by_name
 
 STR = "STRING"
@@ -233,7 +233,8 @@ def q_clean_by_column_rule(spark, sf):
   LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 2) n ON c.c_nationkey = n.n_nationkey""")
 def q_lookup_left(spark, sf):
     nation = table(spark, sf, "nation").where("n_regionkey <> 2").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return lookup(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), nation, "c_nationkey", "left")
+    return lookup(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), nation, "c_nationkey", "left").select(
+        "c_custkey", "c_nationkey", "n_name")
 
 
 @reg("lookup_inner", """SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey % 30 AS cod_mun, n.n_name AS nome_mun
@@ -241,7 +242,7 @@ def q_lookup_left(spark, sf):
 def q_lookup_inner(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 30).alias("cod_mun"))
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("cod_mun"), F.col("n_name").alias("nome_mun"))
-    return lookup(li, nation, "cod_mun", "inner")
+    return lookup(li, nation, "cod_mun", "inner").select("l_orderkey", "l_linenumber", "cod_mun", "nome_mun")
 
 
 @reg("lookup_coerced_key", """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name FROM lineitem l
@@ -249,7 +250,23 @@ def q_lookup_inner(spark, sf):
 def q_lookup_coerced_key(spark, sf):
     part = table(spark, sf, "part").select(F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("l_partkey"), "p_name")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return lookup(li, coerce_key(part, "l_partkey", "bigint"), "l_partkey", "inner")
+    return lookup(li, coerce_key(part, "l_partkey", "bigint"), "l_partkey", "inner").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "p_name")
+
+
+# lines per part and supplier: a code table whose key (the part) comes more than once
+@reg("lookup_duplicate_keys", """SELECT l_partkey, count(*) AS n_rows FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) d
+  GROUP BY l_partkey HAVING count(*) > 1""")
+def q_lookup_duplicate_keys(spark, sf):
+    return duplicate_keys(distinct_rows(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"]), "l_partkey")
+
+
+@reg("lookup_unmatched_keys", """SELECT l_suppkey % 30 AS cod_mun, count(*) AS n_rows FROM lineitem
+  WHERE l_suppkey % 30 NOT IN (SELECT n_nationkey FROM nation) GROUP BY l_suppkey % 30""")
+def q_lookup_unmatched_keys(spark, sf):
+    li = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 30).alias("cod_mun"))
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("cod_mun"))
+    return unmatched_keys(li, nation, "cod_mun")
 
 
 @reg("lookup_role_playing", """SELECT o.o_orderkey, o.o_custkey % 30 AS cod_quals, q1.n_name AS nome_quals,

@@ -1,7 +1,9 @@
 """Accent transliteration to ASCII as native Spark expressions.
 
 Registry files are ISO-8859-1, so every non-ASCII character they can hold is
-in U+0080..U+00FF: a finite table.  One-to-one letters go through a single
+in U+0080..U+00FF; trade names are UTF-8 and add typographic signs and further
+Latin letters.  Both are a finite table; other scripts stay as they are and
+``untransliterated`` counts them.  One-to-one letters go through a single
 ``translate`` (which also deletes characters mapped to nothing); the few
 one-to-many entries are plain ``replace`` calls, only evaluated on rows that
 are still non-ASCII after the ``translate``.  Everything stays inside whole-stage codegen; no Python
@@ -40,6 +42,20 @@ EXTENDED_A_SPECIAL = {
     "ŧ": "t", "ſ": "s",
 }
 
+# FIXED VALUES: typographic signs, currency signs and letters without a decomposition.
+SIGNS = {
+    "\u2010": "-", "\u2011": "-", "\u2012": "-", "\u2013": "-", "\u2014": "--", "\u2015": "--",
+    "\u2018": "'", "\u2019": "'", "\u201a": ",", "\u201b": "'", "\u201c": '"', "\u201d": '"', "\u201e": ",,", "\u201f": '"',
+    "\u2020": "+", "\u2021": "++", "\u2022": "*", "\u2026": "...", "\u2030": "%0", "\u2032": "'", "\u2033": "''",
+    "\u2039": "<", "\u203a": ">", "\u2044": "/", "\u20ac": "EUR", "\u2116": "No", "\u2122": "(tm)", "\u2212": "-",
+    "\u0192": "f", "\u018f": "@", "\u0259": "@",
+}
+# Blanks of other widths become a blank; zero-width signs carry no text.
+BLANKS = "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+ZERO_WIDTH = "\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
+# Combining accents (decomposed text) carry no letter of their own.
+COMBINING = range(0x300, 0x370)
+
 
 def _build_table() -> dict[str, str]:
     table: dict[str, str] = {}
@@ -48,9 +64,13 @@ def _build_table() -> dict[str, str]:
         table[chr(cp)] = ""
     for i, ascii_form in enumerate(LATIN1_ASCII):
         table[chr(0xA0 + i)] = ascii_form
-    # Latin Extended-A (U+0100..U+017F) by rule: the base letter of the
-    # canonical decomposition, when that base is ASCII.
-    for cp in range(0x100, 0x180):
+    table.update(SIGNS)
+    table.update(dict.fromkeys(BLANKS, " "))
+    table.update(dict.fromkeys(ZERO_WIDTH, ""))
+    table.update((chr(cp), "") for cp in COMBINING)
+    # Latin Extended-A and -B (U+0100..U+024F) and Additional (U+1E00..U+1EFF)
+    # by rule: the base letter of the canonical decomposition, when it is ASCII.
+    for cp in (*range(0x100, 0x250), *range(0x1E00, 0x1F00)):
         ch = chr(cp)
         if ch in EXTENDED_A_SPECIAL:
             table[ch] = EXTENDED_A_SPECIAL[ch]
@@ -83,6 +103,11 @@ def translit(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), c).when(F.octet_length(one) == F.length(one), one).otherwise(many)
 
 
+def untransliterated(c: Column) -> Column:
+    """How many characters of the text ``translit`` leaves outside ASCII (null: 0)."""
+    return F.coalesce(F.length(F.regexp_replace(translit(c), "[\\x00-\\x7F]", "")), F.lit(0))
+
+
 def translit_sql(expr: str) -> str:
     """The same mapping as portable SQL (DuckDB/ANSI ``translate``/``replace``)."""
 

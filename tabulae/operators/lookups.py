@@ -81,6 +81,41 @@ def coerce_key(dim: DataFrame, key: str, dtype: str, integral_decimals: bool = F
     return dim.withColumn(key, typed)
 
 
+def duplicate_keys(dim: DataFrame, on: str | list[str]) -> DataFrame:
+    """Keys that ``dim`` holds more than once, with their row counts.
+
+    Such a key makes a lookup return a fact row several times.  Null keys
+    never match and are not reported.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    return dim.dropna("any", subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+
+
+def require_unique(dims: dict[str, DataFrame], show: int = 10) -> None:
+    """Raise if a table (keyed by the column it is named after) has a key
+    more than once; the message holds the first ``show`` of them.
+
+    One job for all tables.  It aggregates them, so use it where they are
+    written or small, as the jobs do with their code tables.
+    """
+    found = [duplicate_keys(df, key).select(F.lit(key).alias("t"), F.col(key).cast("string").alias("k"), "n_rows")
+             for key, df in dims.items()]
+    bad = reduce(lambda a, b: a.unionByName(b), found).orderBy("t", "k").limit(show).collect()
+    if bad:
+        raise ValueError("lookup keys come more than once, which would multiply the rows that hold them: "
+                         + ", ".join(f"{r['t']}={r['k']} ({r['n_rows']} rows)" for r in bad))
+
+
+def unmatched_keys(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
+    """Fact keys without a row in ``dim``, with the number of fact rows each
+    holds (a null key is reported too: it never matches).
+
+    Facts are aggregated by key first, so a hot key is one row in the join.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).join(dim.select(*keys), keys, "left_anti")
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,

@@ -118,3 +118,43 @@ def tiered_match(
     cond = reduce(lambda a, b: a & b, [records[k].eqNullSafe(side[renamed[k]]) for k in key_cols])
     out = records.join(side, cond, "left")
     return out.select(*[records[c] for c in records.columns], *[side[v] for v in values], side[tier_col])
+
+
+# FIXED VALUES: accept rules of the address service.
+EXACT_SCORE, MIN_SCORE = 100, 80
+PRECISE = ("PointAddress", "StreetAddress")
+ADDRESS = ("rua", "cep", "bairro", "municipio", "uf")   # parts, as records name them
+
+
+def address_tiers(parts: dict[str, str] | None = None, score: str = "score", quality: str = "quality",
+                  address: str = "address") -> list[Tier]:
+    """The three address rules, most specific first.
+
+    1. Street, quarter, city and state: the matched address contains the city
+       and scores 100, or at least 80 as a point or street address.
+    2. Quarter, city and state: it contains the city and scores at least 80.
+    3. Postal code, city and state: whatever it is.
+
+    ``parts`` names the reference table's column of each of ADDRESS (default:
+    the same name with ``ref_`` before it); the others are its columns too.
+    """
+    of = {p: f"ref_{p}" for p in ADDRESS} | (parts or {})
+    s = F.col(score)
+    holds_city = F.contains(F.col(address), F.col(of["municipio"]))
+    precise = (s == EXACT_SCORE) | ((s >= MIN_SCORE) & F.col(quality).isin(*PRECISE))
+
+    def keys(*names: str) -> dict[str, str]:
+        return {n: of[n] for n in (*names, "municipio", "uf")}
+
+    return [Tier(keys("rua", "bairro"), holds_city & precise, "street"),
+            Tier(keys("bairro"), holds_city & (s >= MIN_SCORE), "quarter"),
+            Tier(keys("cep"), None, "postal code")]
+
+
+def match_addresses(records: DataFrame, ref: DataFrame, values: tuple[str, ...] = ("lat", "lng"),
+                    score: str = "score", **names) -> DataFrame:
+    """``records`` (columns ADDRESS) with the coordinates of the first address
+    rule that holds.  Of several candidates the highest score wins, then the
+    smallest values.  ``names`` are those of ``address_tiers``."""
+    rank = [-F.col(score), *map(F.col, values)]
+    return tiered_match(records, ref, address_tiers(score=score, **names), list(values), rank)

@@ -16,7 +16,7 @@ from tabulae.functions.clean import (
     to_date8, to_int, upper_trim,
 )
 from tabulae.operators.columns import columns_by_rule, project
-from tabulae.operators.lookups import fits_broadcast, fits_broadcast_all, lookup, lookup_role
+from tabulae.operators.lookups import fits_broadcast, fits_broadcast_all, lookup, lookup_role, require_unique
 from tabulae.sinks import write_table
 from tabulae.sources.delimited import scan_delimited
 from tabulae.sources.files import list_files
@@ -175,6 +175,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     # the written code tables cut the lineage
     codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")}
     small = fits_broadcast_all(codes)  # each checked once, all in one job
+    require_unique({f"cod_{name}": df for name, df in codes.items()})
 
     builders = {
         "simples": ("simples", S.SIMPLES_COLS, lambda raw: simples_table(raw, pad=not compat)),

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tabulae import schemas as S
 from tabulae.functions.clean import to_int, trim_translit
 from tabulae.operators.columns import drop_all_null
-from tabulae.operators.lookups import coerce_key, fits_broadcast_all, lookup
+from tabulae.operators.lookups import coerce_key, fits_broadcast_all, lookup, require_unique
 from tabulae.operators.sets import distinct_rows, union_by_name
+from tabulae.session import scratch_path
 from tabulae.sinks import write_table
 from tabulae.sources.delimited import scan_header_groups
 from tabulae.sources.files import list_files
@@ -61,24 +62,28 @@ def fact_file(raw: DataFrame, measure_type: str = "bigint") -> DataFrame:
     return df.select([e.alias(c) for c, e in typed.items()])
 
 
-def prepare_lookups(mun: DataFrame, pais: DataFrame, prod: DataFrame) -> dict:
-    """Lookup tables keyed like the facts (int), each size-checked once.
+def keyed_lookups(mun: DataFrame, pais: DataFrame, prod: DataFrame) -> dict[str, DataFrame]:
+    """Lookup tables keyed like the facts (int), by fact column.
 
     The lookup files are spreadsheet exports: a code column with gaps is
     written as ``101.0``, which still names code 101.
     """
-    tables = {
+    return {
         "CO_MUN": coerce_key(mun, "CO_MUN", "int", integral_decimals=True),
         "CO_PAIS": coerce_key(pais, "CO_PAIS", "int", integral_decimals=True),
         "SH4": distinct_rows(coerce_key(prod, "SH4", "int", integral_decimals=True)),
     }
-    small = fits_broadcast_all(tables)  # one job for the three checks
+
+
+def prepare_lookups(tables: dict[str, DataFrame]) -> dict:
+    """Each table with the outcome of its size check (one job for all)."""
+    small = fits_broadcast_all(tables)
     return {key: (df, small[key]) for key, df in tables.items()}
 
 
 def decorate(facts: DataFrame, mun: DataFrame, pais: DataFrame, prod: DataFrame, prepared: dict | None = None) -> DataFrame:
     """Inner lookups on int fact keys against text lookup keys, then publish."""
-    prepared = prepared or prepare_lookups(mun, pais, prod)
+    prepared = prepared or prepare_lookups(keyed_lookups(mun, pais, prod))
     df = facts
     for key in ("CO_MUN", "CO_PAIS", "SH4"):
         dim, small = prepared[key]
@@ -127,7 +132,14 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     empty = [name for name, paths in by_flow.items() if not paths]
     if empty:  # fail before anything is written
         raise ValueError(f"no fact files for flow(s) {empty} under {raw_root}/mun")
-    prepared = prepare_lookups(mun, pais, prod)  # checked once, used by both flows
+    # written once, checked once, used by both flows
+    tables = keyed_lookups(mun, pais, prod)
+    for key, df in tables.items():
+        path = scratch_path(spark, f"lookup-{key}")
+        write_table(df, path)
+        tables[key] = spark.read.schema(df.schema).parquet(path)
+    require_unique(tables)
+    prepared = prepare_lookups(tables)
     out = {}
     for flow_name, marker in S.TRADE_FLOWS.items():
         paths = by_flow[flow_name]

@@ -55,6 +55,7 @@ def ingest_available(
     stream = stream.where(~F.lower(F.col("_metadata.file_name")).endswith(".zip"))
     if transform is not None:
         stream = transform(stream)
+    before = _last_batch(spark, checkpoint_dir)
     q = (stream.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_dir)
          .option("compression", "zstd")
@@ -64,4 +65,15 @@ def ingest_available(
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to the caller
         raise q.exception()
-    return len(q.recentProgress)
+    return _last_batch(spark, checkpoint_dir) - before
+
+
+def _last_batch(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Id of the last committed micro-batch; -1 before the first.  Spark keeps
+    progress records of the last 100 batches only, commits are numbered."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return -1
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return max((int(n) for n in names if n.isdigit()), default=-1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulae import schemas as S
 from tabulae.functions import clean as C
-from tabulae.functions.transliteration import LATIN1_ASCII, TABLE, translit
+from tabulae.functions.transliteration import LATIN1_ASCII, TABLE, translit, untransliterated
 
 
 def one_col(spark, values, fn, dtype="string"):
@@ -111,3 +111,23 @@ def test_letter_rows_agree_with_duckdb_strip_accents():
     disagree = {c: (TABLE[c], d) for c, d in zip(letters, got) if d != TABLE[c] and d.isascii()}
     assert not disagree
     assert sum(d.isascii() for d in got) > 150
+
+
+def test_translit_of_utf8_names(spark):
+    """Expected spellings written by hand."""
+    pairs = {
+        "São Tomé – “x” ’ … € Ș ộ": "Sao Tome - \"x\" ' ... EUR S o",
+        "București, Timișoara, Iași": "Bucuresti, Timisoara, Iasi",
+        "Thành phố Hồ Chí Minh": "Thanh pho Ho Chi Minh",
+        "Łódź — Gdańsk": "Lodz -- Gdansk",
+        "Côte d’Ivoire": "Cote d'Ivoire",
+        "Sa\u0303o Joa\u0303o": "Sao Joao",
+        "a\u2003b\u200bc": "a bc",
+        "N° 5 № 6": "Ndeg 5 No 6",
+    }
+    assert one_col(spark, list(pairs), lambda c: translit(F.col(c))) == list(pairs.values())
+
+
+def test_untransliterated_counts_what_stays(spark):
+    vals = ["Rio", "Ação", "北京 x", "Москва", "", None]
+    assert one_col(spark, vals, lambda c: untransliterated(F.col(c))) == [0, 0, 2, 6, 0, 0]

@@ -6,7 +6,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from tabulae.operators.links import base_name, link_manifest, year_filter
-from tabulae.operators.match import Tier, tiered_match
+from tabulae.operators.match import Tier, match_addresses, tiered_match
 from tabulae.schemas import string_schema
 from tabulae.sinks import write_delimited
 from tabulae.sources.archives import list_members, unpack_archives
@@ -243,3 +243,42 @@ def test_registry_and_trade_manifests(spark):
     assert sorted(r.name for r in trade_manifest(pages, years=(2015, 2022)).collect()) == [
         "EXP_2015_MUN.csv", "EXP_2016_MUN.csv", "IMP_2022_MUN.csv"]
     assert [r.name for r in registry_manifest(pages).collect()] == ["Empresas0.zip"]
+
+
+def test_address_rules(spark):
+    """Each rule's border, with the expected row written by hand."""
+    ref = spark.createDataFrame([
+        # rua, cep, bairro, municipio, uf, address, score, quality, lat, lng
+        ("a", "1", "centro", "Rio", "RJ", "a, Rio", 80, "StreetAddress", 1.0, 1.0),
+        ("b", "1", "centro", "Rio", "RJ", "b, Rio", 79, "PointAddress", 2.0, 2.0),     # below 80
+        ("c", "1", "norte", "Rio", "RJ", "c, Niteroi", 100, "PointAddress", 3.0, 3.0),  # another city's address
+        ("d", "2", "sul", "Rio", "RJ", "d, Rio", 80, "Locality", 4.0, 4.0),            # not precise: rule 2
+        ("e", "3", "leste", "Rio", "RJ", "e, Rio", 100, "Locality", 5.0, 5.0),
+    ], "ref_rua string, ref_cep string, ref_bairro string, ref_municipio string, ref_uf string, address string, "
+       "score int, quality string, lat double, lng double")
+    recs = spark.createDataFrame([
+        (1, "a", "1", "centro", "Rio", "RJ"), (2, "b", "1", "centro", "Rio", "RJ"), (3, "c", "1", "norte", "Rio", "RJ"),
+        (4, "d", "2", "sul", "Rio", "RJ"), (5, "e", "3", "leste", "Rio", "RJ"), (6, "a", "9", "centro", "Rio", "SP"),
+        (7, None, None, None, None, None),
+    ], "i int, rua string, cep string, bairro string, municipio string, uf string")
+    got = {r.i: (r.lat, r.tier) for r in match_addresses(recs, ref).collect()}
+    assert got == {1: (1.0, 1), 2: (1.0, 2), 3: (3.0, 3), 4: (4.0, 2), 5: (5.0, 1), 6: (None, None), 7: (None, None)}
+
+
+def test_cli_manifest_and_incremental(spark, tmp):
+    from tabulae.__main__ import main
+    from test_golden_registry import make_raw
+
+    pages = [(1, '<a href="/x/Empresas0.zip">e</a><a href="/mun/EXP_2016_MUN.csv">c</a><a href="/mun/EXP_2025_MUN.csv">c</a>')]
+    spark.createDataFrame(pages, "page_id int, html string").write.parquet(f"{tmp}/pages")
+    assert main(["manifest", f"{tmp}/pages", f"{tmp}/m1", "--kind", "registry"]) == 0
+    assert [r.name for r in spark.read.parquet(f"{tmp}/m1").collect()] == ["Empresas0.zip"]
+    assert main(["manifest", f"{tmp}/pages", f"{tmp}/m2", "--kind", "trade"]) == 0
+    assert [r.name for r in spark.read.parquet(f"{tmp}/m2").collect()] == ["EXP_2016_MUN.csv"]
+    assert main(["manifest", f"{tmp}/pages", f"{tmp}/m3", "--kind", "trade", "--years", "2016", "2030", "--known", f"{tmp}/m2"]) == 0
+    assert [r.name for r in spark.read.parquet(f"{tmp}/m3").collect()] == ["EXP_2025_MUN.csv"]
+    make_raw(f"{tmp}/raw")
+    assert main(["registry", f"{tmp}/raw", f"{tmp}/out", "--partition-by", "uf", "--tables", "estab"]) == 0
+    assert any(d.startswith("uf=") for d in os.listdir(f"{tmp}/out/df_estab"))
+    assert main(["incremental", f"{tmp}/raw", f"{tmp}/inc", "--codes", f"{tmp}/out", "--checkpoints", f"{tmp}/ck", "--tables", "estab"]) == 0
+    assert spark.read.parquet(f"{tmp}/inc/df_estab").count() == spark.read.parquet(f"{tmp}/out/df_estab").count()

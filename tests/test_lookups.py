@@ -1,8 +1,9 @@
 """Lookup joins: semantics, both physical paths, invariants, plan shape."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tabulae.operators.lookups import coerce_key, fits_broadcast, lookup
+from tabulae.operators.lookups import coerce_key, duplicate_keys, fits_broadcast, lookup, require_unique, unmatched_keys
 from tabulae.operators.sets import distinct_rows, union_by_name
 
 from conftest import SF01, rows
@@ -103,3 +104,13 @@ def test_fits_broadcast_all_matches_single_checks(spark):
     got = fits_broadcast_all(dims, max_rows=100, max_bytes=400)
     assert got == {k: fits_broadcast(v, 100, 400) for k, v in dims.items()}
     assert got == {"a": True, "b": False, "c": True, "d": False}
+
+
+def test_duplicate_and_unmatched_keys(spark):
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    fact = spark.createDataFrame([(1,), (3,), (3,), (None,)], "k int")
+    assert rows(duplicate_keys(dim, "k")) == [(1, 2)]
+    assert sorted(map(tuple, unmatched_keys(fact, dim, "k").collect()), key=str) == [(3, 2), (None, 1)]
+    require_unique({"k": dim.where("v <> 'b'")})
+    with pytest.raises(ValueError, match=r"k=1 \(2 rows\)"):
+        require_unique({"k": dim})

@@ -5,9 +5,9 @@ import pytest
 
 import __spark_entry__ as E
 from tabulae.catalog.all import CATALOG
-from tabulae.catalog.compare import compare, duck
 
 from conftest import SF001
+from oracle_compare import compare, duck
 
 SQL = {n: s for n, s in E.oracle_sql().items() if n in CATALOG}
 

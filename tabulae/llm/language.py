@@ -8,7 +8,6 @@ further language.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,10 @@ TEMPER = 3.0            # overlapping trigrams count as a third of their number
 FOLDS, HELD_OUT = 3, 1
 RESULT = "doc_id long, lang_pred string, score double, proportions map<string,double>"
 _TABLE = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -88,7 +90,7 @@ def fit_languages(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The model of a bounded sample of the labelled rows outside the held-out fold."""
     known = docs.where(F.col("lang").isNotNull() & (F.length("text") <= FIT_CHARS) & (fold("doc_id", FOLDS) != HELD_OUT))
     rows = sample_by_label(known.select("lang", "text"), "lang", FIT_ROWS)
-    return fit([(r[0], r[1]) for r in rows.collect() if _LETTER.search(r[1])])
+    return fit([(r[0], r[1]) for r in rows.collect() if has_letter(r[1])])
 
 
 def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:
@@ -109,7 +111,7 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray] | No
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                if not names or not text or not _LETTER.search(text):
+                if not names or not has_letter(text):
                     rows.append(("und", 0.0, []))
                     continue
                 w, score = infer(text, p, logs)

@@ -9,6 +9,7 @@ from tabulae.llm.common import fold, read
 from tabulae.llm.decontaminate import find_contamination
 from tabulae.llm.licences import scan_licences
 from tabulae.llm.ngram_join import join_documents
+from tabulae.llm.oracles import DECONTAMINATE, QUALITY_RULES
 from tabulae.llm.packing import pack_documents
 from tabulae.llm.pii import replace_personal_data
 from tabulae.llm.quality_rules import judge_documents
@@ -64,4 +65,4 @@ def op10_ngram_join(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_decontaminate, op3_quality_rules, op4_language, op5_pack, op6_secrets,
     op7_pii, op8_licences, op9_shard, op10_ngram_join)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_decontaminate": DECONTAMINATE, "op3_quality_rules": QUALITY_RULES}

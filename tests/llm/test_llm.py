@@ -5,16 +5,18 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from oracle_compare import compare
 from tabulae.llm import decontaminate, language, ngram_join, packing, quality_model
 from tabulae.llm.licences import TEMPLATES, scan_licences
 from tabulae.llm.pii import replace_personal_data, resolved
 from tabulae.llm.quality_rules import judge_documents
-from tabulae.llm.queries import QUERIES
+from tabulae.llm.queries import QUERIES, SQL
 from tabulae.llm.secrets import scan_secrets
 from tabulae.llm.sharding import shard_documents
 
@@ -311,3 +313,22 @@ def test_pipeline(spark):
     assert ngram_join.join_documents(kept).where("doc_id != component_id").count() <= 2      # surrogates may bring a pair together
     got = corpus_pipeline.run(spark, SF)
     assert got.select("doc_id").distinct().count() == kept.count()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_its_sql(spark, docs, tmp, name):
+    """On the whole small tables with the odd rows added."""
+    docs.select("doc_id", "text").write.parquet(f"{tmp}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp}/benchmark.parquet")
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp}/{table}.parquet/*.parquet')").fetchall()
+    got = QUERIES[name](spark, str(tmp))
+    ok, msg = compare(got.select(*sorted(got.columns)), con, f"SELECT {', '.join(sorted(got.columns))} FROM ({SQL[name]}) q")
+    assert ok, msg
+
+
+def test_language_needs_a_letter(spark):
+    rows = spark.createDataFrame([(1, "²³½ 12 -"), (2, "ab cd")], "doc_id long, text string")
+    got = language.identify_languages(rows, language.fit([("xx", "ab cd ef"), ("yy", "uu vv ww")]))
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "und", 2: "xx"}

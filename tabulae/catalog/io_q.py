@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulae.catalog import registry_q
-from tabulae.catalog.standin import table
+from tabulae.catalog.standin import Standin, table
 from tabulae.operators.columns import preview
 from tabulae.operators.ingest import new_only
-from tabulae.operators.links import base_name, link_manifest, year_filter
+from tabulae.operators.links import base_name, link_manifest, registry_manifest, trade_manifest, year_filter
 from tabulae.session import scratch_path
 from tabulae.sinks import write_delimited, write_table
 from tabulae.sources.delimited import csv_to_parquet, scan_delimited, scan_header_csv
@@ -107,9 +107,14 @@ def q_sink_csv(spark, sf):
     return scan_header_csv(spark, path, multiline=True)
 
 
-@reg("preview_limit")
+# which rows a preview shows is open, so: how many it shows, and how many of them are not the table's
+@reg("preview_limit", "SELECT least(count(*), 5) AS n_rows, CAST(0 AS BIGINT) AS n_strangers FROM orders")
 def q_preview_limit(spark, sf):
-    return preview(registry_q.q_registry_simples(spark, sf), 5)
+    df = registry_q.q_registry_simples(spark, sf)
+    both = preview(df, 5).withColumns({"shown": F.lit(1), "held": F.lit(0)}).unionByName(
+        df.withColumns({"shown": F.lit(0), "held": F.lit(1)}))
+    rows = both.groupBy(*df.columns).agg(F.sum("shown").alias("shown"), F.sum("held").alias("held"))
+    return rows.agg(F.sum("shown").alias("n_rows"), F.sum(F.greatest(F.col("shown") - F.col("held"), F.lit(0))).alias("n_strangers"))
 
 
 @reg("ingest_new_only", "SELECT d.doc_id, d.lang, d.source FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id")
@@ -123,6 +128,30 @@ def q_link_manifest(spark, sf):
     return link_manifest(table(spark, sf, "pages"), keep=["page_id"])
 
 
+def _index_html(group: str, everywhere: str) -> str:
+    """Pages whose links to words with t are yearly files and with w are archives."""
+    mun = f"""regexp_replace(html, 'href="/(t[a-z]*)"', concat('href="/mun/EXP_', CAST(2010 + page_id % 20 AS STRING), '_{group}.csv"'){everywhere})"""
+    return f"""regexp_replace({mun}, 'href="/(w[a-z]*)"', 'href="/reg/{group}.zip"'{everywhere})"""
+
+
+INDEX = Standin("pages", [("page_id", "page_id"), ("html", (_index_html("$1", ""), _index_html("\\1", ", 'g'")))])
+_LINKS_SQL = (f"SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\\s(?:[^>]*?\\s)?href=[\"'']([^\"'']+)[\"'']', 1)) AS link "
+              f"FROM ({INDEX.sql()}) i")
+
+
+@reg("manifest_trade", f"""SELECT * FROM (SELECT page_id, link, regexp_extract(link, 'mun/(.+)', 1) AS name,
+  TRY_CAST(regexp_extract(link, 'mun/.*?([0-9]{{4}})', 1) AS INTEGER) AS year FROM ({_LINKS_SQL}) l
+  WHERE link LIKE '%.csv' AND contains(link, 'mun')) m WHERE year BETWEEN 2016 AND 2021""")
+def q_manifest_trade(spark, sf):
+    return trade_manifest(INDEX.df(spark, sf), keep=["page_id"])
+
+
+@reg("manifest_registry", f"""SELECT page_id, link, regexp_extract(link, '([^/]+)$', 1) AS name FROM ({_LINKS_SQL}) l
+  WHERE link LIKE '%.zip'""")
+def q_manifest_registry(spark, sf):
+    return registry_manifest(INDEX.df(spark, sf), keep=["page_id"])
+
+
 @reg("year_filter", "SELECT page_id, url, year FROM (SELECT page_id, url, TRY_CAST(regexp_extract(url, '[0-9]{3}', 0) AS INTEGER) "
                     "AS year FROM pages) p WHERE year BETWEEN 200 AND 700")
 def q_year_filter(spark, sf):

@@ -9,7 +9,7 @@ from tabulae import schemas as S
 from tabulae.catalog import registry_q as RQ
 from tabulae.catalog.io_q import DOC_COLS, DOC_SQL, _documents
 from tabulae.catalog.standin import Standin
-from tabulae.operators.match import Tier, tiered_match
+from tabulae.operators.match import Tier, address_tiers, tiered_match
 from tabulae.plans import registry as R
 from tabulae.schemas import string_schema
 from tabulae.session import scratch_path
@@ -25,6 +25,8 @@ GAZ = Standin("supplier", [
     ("id", "s_suppkey"),
     ("g_nation", "s_nationkey"),
     ("g_band", "CAST(floor(s_acctbal / 1000) AS BIGINT)"),
+    ("address", "CASE WHEN s_suppkey % 5 = 0 THEN 'road 1' ELSE concat('road 1, city ', lpad(CAST(s_nationkey AS STRING), 3, '0')) END"),
+    ("g_city", "concat('city ', lpad(CAST(s_nationkey AS STRING), 3, '0'))"),
     ("score", "CAST(s_suppkey % 41 + 60 AS INT)"),
     ("quality", "CASE s_suppkey % 3 WHEN 0 THEN 'PointAddress' WHEN 1 THEN 'StreetAddress' ELSE 'Locality' END"),
     ("lat", "s_acctbal / 100"),
@@ -35,14 +37,13 @@ CUST = Standin("customer", [
     ("k_nation", "c_nationkey"),
     ("k_band", "CAST(floor(c_acctbal / 1000) AS BIGINT)"),
 ])
-TIER2_MIN_SCORE = 95  # the address rule uses 80; stricter here so all tiers occur
 
 
 def q_tiered_match(spark, sf):
+    street, quarter, _code = address_tiers({"municipio": "g_city"})  # the accept rules of the shipped preset
     tiers = [
-        Tier({"k_nation": "g_nation", "k_band": "g_band"},
-             (F.col("score") == 100) | ((F.col("score") >= 80) & F.col("quality").isin("PointAddress", "StreetAddress"))),
-        Tier({"k_nation": "g_nation"}, F.col("score") >= TIER2_MIN_SCORE),
+        Tier({"k_nation": "g_nation", "k_band": "g_band"}, street.accept),
+        Tier({"k_nation": "g_nation"}, quarter.accept),
         Tier({"k_band": "g_band"}),
     ]
     return tiered_match(CUST.df(spark, sf), GAZ.df(spark, sf), tiers, ["lat", "lng"], [-F.col("score"), F.col("id")])
@@ -55,8 +56,8 @@ def _best(keys: str, where: str, alias: str) -> str:
 
 SQL_TIERED = f"""
 WITH g AS ({GAZ.sql()}), c AS ({CUST.sql()}),
-{_best('g_nation, g_band', "score = 100 OR (score >= 80 AND quality IN ('PointAddress', 'StreetAddress'))", 't1')},
-{_best('g_nation', f'score >= {TIER2_MIN_SCORE}', 't2')},
+{_best('g_nation, g_band', "contains(address, g_city) AND (score = 100 OR (score >= 80 AND quality IN ('PointAddress', 'StreetAddress')))", 't1')},
+{_best('g_nation', "contains(address, g_city) AND score >= 80", 't2')},
 {_best('g_band', 'TRUE', 't3')},
 m AS (
   SELECT c.*, CASE WHEN t1.lat IS NOT NULL THEN 1 WHEN t2.lat IS NOT NULL THEN 2 WHEN t3.lat IS NOT NULL THEN 3 END AS tier,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabulae import schemas as S
 from tabulae.catalog.sqlgen import (
@@ -34,13 +37,20 @@ def codes(spark: SparkSession, sf_dir: str, table: str, name: str) -> DataFrame:
     return R.code_table(_code_standin(table, name).df(spark, sf_dir), name)
 
 
-# --- C1 dim_codes: nation as a code table -----------------------------------
+# --- C1 dim_codes: the six code tables, nation or region as their raw files ------
+
+CODE_SOURCES = {"CNAE": "region", "MUNIC": "nation", "NATJU": "nation", "PAIS": "region", "QUALS": "nation", "MOTI": "region"}
+
 
 def q_dim_codes(spark, sf_dir):
-    return codes(spark, sf_dir, "nation", "natju")
+    tables = [(S.CODE_TABLES[m], codes(spark, sf_dir, t, S.CODE_TABLES[m])) for m, t in CODE_SOURCES.items()]
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(n).alias("tabela"), F.col(f"cod_{n}").alias("cod"), F.col(f"nome_{n}").alias("nome")) for n, df in tables])
 
 
-SQL_DIM_CODES = _code_sql("nation", "natju")
+SQL_DIM_CODES = " UNION ALL ".join(
+    f"SELECT '{n}' AS tabela, cod_{n} AS cod, nome_{n} AS nome FROM ({_code_sql(t, n)}) t_{n}"
+    for n, t in ((S.CODE_TABLES[m], t) for m, t in CODE_SOURCES.items()))
 
 # --- C2 simples ----------------------------------------------------------------
 
@@ -91,10 +101,12 @@ def q_registry_companies(spark, sf_dir):
     )
 
 
-SQL_REGISTRY_COMPANIES = f"""
+def companies_sql(natju: str = "nation", quals: str = "region") -> str:
+    """The published companies, decoded against these tables as code tables."""
+    return f"""
 WITH raw AS ({COMPANIES.sql()}),
-natju AS ({_code_sql('nation', 'natju')}),
-quals AS ({_code_sql('region', 'quals')}),
+natju AS ({_code_sql(natju, 'natju')}),
+quals AS ({_code_sql(quals, 'quals')}),
 e AS (
   SELECT {s_pad('cnpj', 8)} AS cnpj,
          {s_clean_text('razao_social')} AS razao_social,
@@ -111,6 +123,9 @@ FROM e LEFT JOIN natju ON e.cod_natju = natju.cod_natju
        LEFT JOIN quals ON e.cod_quals = quals.cod_quals
 """
 
+
+SQL_REGISTRY_COMPANIES = companies_sql()
+
 # --- C4 partners -------------------------------------------------------------------
 
 PARTNERS = Standin("orders", [

@@ -60,3 +60,11 @@ def s_repair_email(e: str) -> str:
 def s_blank_sentinel(e: str, sentinels: list[str]) -> str:
     inlist = ", ".join(q(s) for s in sentinels)
     return f"(CASE WHEN {e} IN ({inlist}) THEN '' ELSE {e} END)"
+
+
+def s_digest(name: str, sql: str, cols: list[str]) -> str:
+    """One row: table name, rows, and an order-free checksum of all columns."""
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols)
+    return (f"SELECT {q(name)} AS published, count(*) AS n_rows, "
+            f"CAST(coalesce(sum(CAST(concat('0x', substr(md5(concat_ws('|', {text})), 1, 8)) AS BIGINT)), 0) AS BIGINT) AS checksum "
+            f"FROM ({sql}) t")

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +31,45 @@ from pyspark.sql import functions as F
 
 from tabulae.llm.common import written
 
-N = 3                    # words in a shingle
-NUM, DEN = 90, 100       # threshold: DEN * intersection >= NUM * union
+N = 3                    # words in a shingle, unless given
+NUM, DEN = 90, 100       # threshold, unless given: DEN * intersection >= NUM * union
 GROUPS = 256             # coordinates of a point
 CELL = 2048              # points of one cell, about
 LEAF = 32                # points of one R-tree leaf
 COMMON_DOCS, COMMON_IN = 16384, 3   # a shingle in so many of a sample of so many is common
-BAND = -math.log(NUM / DEN - 0.01)   # sizes of linked sets differ by less than this in logarithm
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U64 = np.uint64
 FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, point binary, keys array<long>"
 
 
+class Rule(NamedTuple):
+    """What links two documents: Jaccard similarity of their n-word shingles of num/den or more."""
+
+    n: int = N
+    num: int = NUM
+    den: int = DEN
+
+    @property
+    def band(self) -> float:
+        """Sizes of linked sets differ by less than this in logarithm."""
+        return -math.log(self.num / self.den - 0.01)
+
+    def prefix(self, size: int) -> int:
+        """Members of a set of ``size``, first in any one order, of which a link shares one."""
+        return size - -(-self.num * size // self.den) + 1
+
+    def need(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Least overlap of linked sets of these sizes: num/(num+den) of their sum, rounded up."""
+        return -(-self.num * (a + b) // (self.num + self.den))
+
+    def links(self, both, a, b):
+        """Whether sets of sizes ``a`` and ``b`` that share ``both`` members link."""
+        return self.den * both >= self.num * (a + b - both)
+
+
+RULE = Rule()
+
+
 # -- sets and points ---------------------------------------------------------------------
 
 def words(text: str | None) -> list[bytes]:
@@ -89,11 +117,6 @@ def hashes(text: str | None, known: Hashed, n: int = N) -> np.ndarray:
     return np.unique(h)
 
 
-def prefix(n: int) -> int:
-    """Members of a set of ``n``, first in any one order, of which a link shares one."""
-    return n - -(-NUM * n // DEN) + 1
-
-
 def point(h: np.ndarray) -> bytes:
     """Group counts, all low bytes before all high bytes (these pack well, being mostly zero)."""
     c = np.minimum(np.bincount((h >> _U64(20)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535)
@@ -105,7 +128,7 @@ def points_of(raw: list[bytes]) -> np.ndarray:
     return planes[:, 0] + (planes[:, 1] << 8)
 
 
-def _features(common):
+def _features(common, rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -113,10 +136,10 @@ def _features(common):
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                h = hashes(text, known)
+                h = hashes(text, known, rule.n)
                 at = np.searchsorted(frequent, h)
                 late = frequent[np.minimum(at, len(frequent) - 1)] == h if len(frequent) else np.zeros(len(h), bool)
-                order = np.concatenate([h[~late], h[late]])[:prefix(len(h))] if len(h) else h
+                order = np.concatenate([h[~late], h[late]])[:rule.prefix(len(h))] if len(h) else h
                 rows.append((len(h), xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None,
                              point(h), order.view(np.int64)))
             cols = list(zip(*rows)) if rows else [[]] * 4
@@ -127,7 +150,7 @@ def _features(common):
     return run
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
+def common_shingles(docs: DataFrame, rule: Rule = RULE) -> np.ndarray:
     """Sorted hashes of shingles frequent in a bounded random sample.
 
     They only come last in the order the cells use, which keeps cells small;
@@ -142,7 +165,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
         known = Hashed()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                h = hashes(text, known)
+                h = hashes(text, known, rule.n)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64), pa.int64())], names=["h"])
 
     found = some.select("text").mapInArrow(run, "h long").groupBy("h").count().where(
@@ -152,9 +175,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 # -- the R-tree ----------------------------------------------------------------------------
 
-def need(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least overlap of linked sets of these sizes: NUM/(NUM+DEN) of their sum, rounded up."""
-    return -(-NUM * (a + b) // (NUM + DEN))
+need = RULE.need
 
 
 class RTree:
@@ -180,7 +201,7 @@ class RTree:
         self.low = np.minimum.reduceat(self.sizes, self.starts)
         self.high = np.maximum.reduceat(self.sizes, self.starts)
 
-    def pairs(self, other: "RTree") -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def pairs(self, other: "RTree", rule: Rule = RULE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(places here, places in ``other``, bounds) of the pairs that may link.
 
         A tree against itself gives each pair once.
@@ -189,7 +210,7 @@ class RTree:
         for a in range(len(self.starts)):
             bound = np.minimum(self.corner[a], other.corner).sum(1)
             # Least need of a pair of the two boxes, and sizes that can meet at all.
-            fits = (bound >= need(self.low[a], other.low)) & (DEN * self.high[a] >= NUM * other.low) & (DEN * other.high >= NUM * self.low[a])
+            fits = (bound >= rule.need(self.low[a], other.low)) & (rule.den * self.high[a] >= rule.num * other.low) & (rule.den * other.high >= rule.num * self.low[a])
             if own:
                 fits[:a] = False
             s = slice(self.starts[a], self.starts[a] + LEAF)
@@ -198,7 +219,7 @@ class RTree:
                 t = slice(other.starts[b], other.starts[b] + LEAF)
                 q, m = other.points[t], other.sizes[t]
                 least = np.minimum(p[:, None, :], q[None, :, :]).sum(2)
-                ok = least >= need(n[:, None], m[None, :])
+                ok = least >= rule.need(n[:, None], m[None, :])
                 if own and a == b:
                     ok &= np.arange(len(n))[:, None] < np.arange(len(m))[None, :]
                 i, j = np.nonzero(ok)
@@ -226,7 +247,7 @@ def forest(n: int, i: np.ndarray, j: np.ndarray, near: np.ndarray) -> list[tuple
 
 
 def cell_pairs(reps: np.ndarray, sizes: np.ndarray, points: np.ndarray, chunks: np.ndarray,
-               cell_a: int, cell_b: int, comps: np.ndarray | None = None) -> list[tuple[int, int]]:
+               cell_a: int, cell_b: int, comps: np.ndarray | None = None, rule: Rule = RULE) -> list[tuple[int, int]]:
     """Pairs of one cell that may link, lower class first.
 
     Without ``comps`` a spanning forest of them; with ``comps`` every pair of
@@ -236,7 +257,7 @@ def cell_pairs(reps: np.ndarray, sizes: np.ndarray, points: np.ndarray, chunks:
     if not all(map(len, places)):
         return []
     trees = [RTree(points[at], sizes[at]) for at in places]
-    found = [(places[0][i], places[-1][j], least) for i, j, least in trees[0].pairs(trees[-1])]
+    found = [(places[0][i], places[-1][j], least) for i, j, least in trees[0].pairs(trees[-1], rule)]
     if not found:
         return []
     i, j, least = (np.concatenate(x) for x in zip(*found))
@@ -249,21 +270,23 @@ def cell_pairs(reps: np.ndarray, sizes: np.ndarray, points: np.ndarray, chunks:
     return list(zip(np.minimum(reps[i], reps[j]).tolist(), np.maximum(reps[i], reps[j]).tolist()))
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(rule: Rule):
     """Candidate pairs of each cell, from rows that are sorted by cell.
 
     Cells of two points (most of them) are compared all at once.
     """
-    held: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = pa.concat_tables([held, table]) if held is not None else table
-        ends = _ends(held)
-        if len(ends) > 1:             # the last cell may go on in the next batch
-            done, held = held.slice(0, ends[-2]), held.slice(ends[-2])
-            yield _pairs(_of_cells(done))
-    if held is not None and held.num_rows:
-        yield _pairs(_of_cells(held))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]) if held is not None else table
+            ends = _ends(held)
+            if len(ends) > 1:             # the last cell may go on in the next batch
+                done, held = held.slice(0, ends[-2]), held.slice(ends[-2])
+                yield _pairs(_of_cells(done, rule))
+        if held is not None and held.num_rows:
+            yield _pairs(_of_cells(held, rule))
+    return run
 
 
 def _ends(table: pa.Table) -> np.ndarray:
@@ -275,7 +298,7 @@ def _ends(table: pa.Table) -> np.ndarray:
     return np.append(np.flatnonzero(new) + 1, table.num_rows)
 
 
-def _of_cells(table: pa.Table) -> list[tuple[int, int]]:
+def _of_cells(table: pa.Table, rule: Rule) -> list[tuple[int, int]]:
     ends = _ends(table)
     starts = np.append(0, ends[:-1])
     rep, n, chunk = (table.column(c).to_numpy() for c in ("rep", "n", "chunk"))
@@ -287,13 +310,13 @@ def _of_cells(table: pa.Table) -> list[tuple[int, int]]:
     for lo in range(0, len(two), 4096):
         x = two[lo:lo + 4096]
         least = np.minimum(points_of([raw[i] for i in x]), points_of([raw[i + 1] for i in x])).sum(1)
-        ok = (least >= need(n[x], n[x + 1])) & (comp is None or comp[x] != comp[x + 1])
+        ok = (least >= rule.need(n[x], n[x + 1])) & (comp is None or comp[x] != comp[x + 1])
         out += zip(np.minimum(rep[x], rep[x + 1])[ok].tolist(), np.maximum(rep[x], rep[x + 1])[ok].tolist())
     for lo, hi in zip(starts, ends):
         if hi - lo > 2 or hi - lo == 2 and a[lo] != b[lo]:
             order = lo + np.argsort(rep[lo:hi], kind="stable")
             out += cell_pairs(rep[order], n[order], points_of([raw[i] for i in order]), chunk[order],
-                              a[lo], b[lo], None if comp is None else comp[order])
+                              a[lo], b[lo], None if comp is None else comp[order], rule)
     return out
 
 
@@ -301,7 +324,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), ()))], names=["a", "b"])
 
 
-def candidates(cells: DataFrame, points: DataFrame) -> DataFrame:
+def candidates(cells: DataFrame, points: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Distinct candidate pairs (a, b) of all cells.
 
     ``points``: rep, n, point; with a column comp, every pair of two
@@ -309,30 +332,31 @@ def candidates(cells: DataFrame, points: DataFrame) -> DataFrame:
     """
     at = ["key", "band", "cell_a", "cell_b"]
     dealt = cells.join(points, "rep").repartition(*at).sortWithinPartitions(*at)
-    return dealt.mapInArrow(_cells, "a long, b long").distinct()
+    return dealt.mapInArrow(_cells(rule), "a long, b long").distinct()
 
 
 # -- verification and components ----------------------------------------------------------
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, mine = None, set()
-    for batch in batches:
-        out = []
-        for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
-            if a != last:
-                last, mine = a, shingles(ta)
-            other = shingles(tb)
-            both = len(mine & other)
-            if DEN * both >= NUM * (len(mine) + len(other) - both):
-                out.append((a, b))
-        yield _pairs(out)
-
-
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verify(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, mine = None, set()
+        for batch in batches:
+            out = []
+            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
+                if a != last:
+                    last, mine = a, shingles(ta, rule.n)
+                other = shingles(tb, rule.n)
+                if rule.links(len(mine & other), len(mine), len(other)):
+                    out.append((a, b))
+            yield _pairs(out)
+    return run
+
+
+def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The pairs whose texts do link.  ``texts``: rep, text."""
     ta = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(tb, "b").join(ta, "a").mapInArrow(_verify, "a long, b long")
+    return pairs.join(tb, "b").join(ta, "a").mapInArrow(_verify(rule), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -363,9 +387,9 @@ def _mark(edges: DataFrame) -> tuple:
 
 # -- the operator ---------------------------------------------------------------------------
 
-def _cell_rows(classes: DataFrame) -> DataFrame:
+def _cell_rows(classes: DataFrame, rule: Rule) -> DataFrame:
     """(key, band, cell_a, cell_b, chunk, rep): every class once per cell that it is in."""
-    band = F.floor(F.log("n") / BAND).cast("int")
+    band = F.floor(F.log("n") / rule.band).cast("int")
     keys = classes.select("rep", band.alias("band"), F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     # Linked sets are of one size band or of two neighbours: each class is in its own and the next.
@@ -382,9 +406,12 @@ def _cell_rows(classes: DataFrame) -> DataFrame:
     return spread.select("key", "band", F.least("chunk", "with").alias("cell_a"), F.greatest("chunk", "with").alias("cell_b"), "chunk", "rep")
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
+def join_documents(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, n_links.
 
+    Documents link whose sets of n-word shingles have a Jaccard similarity of
+    num/den or more.
+
     ``component_id`` is the smallest doc_id that links reach, the document's
     own included; ``n_links`` counts the verified links of its class with
     classes of other sets, as far as they were needed to join components
@@ -394,25 +421,25 @@ def join_documents(docs: DataFrame) -> DataFrame:
     take no part and have a null component.  An empty table gives no row.
     Only doc_id and text are read.
     """
-    spark = docs.sparkSession
+    spark, rule = docs.sparkSession, Rule(n, num, den)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    common = spark.sparkContext.broadcast(common_shingles(rows))
-    feats = written(rows.mapInArrow(_features(common), FEATURES), "features")
+    common = spark.sparkContext.broadcast(common_shingles(rows, rule))
+    feats = written(rows.mapInArrow(_features(common, rule), FEATURES), "features")
     usable = feats.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # A class is one set; rep is its number, own the row that stands for it.
     classes = written(usable.groupBy("digest").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("own"), F.first("n_shingles").cast("int").alias("n"),
         F.first("point").alias("point"), F.first("keys").alias("keys")).withColumn("rep", F.monotonically_increasing_id()), "classes")
-    cells = written(_cell_rows(classes), "cells")
+    cells = written(_cell_rows(classes, rule), "cells")
     points = classes.select("rep", "n", "point")
-    pairs = written(candidates(cells, points), "pairs")
+    pairs = written(candidates(cells, points, rule), "pairs")
     # Every class with a partner in a cell is in that cell's forest, so these texts do for both rounds.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes, "rep").select("rep", "own.doc_id", "own.text_hash")
     texts = written(rows.join(wanted, ["doc_id", "text_hash"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
-    first = written(verified(pairs, texts), "links")
+    first = written(verified(pairs, texts, rule), "links")
     comps = texts.select("rep").join(components(first).withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", F.coalesce("comp", "rep").alias("comp"))
-    links = first.unionByName(written(verified(candidates(cells, points.join(comps, "rep")), texts), "links"))
+    links = first.unionByName(written(verified(candidates(cells, points.join(comps, "rep"), rule), texts, rule), "links"))
     # Rows of one doc_id with different sets are one document: their classes meet.
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("d1"), F.max("digest").alias("d2")).where("d1 != d2").select("doc_id")
     met = usable.join(several, "doc_id", "left_semi").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
@@ -430,13 +457,13 @@ def join_documents(docs: DataFrame) -> DataFrame:
         F.when(known, F.coalesce("n_links", F.lit(0))).alias("n_links"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN) -> DataFrame:
     """One document of each component, the one of the smallest doc_id, as it is.
 
     Of rows that share that doc_id the one of the smallest text stays; rows
     without a doc_id all stay.
     """
-    gone = join_documents(docs).where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = join_documents(docs, n, num, den).where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
     left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     columns = docs.columns
     whole = F.struct(F.coalesce("text", F.lit("")).alias("__order"), *columns)

@@ -123,20 +123,23 @@ def verdict(text: Column) -> Column:
     return let(base, judged)
 
 
-def judge_documents(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, the statistics, base_failed and kept.
-
-    Reads doc_id and text only, so other columns cannot clash.  Null text has
-    no words; repeated rows are judged alike; an empty table gives no row.
-    """
-    return docs.select("doc_id", verdict(F.col("text")).alias("__v")).select("doc_id", "__v.*")
-
-
 def clean_text(text: Column) -> Column:
     """The text without its failing lines (null stays null)."""
     return F.when(text.isNotNull(), F.array_join(F.filter(lines_of(text), lambda x: ~line_fails(x)), "\n"))
 
 
+def judge_documents(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, the statistics, base_failed, kept and cleaned.
+
+    ``cleaned`` is the text without its failing lines, of documents that are
+    not kept too; the statistics are of the text as it was.  Reads doc_id and
+    text only, so other columns cannot clash.  Null text has no words; repeated
+    rows are judged alike; an empty table gives no row.
+    """
+    return docs.select("doc_id", verdict(F.col("text")).alias("__v"), clean_text(F.col("text")).alias("cleaned")).select(
+        "doc_id", "__v.*", "cleaned")
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with their columns and texts as they are."""
-    return docs.where(verdict(F.col("text"))["kept"])
+    """The documents that are kept, with their columns, and texts without failing lines."""
+    return docs.where(verdict(F.col("text"))["kept"]).withColumn("text", clean_text(F.col("text")))

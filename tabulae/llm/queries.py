@@ -29,7 +29,7 @@ def op2_decontaminate(spark, sf_dir):
 
 
 def op3_quality_rules(spark, sf_dir):
-    return judge_documents(read(spark, sf_dir, "documents"))
+    return judge_documents(read(spark, sf_dir, "documents")).drop("cleaned")
 
 
 def op4_language(spark, sf_dir):

@@ -106,6 +106,18 @@ def test_quality_rules_verdicts(spark):
     assert got == {1: True, 2: False, 3: False, 4: True, 5: False}
 
 
+def test_failing_lines_are_removed(spark):
+    clean = "The house stands by the river and nobody has lived there for years now."
+    more = "  An indented line, and a blank one after it:\n\nthe last line ends with a break.\n"
+    rows = [(1, f"{clean}\n{more}"), (2, f"home | news | sport\n{clean}\nWe use cookies on this site.\n{more}"), (3, f"{clean}\nBUY!! NOW!!\n### *** ###"),
+            (4, "home | news | sport | about us today we have much more to tell you"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("more", F.lit(1))
+    got = corpus_pipeline.quality_rules(spark, df, SF)
+    assert got.columns == df.columns
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: f"{clean}\n{more}", 2: f"{clean}\n{more}", 3: clean}
+    assert {r["doc_id"]: r["cleaned"] for r in judge_documents(df).collect()} == {1: f"{clean}\n{more}", 2: f"{clean}\n{more}", 3: clean, 4: "", 5: None}
+
+
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer
 

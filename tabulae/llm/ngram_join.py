@@ -16,6 +16,8 @@ their sets' Jaccard similarity reaches the threshold.
    of each cell's closest pairs, so that a large group becomes one component
    without all its pairs; then every other surviving pair of two components.
 5. Components of the links give every document its smallest reachable doc_id.
+6. Links within a component are counted block by block: each two chunks of its
+   classes meet in one block, which gives a count a class and not the pairs.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ N = 3                    # words in a shingle, unless given
 NUM, DEN = 90, 100       # threshold, unless given: DEN * intersection >= NUM * union
 GROUPS = 256             # coordinates of a point
 CELL = 2048              # points of one cell, about
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20   # classes and shingles of one chunk of a component, about
+SLAB, SPARSE, PAIRS = 2048, 256, 1 << 21   # shingles multiplied out at a time; of how small a share of the pairs one is not; pairs counted at a time
 LEAF = 32                # points of one R-tree leaf
 COMMON_DOCS, COMMON_IN = 16384, 3   # a shingle in so many of a sample of so many is common
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -385,6 +389,81 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+# -- number of links -----------------------------------------------------------------------
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Shared members of each set of ``a`` with each of ``b``.
+
+    Members of many sets are multiplied out, some at a time; of the others the
+    pairs of sets are counted.
+    """
+    out = np.zeros((len(a), len(b)), np.int64)
+    ids, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    cut = sum(map(len, a))
+    sides = []
+    for sets, at in ((a, place[:cut]), (b, place[cut:])):
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(at, kind="stable")
+        sides.append((owner[order], np.searchsorted(at[order], np.arange(len(ids) + 1))))
+    (oa, sa), (ob, sb) = sides
+    na, nb = np.diff(sa), np.diff(sb)
+    rare = SPARSE * na * nb < out.size
+    few = np.flatnonzero(rare & (na * nb > 0))
+    ends = np.cumsum(na[few] * nb[few])
+    for part in np.split(few, np.flatnonzero(np.diff(ends // PAIRS)) + 1):
+        n = na[part] * nb[part]
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)      # place within the member's pairs
+        i, j = oa[np.repeat(sa[part], n) + k // np.repeat(nb[part], n)], ob[np.repeat(sb[part], n) + k % np.repeat(nb[part], n)]
+        out += np.bincount(i * len(b) + j, minlength=out.size).reshape(out.shape)
+    many = np.flatnonzero(~rare & (na * nb > 0))
+    for lo in range(0, len(many), SLAB):
+        some = many[lo:lo + SLAB]
+        x, y = np.zeros((len(a), len(some)), np.float32), np.zeros((len(b), len(some)), np.float32)
+        for m, o, s in ((x, oa, sa), (y, ob, sb)):
+            n = s[some + 1] - s[some]
+            col = np.repeat(np.arange(len(some)), n)
+            m[o[np.repeat(s[some] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())], col] = 1
+        out += (x @ y.T).astype(np.int64)      # below 2**24, so exact
+    return out
+
+
+def _block(rule: Rule):
+    known = Hashed()
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, chunk = table.column("rep").to_numpy(), table.column("chunk").to_numpy()
+        a, b = table.column("block_a")[0].as_py(), table.column("block_b")[0].as_py()
+        sets = [hashes(t, known, rule.n) for t in table.column("text").to_pylist()]
+        ia, ib = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
+        size = np.array([len(x) for x in sets], np.int64)
+        linked = rule.links(overlaps([sets[i] for i in ia], [sets[i] for i in ib]), size[ia][:, None], size[ib][None, :])
+        if a == b:
+            np.fill_diagonal(linked, False)
+        count = np.zeros(len(rep), np.int64)
+        count[ia] += linked.sum(1)
+        if a != b:
+            count[ib] += linked.sum(0)
+        return pa.table({"rep": pa.array(rep, pa.int64()), "n_links": pa.array(count, pa.int64())})
+    return run
+
+
+def link_counts(comps: DataFrame, links: DataFrame, texts: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """(rep, n_links): how many other classes link with each that has a link.
+
+    ``comps``: rep, n, comp of the classes; ``links``: the verified pairs,
+    which join the components; ``texts``: rep, text.  In a component of two
+    the pairs are all there; larger ones are compared in blocks.
+    """
+    sizes = comps.groupBy("comp").agg(F.count("*").alias("members"), F.sum(F.col("n").cast("long")).alias("total"))
+    large = sizes.where("members > 2").select("comp", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("chunks"))
+    own = comps.join(large, "comp").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    met = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "rep", "comp", "chunk", F.least("chunk", "with").alias("block_a"), F.greatest("chunk", "with").alias("block_b"))
+    counted = met.join(texts, "rep").groupBy("comp", "block_a", "block_b").applyInArrow(_block(rule), "rep long, n_links long")
+    pairs = links.select(F.explode(F.array("a", "b")).alias("rep")).join(own.select("rep"), "rep", "left_anti")
+    return counted.unionByName(pairs.withColumn("n_links", F.lit(1).cast("long"))).groupBy("rep").agg(F.sum("n_links").alias("n_links"))
+
+
 # -- the operator ---------------------------------------------------------------------------
 
 def _cell_rows(classes: DataFrame, rule: Rule) -> DataFrame:
@@ -413,9 +492,8 @@ def join_documents(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
     num/den or more.
 
     ``component_id`` is the smallest doc_id that links reach, the document's
-    own included; ``n_links`` counts the verified links of its class with
-    classes of other sets, as far as they were needed to join components
-    (copies are not counted).  Null and empty texts and texts without words
+    own included; ``n_links`` counts the links of its class with classes of
+    other sets (copies are not counted).  Null and empty texts and texts without words
     have no shingles and link with nothing: their component is their own
     doc_id.  Rows that share a doc_id are one document.  Rows without a doc_id
     take no part and have a null component.  An empty table gives no row.
@@ -444,10 +522,11 @@ def join_documents(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("d1"), F.max("digest").alias("d2")).where("d1 != d2").select("doc_id")
     met = usable.join(several, "doc_id", "left_semi").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
     same = met.join(met.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
+    nodes = written(components(links.unionByName(same)).withColumnRenamed("node", "rep"), "components")
     comp = classes.select("digest", "rep", F.col("own.doc_id").alias("least")).join(
-        components(links.unionByName(same)).withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        nodes, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     smallest = comp.groupBy("comp").agg(F.min("least").alias("component_id"))
-    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    ends = link_counts(nodes.join(classes.select("rep", "n"), "rep"), links, texts, rule)
     named = comp.join(smallest, "comp").join(ends, "rep", "left").select(
         "digest", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     known = F.col("doc_id").isNotNull()

@@ -206,6 +206,44 @@ def test_join_equals_brute_force(docs, texts, monkeypatch):
     assert Counter(tuple(r)[:3] for r in ngram_join.join_documents(docs).collect()) == want
 
 
+def test_join_counts_every_link(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    texts = []
+    for size, copies in ((120, 60), (300, 9), (80, 2), (50, 1), (15, 1)):
+        base = [f"w{i}" for i in r.integers(0, 5000, size)]
+        for k in range(copies):
+            copy = list(base)
+            copy[int(r.integers(size))] = f"new{k}"
+            if k % 7 == 3:
+                copy[int(r.integers(size))] = "more"
+            texts.append(" ".join(copy))
+    rows = list(enumerate(texts)) + [(200, texts[0]), (201, None)] + [(7, texts[65])]      # a copy; one doc_id in two groups
+    sets = [(d, ngram_join.shingles(t)) for d, t in rows]
+    distinct = {frozenset(s) for _, s in sets if s}
+
+    def links(x, y):
+        both = len(x & y)
+        return 100 * both >= 90 * (len(x) + len(y) - both)
+
+    want = Counter((d, sum(links(s, y) for y in distinct if y != s) if s else 0) for d, s in sets)
+    assert max(n for _d, n in want) > 40 and len({n for _d, n in want}) > 4
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block in (1024, 7):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        assert Counter((x["doc_id"], x["n_links"]) for x in ngram_join.join_documents(df).collect()) == want
+
+
+def test_overlaps_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(ngram_join, "SLAB", 16)
+    r = np.random.default_rng(8)
+    a, b = ([np.unique(r.integers(0, 300, n).astype(np.uint64)) for n in r.integers(1, 120, k)] for k in (30, 17))
+    want = [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    for sparse in (0, 4, 10**6):      # all counted, some, none
+        monkeypatch.setattr(ngram_join, "SPARSE", sparse)
+        monkeypatch.setattr(ngram_join, "PAIRS", 50)
+        assert ngram_join.overlaps(a, b).tolist() == want
+
+
 def test_near_duplicate_stage_equals_brute_force(spark):
     r = np.random.default_rng(4)
     texts = []

@@ -37,13 +37,26 @@ TEMPLATES = {
     "ISC": ["Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "Proprietary": ["Copyright. All rights reserved.", "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.", "No part of this publication may be reproduced without the prior written permission of the publisher."],
 }
+# Identifiers of SPDX tags, by family.
+SPDX = {"MIT": ["MIT"], "Apache-2.0": ["Apache-2.0"], "GPL": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"], "LGPL": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-or-later"],
+        "AGPL": ["AGPL-3.0-only", "AGPL-3.0-or-later"], "BSD": ["BSD-2-Clause", "BSD-3-Clause"], "MPL": ["MPL-2.0"], "CC-BY": ["CC-BY-4.0"], "CC-BY-SA": ["CC-BY-SA-4.0"], "CC-BY-NC": ["CC-BY-NC-4.0"], "CC0": ["CC0-1.0"], "ISC": ["ISC"]}
+for _name, _ids in SPDX.items():
+    TEMPLATES[_name] += [f"SPDX-License-Identifier: {x}" for x in _ids]
 OTHER = "other"
 # Sentences that use the same words and grant nothing.
 PROSE = ["He lost his driving license and had to apply for a new one.", "Permission to enter the building was granted by the guard.", "The general public was invited to the opening.",
          "Version 2.0 of the game was released in March.", "Copyright law is a matter of some dispute among scholars.", "The license fee was raised again this year.", "The patent was licensed to a rival firm.",
-         "They redistribute food to those who need it.", "The software crashed under heavy load.", "Conditions in the camp were poor and help was slow.", "A copy of the letter was found in the file.", "The foundation is free and open to the public."]
+         "They redistribute food to those who need it.", "The software crashed under heavy load.", "Conditions in the camp were poor and help was slow.", "A copy of the letter was found in the file.", "The foundation is free and open to the public.",
+         "SPDX-License-Identifier: Zlib", "SPDX-License-Identifier: Unlicense", "SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: NONE"]
 # A paragraph without one of these stems is other text; every template has one.
 ANCHORS = "licen[cs]|copyright|permission|redistribut|public domain|creative commons|free software|all rights|proprietary|general public|waived|\\bcc0\\b"
+WORDS = ANCHORS.replace(" ", "[^a-z0-9]+")      # an anchor of two words may be wrapped
+# A piece ends at a line without a letter or digit, or at one that ends a sentence.
+BLANK = r"(?dm)^[^\p{L}\p{N}\n]+$"
+PIECE_END = r"\n{2,}|(?<=[.!?][\"')\]*/ \t\r]{0,4})\n"
+SENTENCE_END = r"(?<=[.!?])\s+(?![a-z0-9])"
+WRAP = r"[^\p{L}\p{N}\n]*\n[^\p{L}\p{N}]*"
+WINDOW, STRIDE = 60, 30   # words of a longer piece's windows; a piece of STRIDE words is whole in one
 LONGEST = 3           # words of an n-gram
 MIN_PROBABILITY = 0.5
 MIN_SHARED = 0.6      # of the template's n-grams, or of the paragraph's, to confirm
@@ -99,13 +112,49 @@ def fit() -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
     return classes, vocab, w / heat, b / heat
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != "")
+
+
+def _windows(sentence: Column) -> Column:
+    """A long sentence as overlapping windows that cover it."""
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil((F.size(w) - WINDOW) / STRIDE), F.lit(0)).cast("int"))
+        return F.when(F.size(w) <= WINDOW, F.array(sentence)).otherwise(
+            F.transform(starts, lambda i: F.array_join(F.slice(w, i * STRIDE + 1, WINDOW), " ")))
+    return let(_words(sentence), cut)
+
+
+def units_of(text: Column) -> Column:
+    """array of struct(piece, part, text): what is classified.
+
+    A piece is a paragraph with its wrapped lines joined; one of more than
+    WINDOW words is taken sentence by sentence, and a longer sentence in
+    windows.  The lines of a piece of several are looked at too, as parts,
+    which only a template that is there nearly whole confirms.
+    """
+    def units(piece: Column, i: Column) -> Column:
+        def of(whole: Column) -> Column:
+            return F.when(F.size(_words(whole)) <= WINDOW, F.array(whole)).otherwise(
+                F.flatten(F.transform(F.split(whole, SENTENCE_END), _windows)))
+
+        def named(texts: Column, part: bool) -> Column:
+            return F.transform(F.filter(texts, lambda x: F.lower(x).rlike(WORDS)), lambda x: F.struct(i.alias("piece"), F.lit(part).alias("part"), x.alias("text")))
+
+        lines = F.when(piece.contains("\n"), F.split(piece, "\n")).otherwise(F.array().cast("array<string>"))
+        return F.concat(named(let(F.regexp_replace(piece, WRAP, " "), of), False), named(lines, True))
+
+    pieces = F.filter(F.split(F.regexp_replace(text, BLANK, ""), PIECE_END), lambda x: F.lower(x).rlike(WORDS))
+    return let(pieces, lambda p: F.flatten(F.transform(p, units)))
+
+
 def _grams(text: Column) -> Column:
     def of_words(w: Column) -> Column:
         def runs(k: int) -> Column:
             starts = F.slice(w, 1, F.greatest(F.size(w) - (k - 1), F.lit(0)))
             return F.transform(starts, lambda _x, i: F.array_join(F.slice(w, i + 1, k), " "))
         return F.array_distinct(F.concat(*map(runs, range(1, LONGEST + 1))))
-    return let(F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != ""), of_words)
+    return let(_words(text), of_words)
 
 
 def model_rows() -> list[tuple[str, list[float], list[int]]]:
@@ -115,13 +164,14 @@ def model_rows() -> list[tuple[str, list[float], list[int]]]:
     return [(g, [float(v) for v in w[i]], [int(g in s) for s in sets]) for i, g in enumerate(vocab)]
 
 
-def classify(lines: DataFrame, model: DataFrame) -> DataFrame:
-    """(uid, line, family, probability, confirmed) of rows (uid, line, text)."""
+def classify(units: DataFrame, model: DataFrame) -> DataFrame:
+    """(uid, piece, family, probability, confirmed) of rows (uid, unit, piece, part, text)."""
+    at = ["uid", "unit", "piece", "part"]
     classes, _vocab, _w, bias = fit()
     sizes = [(name, len(grams(t))) for name, texts in TEMPLATES.items() for t in texts]
-    own = lines.select("uid", "line", _grams(F.col("text")).alias("own")).select(
-        "uid", "line", F.size("own").alias("n"), F.explode_outer("own").alias("gram"))
-    sums = own.join(F.broadcast(model), "gram", "left").groupBy("uid", "line", "n").agg(
+    own = units.select(*at, _grams(F.col("text")).alias("own")).select(
+        *at, F.size("own").alias("n"), F.explode_outer("own").alias("gram"))
+    sums = own.join(F.broadcast(model), "gram", "left").groupBy(*at, "n").agg(
         *(F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"z{i}") for i in range(len(classes))),
         *(F.coalesce(F.sum(F.col("templates")[i]), F.lit(0)).alias(f"t{i}") for i in range(len(sizes))))
     root = F.sqrt(F.greatest(F.col("n"), F.lit(1)).cast("double"))
@@ -135,37 +185,38 @@ def classify(lines: DataFrame, model: DataFrame) -> DataFrame:
         family = F.element_at(F.array(*map(F.lit, classes)), F.array_position(x["z"], top).cast("int"))
         odds = F.aggregate(F.transform(x["z"], lambda v: F.exp(v - top)), F.lit(0.0), lambda a, v: a + v)
         mine = let(family, lambda f: F.struct(f.alias("family"), F.exists(
-            x["t"], lambda t: (t["f"] == f) & (t["s"] >= MIN_SHARED * F.least(t["n"], x["n"]))).alias("confirmed")))
+            x["t"], lambda t: (t["f"] == f) & (t["s"] >= MIN_SHARED * F.when(x["part"], t["n"]).otherwise(F.least(t["n"], x["n"])))).alias("confirmed")))
         return F.struct(mine.alias("m"), (1 / odds).alias("probability"))
 
-    picked = sums.select("uid", "line", let(F.struct(logits.alias("z"), shared.alias("t"), F.col("n").alias("n")), chosen).alias("c"))
-    return picked.select("uid", "line", "c.m.family", "c.probability", "c.m.confirmed")
+    picked = sums.select("uid", "piece", let(F.struct(logits.alias("z"), shared.alias("t"), F.col("n").alias("n"), F.col("part").alias("part")), chosen).alias("c"))
+    return picked.select("uid", "piece", "c.m.family", "c.probability", "c.m.confirmed")
 
 
 def scan_licences(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_notices, families, best, probability, confirmed.
 
-    A paragraph is a line.  A notice is a paragraph with an anchor whose class
-    is a family at MIN_PROBABILITY or more and which a template confirms;
+    A paragraph ends at a blank line or at a line that ends a sentence; its
+    wrapped lines are joined.  A notice is a paragraph, or a part of it as in
+    units_of, with an anchor, whose class is a family at MIN_PROBABILITY or
+    more and which a template confirms; a paragraph counts once a family.
     ``families`` are theirs, sorted and comma-joined.  ``best`` is the most
     probable notice's family (ties: the first by name), or ``unknown`` with
     the highest probability if paragraphs with an anchor are there but none is
     a notice; null without such a paragraph.  Null and empty texts have none;
     repeated rows are judged alike; an empty table gives no row.  Reads doc_id
-    and text.  The model is a table of fixed size; only the lines with an
+    and text.  The model is a table of fixed size; only the units with an
     anchor are taken apart, and only counts of documents are joined.
     """
-    lines = F.filter(F.split("text", "\n"), lambda x: F.lower(x).rlike(ANCHORS))
     marked = written(docs.select("doc_id", F.monotonically_increasing_id().alias("uid"),
-                                 F.when(F.lower("text").rlike(ANCHORS), lines).alias("lines")), "lines")
+                                 F.when(F.lower("text").rlike(WORDS), units_of(F.col("text"))).alias("units")), "units")
     model = written(docs.sparkSession.createDataFrame(model_rows(), "gram string, weights array<double>, templates array<int>").coalesce(1), "model")
-    judged = written(classify(marked.select("uid", F.posexplode("lines").alias("line", "text")), model), "judged")
+    judged = written(classify(marked.select("uid", F.posexplode("units").alias("unit", "u")).select("uid", "unit", "u.*"), model), "judged")
     notice = F.col("confirmed") & (F.col("probability") >= MIN_PROBABILITY)
     by_doc = judged.groupBy("uid").agg(
-        F.count_if(notice).alias("n"), F.array_join(F.array_sort(F.collect_set(F.when(notice, F.col("family")))), ",").alias("names"),
+        F.count_distinct(F.when(notice, F.struct("piece", "family"))).alias("n"), F.array_join(F.array_sort(F.collect_set(F.when(notice, F.col("family")))), ",").alias("names"),
         F.min(F.when(notice, F.struct((-F.col("probability")).alias("p"), F.col("family").alias("f")))).alias("first"),
         F.max("probability").alias("most"))
-    return marked.drop("lines").join(by_doc, "uid", "left").select(
+    return marked.drop("units").join(by_doc, "uid", "left").select(
         "doc_id", F.coalesce("n", F.lit(0)).alias("n_notices"), F.coalesce("names", F.lit("")).alias("families"),
         F.when(F.col("n").isNotNull(), F.coalesce("first.f", F.lit("unknown"))).alias("best"),
         F.coalesce(-F.col("first.p"), "most").alias("probability"), (F.col("n") > 0).alias("confirmed"))

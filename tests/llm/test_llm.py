@@ -333,6 +333,25 @@ def test_licences(spark):
     assert {g for g in got if g[0] >= 100} == {(100, "unknown", ""), (101, None, ""), (102, None, ""), (103, None, "")}
 
 
+def test_licences_in_wrapped_paragraphs_and_tags(spark):
+    lgpl = ["This library is free software; you can redistribute it and/or", "modify it under the terms of the GNU Lesser General Public",
+            "License as published by the Free Software Foundation; either", "version 2.1 of the License, or (at your option) any later version."]
+    prose = "The river rose in the night and the people of the town went up the hill with what they could carry. " * 30
+    cases = [("\n".join(lgpl), "LGPL"), ("/*\n * " + "\n * ".join(lgpl) + "\n *\n * More about it.\n */", "LGPL"), ("\r\n".join(lgpl), "LGPL"),
+             ("This work is licensed under a Creative\nCommons Attribution-ShareAlike 4.0\nInternational License.", "CC-BY-SA"),
+             ("This work is licensed under the GNU\nGeneral Public License, version 3.", "GPL"),
+             (prose + "Licensed under the Apache License, Version 2.0. " + prose, "Apache-2.0"),
+             ("code by us\nSPDX-License-Identifier: MIT\nname of the file", "MIT"),
+             ("Licensed under CC BY 4.0\nLicensed under the ISC License\n", "CC-BY,ISC"),
+             ("SPDX-License-Identifier: Zlib", "")]
+    from tabulae.llm.licences import SPDX
+
+    cases += [(f"// SPDX-License-Identifier: {x}", name) for name, ids in SPDX.items() for x in ids]
+    rows = [(i, t) for i, (t, _) in enumerate(cases)]
+    got = {r["doc_id"]: r["families"] for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: f for i, (_, f) in enumerate(cases)}
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = QUERIES["op4_language"](spark, "/root/testdata/sf0.01").where("held_out").join(docs, "doc_id").select("lang_pred", "lang").collect()

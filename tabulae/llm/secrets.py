@@ -21,13 +21,14 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
-# Known harmless forms: digests (MD5, SHA-1, SHA-2), UUIDs, numbers, dates, names joined by one sign.
+# Known harmless forms: digests (MD5, SHA-1, SHA-2), UUIDs, numbers, dates,
+# and one word with a capital, which is no more mixed than in lower case.  Names of several words have many characters a token.
 _HARMLESS = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|(?:sha(?:1|256|384|512)|md5)-\S+"
     r"|[0-9+/_=-]+"
-    r"|(?:[A-Za-z]+[-_/+=]+)*[A-Za-z]+[0-9]{0,4}")
+    r"|[A-Z][a-z]+")
 MIN_MIXED = 2            # of: lower case, upper case, digits
 MAX_CHARS_PER_TOKEN = 2.2  # of random base-62 text it is about 1.6, of words 3 or more
 RESULT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_token long"

@@ -181,6 +181,13 @@ def test_secrets_by_token_efficiency(spark):
     assert got[4]["n_assign"] == 1
 
 
+def test_secrets_of_letters_are_tested(spark):
+    rows = [(1, "xKvQbTzWmRpLsYdNcHgF"), (2, "see xKvQbTzWmRpLsYdNcH71 there"), (3, "qWzXvKjPbTnM_hGfRdLcYsV"),
+            (4, "getUserAccountDetailsFromSession Internationalization_of_Names src/main/java/NetworkConnectionManager readTheDocumentation2024 Enkeitieentechein")]
+    got = {r["doc_id"]: r["spans"] for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "token:0:20", 2: "token:4:24", 3: "token:0:23", 4: ""}
+
+
 def test_join_equals_brute_force(docs, texts, monkeypatch):
     monkeypatch.setattr(ngram_join, "CELL", 4)      # so that cells are cut into chunks
     sets = defaultdict(list)

@@ -39,18 +39,15 @@ def fold(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % parts
 
 
-def sample_by_label(rows: DataFrame, label: str, each: int, labels: int = 64) -> DataFrame:
+def sample_by_label(rows: DataFrame, label: str, each: int) -> DataFrame:
     """About ``each`` rows of every label value, at random by row content.
 
     Values are counted first (one row a value); a value's rows are kept with
-    the probability that leaves ``each`` of them.  For fitting models only:
-    at most the ``labels`` commonest values, and 2 * each * labels rows.
+    the probability that leaves ``each`` of them, and the first drawn always,
+    so that no value is left out.  For fitting models only.
     """
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()
-    if not counts:
-        return rows.limit(0)
-    share = F.lit(None)
-    for value, n in counts:
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, each / n))).otherwise(share)
     draw = F.pmod(F.xxhash64(*rows.columns), F.lit(1_000_003)) / 1_000_003.0
-    return rows.where(draw < share).limit(2 * each * len(counts))
+    drawn = rows.withColumn("__draw", draw)
+    counts = drawn.groupBy(label).agg(F.count("*").alias("__n"), F.min("__draw").alias("__least"))
+    return drawn.join(F.broadcast(counts), label).where(
+        (F.col("__draw") * F.col("__n") < each) | (F.col("__draw") == F.col("__least"))).select(*rows.columns)

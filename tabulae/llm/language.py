@@ -19,7 +19,8 @@ from tabulae.llm.common import fold, sample_by_label
 
 BITS = 15
 FIT_ROWS = 600          # sampled labelled rows per language, about
-FIT_CHARS = 20_000      # a longer text is not used for fitting
+FIT_CHARS = 20_000      # a longer text is counted in pieces of so many
+FIT_LABELS = 200        # counted at a time by a worker
 SMOOTHING = 0.5
 STEPS = 12              # of expectation-maximisation
 PENALTY = 6.0           # times log(trigrams), for each further language
@@ -43,11 +44,23 @@ def trigrams(text: str) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]]) -> tuple[list[str], np.ndarray]:
     """(languages, probabilities per language and trigram)."""
-    langs = sorted({lang for lang, _ in rows})
-    counts = np.full((len(langs), 1 << BITS), SMOOTHING)
+    counts: dict[str, np.ndarray] = {}
     for lang, text in rows:
-        counts[langs.index(lang)] += np.bincount(trigrams(text), minlength=1 << BITS)
-    return langs, counts / counts.sum(1, keepdims=True)
+        count(counts, lang, text)
+    return smoothed(counts)
+
+
+def count(counts: dict[str, np.ndarray], lang: str, text: str) -> None:
+    """Adds the trigrams of the whole text; its pieces overlap by two characters."""
+    own = counts.setdefault(lang, np.zeros(1 << BITS, np.int64))
+    for lo in range(0, len(text), FIT_CHARS):
+        own += np.bincount(trigrams(text[max(0, lo - 2):lo + FIT_CHARS]), minlength=1 << BITS)
+
+
+def smoothed(counts: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
+    langs = sorted(counts)
+    p = np.array([counts[x] for x in langs], float).reshape(-1, 1 << BITS) + SMOOTHING
+    return langs, p / p.sum(1, keepdims=True)
 
 
 def mix(p: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, float]:
@@ -87,10 +100,37 @@ def infer(text: str, probs: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, f
 
 
 def fit_languages(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The model of a bounded sample of the labelled rows outside the held-out fold."""
-    known = docs.where(F.col("lang").isNotNull() & (F.length("text") <= FIT_CHARS) & (fold("doc_id", FOLDS) != HELD_OUT))
-    rows = sample_by_label(known.select("lang", "text"), "lang", FIT_ROWS)
-    return fit([(r[0], r[1]) for r in rows.collect() if has_letter(r[1])])
+    """The model of a bounded sample of the labelled rows outside the held-out fold.
+
+    Every value of lang that has a text with a letter there is learnt.
+    """
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold("doc_id", FOLDS) != HELD_OUT))
+    rows = sample_by_label(known.select("doc_id", "lang", "text"), "lang", FIT_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                count(counts, lang, text)
+                if len(counts) > FIT_LABELS:
+                    yield from _counted(counts)
+                    counts.clear()
+        yield from _counted(counts)
+
+    sums = rows.select("lang", "text").mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    whole: dict[str, np.ndarray] = {}
+    for batch in sums.to_batches():
+        lang, gram, n = batch.column("lang").dictionary_encode(), batch.column("gram").to_numpy(), batch.column("n").to_numpy()
+        at = lang.indices.to_numpy()
+        for i, name in enumerate(lang.dictionary.to_pylist()):
+            whole.setdefault(name, np.zeros(1 << BITS, np.int64))[gram[at == i]] = n[at == i]
+    return smoothed(whole)
+
+
+def _counted(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for lang, c in counts.items():
+        used = np.flatnonzero(c)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(c[used], pa.int64())], names=["lang", "gram", "n"])
 
 
 def identify_languages(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:

@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulae.llm.common import fold, sample_by_label
+from tabulae.llm.common import fold, sample_by_label, written
 
 WIDTH, STRIDE = 8, 2       # of a filter, in bytes
 HALF = 128                 # a chunk is two halves; chunks overlap by one
 EMBED, FILTERS, HIDDEN = 4, 32, 16
 BLOCK = 1 << 19            # bytes convolved at a time
 FIT_ROWS = 2000            # sampled labelled rows per class, about
-FIT_CHARS = 8_000          # a longer text is not used for fitting
+FIT_CHARS = 8_000          # a longer text is fitted in pieces of so many, which overlap by half
 STEPS, BATCH, RATE = 1000, 32, 4e-3
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -153,8 +153,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray] | N
     """The network fitted on a bounded sample of the labelled rows, None without labels of both classes."""
     known = labels.where(F.col("quality").isin(0, 1) & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "quality")
     some = sample_by_label(known, "quality", FIT_ROWS)
-    rows = docs.select("doc_id", "text").join(some, "doc_id").where(F.length("text") <= FIT_CHARS).select("text", "quality")
-    got = sorted((r[0].encode("utf-8"), r[1]) for r in rows.limit(8 * FIT_ROWS).collect())
+    last = F.greatest(F.ceil(F.length("text") / (FIT_CHARS // 2)) - 2, F.lit(0)).cast("int")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some.distinct()), "doc_id").where(F.col("text").isNotNull()).select(
+        "doc_id", "quality", "text", F.explode(F.sequence(F.lit(0), last)).alias("piece")).select(
+        "doc_id", "quality", "piece", F.expr(f"substring(text, piece * {FIT_CHARS // 2} + 1, {FIT_CHARS})").alias("text"))
+    # Pieces of long texts may be many: sampled again, so that a class stays bounded.
+    pieces = sample_by_label(written(rows, "pieces"), "quality", 2 * FIT_ROWS).select("text", "quality")
+    got = sorted((r[0].encode("utf-8"), r[1]) for r in pieces.collect())
     bad = np.array([1 - q for _, q in got], np.float32)
     return fit([t for t, _ in got], bad) if got and 0 < bad.sum() < len(bad) else None
 

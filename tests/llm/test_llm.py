@@ -367,6 +367,45 @@ def test_language_held_out(spark):
     assert some == {1: "und", 2: "und"}
 
 
+def test_every_label_is_learnt(spark):
+    r = np.random.default_rng(3)
+    letters = [chr(0x4e00 + 3 * i) for i in range(210)]
+    rows = []
+    for k in range(70):
+        own = letters[3 * k:3 * k + 3]
+        for j in range(6 if k < 69 else 3):     # the last one is rarest and has only long texts
+            rows.append((1000 * k + j, "".join(r.choice(own, 60 if k < 69 else 25_000)), f"l{k:02}"))
+        rows += [(1000 * k + 500 + i, "12 !", f"l{k:02}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, _p = language.fit_languages(df)
+    here = {lang for d, t, lang in rows if len(t) > 4 and zlib.crc32(str(d).encode()) % language.FOLDS != language.HELD_OUT}
+    assert set(langs) == here and len(langs) > 64 and "l69" in here
+    got = language.identify_languages(df.where("length(text) < 100 and length(text) > 4")).join(df.select("doc_id", "lang"), "doc_id")
+    assert got.where(F.col("lang").isin(langs) & (F.col("lang") != F.col("lang_pred"))).isEmpty()
+
+
+def test_language_counts_are_those_of_one_fit(spark, monkeypatch):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the river", "en"), ("das Haus und der Fluss", "de"), ("ab cd " * 9, "xx")] * 8)]
+    monkeypatch.setattr(language, "FIT_LABELS", 1)
+    langs, p = language.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    want = language.fit([(lang, t) for d, t, lang in rows if zlib.crc32(str(d).encode()) % language.FOLDS != language.HELD_OUT])
+    assert langs == want[0] and np.allclose(p, want[1])
+
+
+def test_quality_of_a_class_of_long_texts(spark):
+    rows = [(i, "a good line of words about the town " * (300 if i % 2 else 3), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert min(len(t) for _, t, q in rows if q) > quality_model.FIT_CHARS
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality_model, "fit", lambda texts, bad: seen.append((texts, bad)) or {"fitted": 1})
+        assert quality_model.fit_quality(df.drop("quality"), df.drop("text")) == {"fitted": 1}
+    texts, bad = seen[0]
+    assert set(bad) == {0.0, 1.0} and max(map(len, texts)) <= quality_model.FIT_CHARS
+    kept = [t for _, t, q in rows if q][0]
+    assert {kept[s:s + 8000].encode() for s in range(0, len(kept) - 4000, 4000)} <= set(texts)      # all of a long text
+
+
 def test_language_mixture():
     a, b = "the house and the river that was " * 30, "der Fluss und das Haus nicht sch ein " * 30
     names, p = language.fit([("en", a), ("de", b), ("xx", "qzqz wxwx " * 50)])

@@ -119,7 +119,7 @@ def entity(piece: Column, names: Column) -> Column:
     """struct(kind, canon) of an entity as written."""
     digits = F.regexp_replace(piece, "[^0-9]", "")
     named = F.get(F.filter(names, lambda n: (n["word"] == piece) | (F.upper(n["word"]) == piece)), F.lit(0))["kind"]
-    kind = (F.when(piece.contains("@"), F.lit("email")).when(piece.rlike("^[0-9.]+$") & piece.contains("."), F.lit("ip"))
+    kind = (F.when(piece.contains("@"), F.lit("email")).when(piece.rlike(f"^(?:{IP})$"), F.lit("ip"))
             .when(piece.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.lit("ssn")).when(piece.rlike("^[0-9][0-9 -]+$") & (F.length(digits) >= 13), F.lit("card"))
             .when(piece.rlike("[0-9]"), F.lit("phone")).otherwise(named))
     # A telephone number is its last ten digits, with or without the country in front.

@@ -323,6 +323,14 @@ def test_personal_data(spark):
     assert re.search("[А-Я]", got[6]["text"]) and "Иванова" not in got[6]["text"]
 
 
+def test_one_number_in_every_form(spark):
+    text = "Call 749.555.7057 or 749-555-7057 or +1 749.555.7057 or +1 (749) 555-7057; the host is 10.20.30.40 and 192.168.1.254."
+    new = replace_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["text"]
+    numbers = re.fullmatch(r"Call (\d{3}\.\d{3}\.\d{4}) or (\d{3}-\d{3}-\d{4}) or \+\d (\d{3}\.\d{3}\.\d{4}) or \+\d (\(\d{3}\) \d{3}-\d{4}); the host is (\S+) and (\S+)\.", new).groups()
+    assert len({re.sub(r"\D", "", x) for x in numbers[:4]}) == 1 and numbers[0] != "749.555.7057"
+    assert all(re.fullmatch(r"(\d{1,3}\.){3}\d{1,3}", x) for x in numbers[4:]) and "10.20.30.40" not in new
+
+
 def test_surrogates_stay_distinct(spark):
     many = spark.range(3000).selectExpr("id AS doc_id", "concat('Mr. N', translate(id, '0123456789', 'abcdefghij'), ' rest') AS text")
     known = many.selectExpr("'surname' AS kind", "lower(substring_index(substring(text, 5), ' ', 1)) AS canon")

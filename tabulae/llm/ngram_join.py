@@ -122,14 +122,22 @@ def hashes(text: str | None, known: Hashed, n: int = N) -> np.ndarray:
 
 
 def point(h: np.ndarray) -> bytes:
-    """Group counts, all low bytes before all high bytes (these pack well, being mostly zero)."""
-    c = np.minimum(np.bincount((h >> _U64(20)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535)
-    return (c & 255).astype(np.uint8).tobytes() + (c >> 8).astype(np.uint8).tobytes()
+    """Group counts: all lowest bytes, then all next ones, as many planes of up to four as the largest count has."""
+    return packed(np.bincount((h >> _U64(20)).astype(np.int64) % GROUPS, minlength=GROUPS))
+
+
+def packed(c: np.ndarray) -> bytes:
+    planes = max(1, -(-int(c.max()).bit_length() // 8))
+    return b"".join((c >> (8 * k) & 255).astype(np.uint8).tobytes() for k in range(planes))
 
 
 def points_of(raw: list[bytes]) -> np.ndarray:
-    planes = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), 2, GROUPS).astype(np.int32)
-    return planes[:, 0] + (planes[:, 1] << 8)
+    n = max(map(len, raw), default=GROUPS) // GROUPS
+    planes = np.frombuffer(b"".join(x.ljust(n * GROUPS, b"\0") for x in raw), np.uint8).reshape(len(raw), n, GROUPS)
+    out = planes[:, 0].astype(np.int32)
+    for k in range(1, n):
+        out += planes[:, k].astype(np.int32) << (8 * k)
+    return out
 
 
 def _features(common, rule: Rule):
@@ -305,7 +313,7 @@ def _ends(table: pa.Table) -> np.ndarray:
 def _of_cells(table: pa.Table, rule: Rule) -> list[tuple[int, int]]:
     ends = _ends(table)
     starts = np.append(0, ends[:-1])
-    rep, n, chunk = (table.column(c).to_numpy() for c in ("rep", "n", "chunk"))
+    rep, n, chunk = (table.column(c).to_numpy().astype(np.int64) for c in ("rep", "n", "chunk"))
     a, b = (table.column(c).to_numpy() for c in ("cell_a", "cell_b"))
     comp = table.column("comp").to_numpy() if "comp" in table.column_names else None
     raw = table.column("point").to_pylist()

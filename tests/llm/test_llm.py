@@ -280,6 +280,22 @@ def test_near_duplicate_stage_equals_brute_force(spark):
     assert 2 in three      # the query's own rule does not link it
 
 
+def test_points_hold_large_counts():
+    r = np.random.default_rng(9)
+    counts = [r.integers(0, top, ngram_join.GROUPS) for top in (2, 256, 257, 65_537, 1 << 17, 1 << 24, 1 << 30)]
+    raw = [ngram_join.packed(c) for c in counts]
+    assert np.array_equal(ngram_join.points_of(raw), np.array(counts)) and len(raw[0]) == ngram_join.GROUPS
+    h = np.full(70_000, 5 << 20, np.uint64)      # all of one group
+    assert ngram_join.points_of([ngram_join.point(h)])[0].tolist() == [0] * 5 + [70_000] + [0] * (ngram_join.GROUPS - 6)
+    assert np.array_equal(ngram_join.points_of([ngram_join.point(np.zeros(0, np.uint64))])[0], np.zeros(ngram_join.GROUPS))
+    # Two linked sets of 20 million: their sizes times 90 go beyond 31 bits.
+    import pyarrow as pa
+    c = np.full(ngram_join.GROUPS, 20_000_000 // ngram_join.GROUPS)
+    cell = {"key": [1] * 3, "band": [1] * 3, "cell_a": [0] * 3, "cell_b": [0] * 3, "chunk": [0] * 3, "rep": [1, 2, 3],
+            "n": pa.array([20_000_000] * 2 + [15_000_000], pa.int32()), "point": [ngram_join.packed(x) for x in (c, c, c * 3 // 4)]}
+    assert ngram_join._of_cells(pa.table(cell), ngram_join.RULE) == [(1, 2)]
+
+
 def test_rtree_finds_every_pair_within_the_bound():
     r = np.random.default_rng(2)
     base = r.poisson(3, (6, ngram_join.GROUPS))

@@ -41,14 +41,19 @@ def _digests(spark, paths: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [digest(name, spark.read.parquet(path)) for name, path in paths.items()])
 
 
-def q_registry_job(spark, sf):
-    raw, out = scratch_path(spark, "registry-raw"), scratch_path(spark, "registry-trusted")
+def stage_register(spark, sf, raw: str) -> None:
+    """Stand-ins of all raw register files under ``raw``."""
     for marker, tbl in RQ.CODE_SOURCES.items():
         name = RQ.S.CODE_TABLES[marker]
         _stage(RQ._code_standin(tbl, name).df(spark, sf), f"{raw}/codes-{marker}", "F.K03200$Z.D10710.{:03d}." + marker + "CSV")
     _stage(RQ.SIMPLES.df(spark, sf), f"{raw}/simples", "F.K03200$W.SIMPLES.CSV.D10911.{:03d}")
     for st, marker in ((RQ.COMPANIES, "EMPRECSV"), (RQ.PARTNERS, "SOCIOCSV"), (RQ.ESTAB, "ESTABELECSV")):
         _stage(st.df(spark, sf), f"{raw}/K3241.K03200Y0.D10710.{marker}", "K3241.K03200Y{:03d}.D10710." + marker)
+
+
+def q_registry_job(spark, sf):
+    raw, out = scratch_path(spark, "registry-raw"), scratch_path(spark, "registry-trusted")
+    stage_register(spark, sf, raw)
     paths = R.run(spark, raw, out)
     return _digests(spark, paths)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tabulae.functions.address import ABBREVIATIONS, SOUNDS, STOP_WORDS
 from tabulae.functions.transliteration import translit_sql
 
 
@@ -68,3 +69,15 @@ def s_digest(name: str, sql: str, cols: list[str]) -> str:
     return (f"SELECT {q(name)} AS published, count(*) AS n_rows, "
             f"CAST(coalesce(sum(CAST(concat('0x', substr(md5(concat_ws('|', {text})), 1, 8)) AS BIGINT)), 0) AS BIGINT) AS checksum "
             f"FROM ({sql}) t")
+
+
+def s_address_words(e: str) -> str:
+    """Sorted distinct comparable words of an address part (accents by DuckDB's own rule)."""
+    plain = f"regexp_replace(upper(strip_accents(coalesce({e}, ''))), '[^0-9A-Z]+', ' ', 'g')"
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in ABBREVIATIONS.items())
+    words = f"flatten(list_transform(string_split({plain}, ' '), lambda w: string_split(CASE w {whens} ELSE w END, ' ')))"
+    sounded = "w"
+    for old, new in SOUNDS:
+        sounded = f"replace({sounded}, {q(old)}, {q(new)})"
+    kept = f"list_filter({words}, lambda w: w <> '' AND w NOT IN {STOP_WORDS})"
+    return f"list_sort(list_distinct(list_transform({kept}, lambda w: {sounded})))"

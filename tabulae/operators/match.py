@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulae.operators.heavy import split_join
 from tabulae.operators.lookups import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast, lookup
 
 
@@ -91,8 +92,8 @@ def tiered_match(
     (no shuffle).  Otherwise the tiers are matched on the *distinct key
     combinations* of the records — one narrow shuffle, combined map-side, so
     a hot address costs one row — and the result is attached to the records
-    by a single null-safe join, instead of shuffling the records once per
-    tier.
+    by a single null-safe join that splits heavy keys, instead of shuffling
+    the records once per tier.
     """
     bests = []
     for i, tier in enumerate(tiers, start=1):
@@ -109,13 +110,13 @@ def tiered_match(
 
     key_cols = list(dict.fromkeys(k for tier in tiers for k in tier.keys))
     matched, picked = _attach_tiers(records.select(*key_cols).distinct(), bests, values, tier_col)
-    renamed = {k: f"__key_{n}" for n, k in enumerate(key_cols)}
-    matched = matched.select(*[F.col(k).alias(renamed[k]) for k in key_cols],
-                             *[F.col(p).alias(v) for p, v in zip(picked, values)], tier_col)
+    matched = matched.select(*key_cols, *[F.col(p).alias(v) for p, v in zip(picked, values)], tier_col)
     matched = matched.checkpoint(eager=True)  # joined once below; cut the lineage
-    side = F.broadcast(matched) if fits_broadcast(matched, max_broadcast_rows) else matched
     # null-safe: a record with a missing key part still finds its combination
-    cond = reduce(lambda a, b: a & b, [records[k].eqNullSafe(side[renamed[k]]) for k in key_cols])
+    if not fits_broadcast(matched, max_broadcast_rows):
+        return split_join(records, matched, key_cols, null_safe=True)  # an address with a third of the records is split
+    side = F.broadcast(matched.withColumnsRenamed({k: f"__key_{n}" for n, k in enumerate(key_cols)}))
+    cond = reduce(lambda a, b: a & b, [records[k].eqNullSafe(side[f"__key_{n}"]) for n, k in enumerate(key_cols)])
     out = records.join(side, cond, "left")
     return out.select(*[records[c] for c in records.columns], *[side[v] for v in values], side[tier_col])
 

@@ -8,7 +8,12 @@ broadcast joins.  ``run`` wires them to the raw files and parquet sinks.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabulae import schemas as S
 from tabulae.functions.clean import (
@@ -18,10 +23,16 @@ from tabulae.functions.clean import (
 from tabulae.operators.columns import columns_by_rule, project
 from tabulae.operators.lookups import fits_broadcast, fits_broadcast_all, lookup, lookup_role, require_unique
 from tabulae.sinks import write_table
-from tabulae.sources.delimited import scan_delimited
+from tabulae.sinks.publish import Release
+from tabulae.sources.delimited import malformed_records, scan_delimited
 from tabulae.sources.files import list_files
 
 
+def _carried(df: DataFrame) -> list[str]:
+    """The column of source files, where a raw table has one (``streaming.ledger``)."""
+    return [c for c in df.columns if c == "_file"]
+
+
 def code_table(raw: DataFrame, name: str) -> DataFrame:
     """``cod_<name>`` int, ``nome_<name>`` cleaned text."""
     cod, nome = f"cod_{name}", f"nome_{name}"
@@ -38,7 +49,7 @@ def simples_table(raw: DataFrame, pad: bool = True) -> DataFrame:
     fixes = {c: to_date8(c) for c in dates}
     if pad:
         fixes["cnpj"] = pad_key("cnpj", S.CNPJ_ROOT_WIDTH)
-    return raw.withColumns(fixes).select(*S.SIMPLES_COLS)
+    return raw.withColumns(fixes).select(*S.SIMPLES_COLS, *_carried(raw))
 
 
 def companies_table(raw: DataFrame, natju: DataFrame, quals: DataFrame, capital_type: str = "decimal(18,2)",
@@ -56,7 +67,7 @@ def companies_table(raw: DataFrame, natju: DataFrame, quals: DataFrame, capital_
     })
     df = lookup(df, natju.select("cod_natju", "nome_natju"), "cod_natju", "left", small=small.get("natju"))
     df = lookup(df, quals.select("cod_quals", "nome_quals"), "cod_quals", "left", small=small.get("quals"))
-    return df.select(*S.COMPANY_OUT)
+    return df.select(*S.COMPANY_OUT, *_carried(raw))
 
 
 def partners_table(raw: DataFrame, quals: DataFrame, pais: DataFrame, small: dict[str, bool] | None = None) -> DataFrame:
@@ -80,7 +91,7 @@ def partners_table(raw: DataFrame, quals: DataFrame, pais: DataFrame, small: dic
     df = lookup_role(df, quals, "cod_quals", "cod_quals_rep_legal", {"nome_quals": "nome_quals_rep_legal"}, small=q_small)
     df = lookup(df, quals, "cod_quals", "left", small=q_small)
     df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left", small=small.get("pais"))
-    return df.select(*S.PARTNER_OUT)
+    return df.select(*S.PARTNER_OUT, *_carried(raw))
 
 
 ESTAB_INT = ["cod_pais", "cod_mun", "situacao_cadastral", "motivo_situacao_cadastral"]
@@ -105,48 +116,70 @@ def establishments_table(raw: DataFrame, mun: DataFrame, pais: DataFrame, small:
     # establishments without a known municipality are not published
     df = lookup(df, mun.select("cod_mun", "nome_mun"), "cod_mun", "inner", small=small.get("mun"))
     df = lookup(df, pais.select("cod_pais", "nome_pais"), "cod_pais", "left", small=small.get("pais"))
-    return project(df, S.ESTAB_OUT)
+    return project(df, [*S.ESTAB_OUT, *_carried(raw)])
 
 
 # --- file-level job ---------------------------------------------------------
 
-def discover(spark: SparkSession, raw_root: str, required: list[str] | None = None) -> dict[str, list[str]]:
-    """Every raw file of the register, grouped by the table it belongs to.
+def _not_archives(marker: str) -> str:
+    """Name glob: holds ``marker`` and does not end in ``.zip`` (downloads lie beside the files)."""
+    tails = ("", "*[^pP]", "*[^iI][pP]", "*[^zZ][iI][pP]", "*[^.][zZ][iI][pP]")
+    return "{" + ",".join(f"*{marker}{t}" for t in tails) + "}"
+
+
+GLOBS = {name: f"*{marker}CSV" for marker, name in S.CODE_TABLES.items()} | {
+    "simples": _not_archives(S.SIMPLES_MARKER)} | {kind: f"*{marker}" for kind, marker in S.BIG_TABLE_MARKERS.items()}
+
+
+def raw_files(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Every raw file of the register with the table it belongs to: kind, path, name, length, modificationTime."""
+    name = F.col("name")
+    kinds = [F.when(name.endswith(marker + "CSV"), F.lit(kind)) for marker, kind in S.CODE_TABLES.items()]
+    kinds += [F.when(name.endswith(marker), F.lit(kind)) for kind, marker in S.BIG_TABLE_MARKERS.items()]
+    kinds.append(F.when(name.contains(S.SIMPLES_MARKER) & ~F.lower(name).endswith(".zip"), F.lit("simples")))
+    return list_files(spark, raw_root).withColumn("kind", F.explode(F.array_compact(F.array(*kinds)))).select(
+        "kind", "path", "name", "length", "modificationTime")
+
+
+def inventory(spark: SparkSession, raw_root: str, required: list[str] | None = None) -> dict[str, str]:
+    """A fingerprint of each table's raw files (names, sizes and time stamps).
 
-    One distributed listing of the whole tree (the file names are metadata,
-    one row per file); each table's scan then gets an explicit file list
-    instead of walking the tree again.  A table with no file is an error:
-    an empty code table would silently null every label.
+    One aggregate of the listing: one row for all tables comes back, however
+    many files there are.  A table with no file is an error: an empty code
+    table would silently null every label.
     """
-    rules = {name: lambda n, m=marker: n.endswith(m + "CSV") for marker, name in S.CODE_TABLES.items()}
-    rules["simples"] = lambda n: S.SIMPLES_MARKER in n
-    for kind, marker in S.BIG_TABLE_MARKERS.items():
-        rules[kind] = lambda n, m=marker: n.endswith(m)
-    found: dict[str, list[str]] = {k: [] for k in rules}
-    for row in list_files(spark, raw_root).select("path", "name").collect():
-        if row["name"].lower().endswith(".zip"):  # downloaded archives are not raw tables
-            continue
-        for key, rule in rules.items():
-            if rule(row["name"]):
-                found[key].append(row["path"])
+    mark = F.xxhash64("path", "length", "modificationTime")
+    each = raw_files(spark, raw_root).groupBy("kind").agg(
+        F.concat_ws("-", F.count(F.lit(1)), F.sum("length"), F.hex(F.bit_xor(mark))).alias("fingerprint"))
+    found = each.agg(F.map_from_entries(F.collect_list(F.struct("kind", "fingerprint")))).first()[0]     # a row for each table
     must = set(S.CODE_TABLES.values()) | set(required if required is not None else
                                               ["simples", *S.BIG_TABLE_MARKERS])
-    missing = sorted(k for k, v in found.items() if not v and k in must)
+    missing = sorted(must - set(found))
     if missing:
         raise FileNotFoundError(f"no raw files under {raw_root} for: {', '.join(missing)}")
-    return {k: sorted(v) for k, v in found.items()}
+    return found
 
 
-def scan_table(spark: SparkSession, paths: list[str], cols: list[str], options: dict[str, str] | None = None) -> DataFrame:
-    """Registry raw files with the standard options, overridden by ``options``."""
+def scan_table(spark: SparkSession, raw_root: str, kind: str, cols: list[str], options: dict[str, str] | None = None,
+               checked: bool = False) -> DataFrame:
+    """The raw files of a table by one glob scan, with the standard options, overridden by ``options``.
+
+    ``checked`` adds the column of malformed records (``sources.delimited``).
+    """
     opts = dict(S.REGISTRY_READ_OPTIONS)
     opts.update(options or {})
-    return scan_delimited(spark, paths, cols, options=opts)
+    return scan_delimited(spark, raw_root, cols, options=opts, file_glob=GLOBS[kind], recursive=True, checked=checked)
+
+
+NEEDED = {"simples": "simples", "empresas": "companies", "socios": "partners", "estab": "establishments"}
+_COLS = {"simples": S.SIMPLES_COLS, "companies": S.COMPANY_COLS, "partners": S.PARTNER_COLS, "establishments": S.ESTAB_COLS} | {
+    name: [f"cod_{name}", f"nome_{name}"] for name in S.CODE_TABLES.values()}
 
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
         partition_by: dict[str, list[str]] | None = None, compat: bool = False,
-        read_options: dict[str, str] | None = None, tables: list[str] | None = None) -> dict[str, str]:
+        read_options: dict[str, str] | None = None, tables: list[str] | None = None,
+        release: bool = False, mode: str = "overwrite", quarantine: bool = False) -> dict[str, str]:
     """Whole register: code tables first (the others decode against them).
 
     ``partition_by`` optionally lays a published table out by columns, e.g.
@@ -157,39 +190,69 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     ``tables`` rebuilds only some of ``simples``, ``empresas``, ``socios``,
     ``estab`` (the code tables are always rebuilt: they are tiny and the
     others decode against them).
+
+    ``release=True`` publishes all tables together (``sinks.publish``): they
+    are written beside the published ones, a pointer is swapped last, a
+    stopped run is gone on with, and tables whose inputs did not change are
+    not written again.  ``mode`` is the write mode of the tables or of the
+    release.  ``quarantine=True`` also writes the malformed raw records of all
+    tables to ``df_malformed`` (table, file, record, problem); they stay in
+    their tables too, as far as they could be read.
     """
-    wanted = set(tables or ("simples", "empresas", "socios", "estab"))
-    unknown = wanted - {"simples", "empresas", "socios", "estab"}
+    wanted = set(tables or NEEDED)
+    unknown = wanted - set(NEEDED)
     if unknown:
         raise ValueError(f"unknown register tables: {sorted(unknown)}")
     if fmt != "parquet":
         raise ValueError("the register job decodes against parquet code tables; use fmt='parquet'")
     layout = partition_by or {}
-    needed = {"simples": "simples", "empresas": "companies", "socios": "partners", "estab": "establishments"}
-    files = discover(spark, raw_root, [needed[t] for t in wanted])
-    out = {}
+    marks = inventory(spark, raw_root, [NEEDED[t] for t in wanted])
+    # what a table is made from: its raw files, how they are read, and the code tables
+    settings = json.dumps([read_options, compat, layout, quarantine], sort_keys=True)
+    codes_mark = "|".join(marks[name] for name in sorted(S.CODE_TABLES.values()))
+    prints = {name: f"{marks[name]}|{settings}" for name in S.CODE_TABLES.values()} | {
+        name: f"{marks[kind]}|{codes_mark}|{settings}" for name, kind in NEEDED.items() if kind in marks}
+    target = Release(spark, out_root, json.dumps([sorted(wanted), prints], sort_keys=True), mode) if release else None
+    if target is not None and target.skip:
+        return {name.removeprefix("df_"): path for name, path in target.commit().items()}
+    out: dict[str, str] = {}
+
+    def put(name: str, build: Callable[[], DataFrame], **options) -> None:
+        if target is not None:
+            out[name] = target.write(f"df_{name}", prints[name], build, **options)
+        else:
+            out[name] = f"{out_root}/df_{name}"
+            write_table(build(), out[name], fmt, mode=mode, **options)
+
+    def raw(kind: str) -> DataFrame:
+        return scan_table(spark, raw_root, kind, _COLS[kind], read_options)
+
     for name in S.CODE_TABLES.values():
-        path = f"{out_root}/df_{name}"
-        write_table(code_table(scan_table(spark, files[name], [f"cod_{name}", f"nome_{name}"], read_options), name), path, fmt)
-        out[name] = path
+        put(name, lambda n=name: code_table(raw(n), n))
     # the written code tables cut the lineage
     codes = {name: spark.read.parquet(out[name]) for name in ("natju", "quals", "pais", "mun")}
     small = fits_broadcast_all(codes)  # each checked once, all in one job
     require_unique({f"cod_{name}": df for name, df in codes.items()})
 
     builders = {
-        "simples": ("simples", S.SIMPLES_COLS, lambda raw: simples_table(raw, pad=not compat)),
-        "empresas": ("companies", S.COMPANY_COLS, lambda raw: companies_table(
-            raw, codes["natju"], codes["quals"], capital_type="float" if compat else "decimal(18,2)", small=small)),
-        "socios": ("partners", S.PARTNER_COLS, lambda raw: partners_table(raw, codes["quals"], codes["pais"], small=small)),
-        "estab": ("establishments", S.ESTAB_COLS, lambda raw: establishments_table(raw, codes["mun"], codes["pais"], small=small)),
+        "simples": lambda raw: simples_table(raw, pad=not compat),
+        "empresas": lambda raw: companies_table(
+            raw, codes["natju"], codes["quals"], capital_type="float" if compat else "decimal(18,2)", small=small),
+        "socios": lambda raw: partners_table(raw, codes["quals"], codes["pais"], small=small),
+        "estab": lambda raw: establishments_table(raw, codes["mun"], codes["pais"], small=small),
     }
-    for name, (kind, cols, build) in builders.items():  # one map-only job per table, in order
-        if name not in wanted:
-            continue
-        out[name] = f"{out_root}/df_{name}"
-        write_table(build(scan_table(spark, files[kind], cols, read_options)), out[name], fmt,
-                    partition_by=layout.get(name))
+    for name, build in builders.items():  # one map-only job per table, in order
+        if name in wanted:
+            put(name, lambda n=name, b=build: b(raw(NEEDED[n])), partition_by=layout.get(name))
+    if quarantine:
+        kinds = [*S.CODE_TABLES.values(), *(NEEDED[t] for t in builders if t in wanted)]
+        prints["malformed"] = "|".join(marks[k] for k in kinds) + settings
+        put("malformed", lambda: reduce(DataFrame.unionByName, [
+            malformed_records(scan_table(spark, raw_root, k, _COLS[k], read_options, checked=True), _COLS[k],
+                              {**S.REGISTRY_READ_OPTIONS, **(read_options or {})}["sep"]).withColumn("table", F.lit(k)) for k in kinds]).select(
+            "table", "file", "record", "problem"))
+    if target is not None:
+        target.commit()
     return out
 
 

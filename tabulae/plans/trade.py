@@ -1,10 +1,9 @@
 """Foreign-trade job: three lookup tables and one fact table per flow.
 
-Fact files sharing a header are read by one scan, and each scan is cleaned
-on its own columns: an all-null row is judged on every column the file has.
-The scans are cut down to the published columns and stacked by name *before*
-the lookups, so each code table is broadcast once per flow, not once per
-file.
+All fact files of a flow are read by one scan, each line by its file's own
+header: an all-null row is judged on every column the file has.  Only the
+published columns go on to the lookups, so each code table is broadcast once
+per flow, not once per file.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from tabulae.operators.lookups import coerce_key, fits_broadcast_all, lookup, re
 from tabulae.operators.sets import distinct_rows, union_by_name
 from tabulae.session import scratch_path
 from tabulae.sinks import write_table
-from tabulae.sources.delimited import scan_header_groups
+from tabulae.sources.delimited import scan_by_header
 from tabulae.sources.files import list_files
 
 
@@ -50,7 +49,11 @@ def fact_file(raw: DataFrame, measure_type: str = "bigint") -> DataFrame:
     Measures are ``bigint`` (values above 2^31 exist); ``measure_type="int"``
     gives the earlier type, where such values become null.
     """
-    df = drop_all_null(raw)
+    return fact_columns(drop_all_null(raw), measure_type)
+
+
+def fact_columns(df: DataFrame, measure_type: str = "bigint") -> DataFrame:
+    """Raw fact columns, typed."""
     typed = {}
     for c in S.TRADE_FACT_COLS:
         if c in S.TRADE_TEXT_COLS:
@@ -116,20 +119,16 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     as they are (``fact_sep=";"``), with no rewriting step.  ``compat=True``
     publishes the measures as ``int`` (the earlier type).
     """
-    aux = f"{raw_root}/aux_tables"
-
     def lookup_file(name: str, cols: list[str]) -> DataFrame:
-        paths = [r["path"] for r in list_files(spark, f"{aux}/{name}").select("path").collect()]
-        return union_by_name([df.select(*cols) for df in scan_header_groups(spark, paths, sep=aux_sep, encoding=encoding)])
+        return scan_by_header(spark, f"{raw_root}/aux_tables/{name}", cols, aux_sep, encoding)
 
     mun = municipalities(lookup_file("UF_MUN.csv", S.TRADE_MUN_COLS))
     pais = countries(lookup_file("PAIS.csv", S.TRADE_COUNTRY_COLS))
     prod = products(lookup_file("NCM_SH.csv", S.TRADE_PRODUCT_COLS))
-    # the listing is metadata: a few files per year
-    listing = list_files(spark, f"{raw_root}/mun").select("path", "name").collect()
-    listing = [r for r in listing if not r["name"].lower().endswith(".zip")]  # archives are not fact files
-    by_flow = {name: sorted(r["path"] for r in listing if marker in r["name"]) for name, marker in S.TRADE_FLOWS.items()}
-    empty = [name for name, paths in by_flow.items() if not paths]
+    # one count for each flow: archives are not fact files
+    files = list_files(spark, f"{raw_root}/mun").where(~F.lower("name").endswith(".zip"))
+    counts = files.agg(*[F.count_if(F.col("name").contains(marker)).alias(name) for name, marker in S.TRADE_FLOWS.items()]).first()
+    empty = [name for name in S.TRADE_FLOWS if not counts[name]]
     if empty:  # fail before anything is written
         raise ValueError(f"no fact files for flow(s) {empty} under {raw_root}/mun")
     # written once, checked once, used by both flows
@@ -142,10 +141,9 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     prepared = prepare_lookups(tables)
     out = {}
     for flow_name, marker in S.TRADE_FLOWS.items():
-        paths = by_flow[flow_name]
-        # one scan per distinct header; each file is still judged on its own columns
-        df = flow(scan_header_groups(spark, paths, sep=fact_sep, encoding=encoding), mun, pais, prod, prepared,
-                  measure_type="int" if compat else "bigint")
+        # one scan for all files and layouts; each file is still judged on its own columns
+        raw = scan_by_header(spark, f"{raw_root}/mun", S.TRADE_FACT_COLS, fact_sep, encoding, contains=marker, drop_empty=True)
+        df = decorate(fact_columns(raw, "int" if compat else "bigint"), mun, pais, prod, prepared)
         out[flow_name] = f"{out_root}/comex_{flow_name}"
         write_table(df, out[flow_name], fmt, partition_by=partition_by)
     return out

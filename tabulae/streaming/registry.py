@@ -16,6 +16,7 @@ from tabulae import schemas as S
 from tabulae.operators.lookups import fits_broadcast_all
 from tabulae.plans import registry as R
 from tabulae.streaming.ingest import ingest_available
+from tabulae.streaming.ledger import ingest_files
 
 _TABLES = {
     # published name: (file-name glob, raw columns, builder(raw, codes, small))
@@ -50,3 +51,24 @@ def run_incremental(spark: SparkSession, landing_root: str, codes_root: str, out
             options=opts, transform=lambda raw, b=build: b(raw, codes, small), file_glob=glob,
         )
     return out
+
+
+def run_ledgered(spark: SparkSession, landing_root: str, codes_root: str, out_root: str, tables: list[str] | None = None,
+                 read_options: dict[str, str] | None = None, overwrite: bool = False) -> dict[str, str]:
+    """As ``run_incremental``, with the ledger of ``streaming.ledger``.
+
+    Read the tables with ``ledger.published``.  With ``overwrite`` a file that
+    is delivered again under its name replaces its earlier rows; without, the
+    first delivery stays.
+    """
+    opts = dict(S.REGISTRY_READ_OPTIONS)
+    opts.update(read_options or {})
+    codes = {name: spark.read.parquet(f"{codes_root}/df_{name}") for name in ("natju", "quals", "pais", "mun")}
+    small = fits_broadcast_all(codes)
+    out = {}
+    for name in tables or list(_TABLES):
+        glob, cols, build = _TABLES[name]
+        out[name] = f"{out_root}/df_{name}"
+        ingest_files(spark, landing_root, out[name], list(cols), lambda raw, b=build: b(raw, codes, small),
+                     file_glob=glob, overwrite=overwrite, options=opts)
+    return out

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+from tabulae import schemas as S
 from tabulae.plans import registry as R
 
 
@@ -242,6 +243,8 @@ def test_archives_in_the_raw_tree_are_not_read(spark, tmp):
     make_raw(raw)
     with zipfile.ZipFile(f"{raw}/SIMPLES.zip", "w") as zf:  # a download left next to the files
         zf.writestr("x", "not a table")
-    files = R.discover(spark, raw)
-    assert not any(p.endswith(".zip") for paths in files.values() for p in paths)
-    assert len(files["simples"]) == 1
+    files = [tuple(r) for r in R.raw_files(spark, raw).select("kind", "name").collect()]
+    assert not any(name.endswith(".zip") for _kind, name in files)
+    assert sum(kind == "simples" for kind, _name in files) == 1
+    scanned = R.scan_table(spark, raw, "simples", S.SIMPLES_COLS).inputFiles()
+    assert len(scanned) == 1 and not scanned[0].endswith(".zip")

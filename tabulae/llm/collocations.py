@@ -17,6 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ MAX_WORDS = 3
 MIN_COUNT = 10
 TOP = 2000
 ABSORB = 50                  # per cent: a longer phrase this often takes its parts away
-CHUNK = 2_000_000            # places of a chunk, about: bounds what a task holds
+CHUNK = 1_000_000            # places of a chunk, about: bounds what a task holds
 BLOCK = 65_536               # places of one stored row
 UND = "und"
 _BREAK = b"\xff"             # no byte of UTF-8
@@ -60,9 +61,17 @@ def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _blocks(codes: np.ndarray) -> Iterator[slice]:
-    for i in range(0, len(codes), BLOCK):
-        yield slice(i, i + BLOCK)
+def _blocks(codes: np.ndarray) -> list[slice]:
+    return [slice(i, i + BLOCK) for i in range(0, len(codes), BLOCK)]
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed little-endian 32-bit ones: they are stored and shuffled as bytes."""
+    return zstandard.compress(numbers.astype(_PLACE).tobytes(), 1)
+
+
+def _unpacked(blocks: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(zstandard.decompress(b), _PLACE) for b in blocks])
 
 
 class _Chunk:
@@ -89,7 +98,7 @@ def _occurrences(size: int):
     def close(lang: str, chunk: _Chunk, number: int) -> Iterator[pa.RecordBatch]:
         codes = np.concatenate(chunk.parts)
         counts = np.bincount(codes, minlength=len(chunk.code))
-        blocks = [codes[s].tobytes() for s in _blocks(codes)]
+        blocks = [_packed(codes[s]) for s in _blocks(codes)]
         k = len(blocks)
         yield _batch(_R1, k, lang=[lang] * k, chunk=[number] * k, code=list(range(k)), codes=blocks)
         words = list(chunk.code)
@@ -134,9 +143,9 @@ def _joined(n: int, last: bool):
         if not blocks.num_rows or not frequent.num_rows:
             return schema.empty_table()
         order = np.argsort(blocks.column("code").to_numpy())
-        codes = np.frombuffer(b"".join(blocks.column("codes").take(order).to_pylist()), _PLACE)
-        places = blocks.column("at").take(order).to_pylist()
-        at = np.arange(len(codes), dtype=_PLACE) if places[0] is None else np.frombuffer(b"".join(places), _PLACE)
+        codes = _unpacked(blocks.column("codes").take(order).to_pylist())
+        places = blocks.column("at").take(order).to_pylist()      # from place to place; null: all places
+        at = np.arange(len(codes), dtype=_PLACE) if places[0] is None else np.cumsum(_unpacked(places), dtype=_PLACE)
         kept = frequent.column("code").to_numpy()
         words = [frequent.column(c).to_numpy() for c in _columns(n)]
         index = np.full(max(int(codes.max(initial=0)), int(kept.max())) + 1, -1, np.int64)
@@ -152,10 +161,10 @@ def _joined(n: int, last: bool):
         out = [_batch(schema, len(pairs), chunk=np.full(len(pairs), chunk), code=np.arange(len(pairs), dtype=np.int32),
                       c=count, **dict(zip(_columns(n + 1), new)))]
         if not last:
-            at, code = at[:-1][next_to].astype(_PLACE), code.astype(_PLACE)
-            parts = list(_blocks(code))
+            at = np.diff(at[:-1][next_to], prepend=0)
+            parts = _blocks(code)
             out.append(_batch(schema, len(parts), chunk=[chunk] * len(parts), code=list(range(len(parts))),
-                              at=[at[s].tobytes() for s in parts], codes=[code[s].tobytes() for s in parts]))
+                              at=[_packed(at[s]) for s in parts], codes=[_packed(code[s]) for s in parts]))
         return pa.Table.from_batches(out, schema)
     return run
 
@@ -178,23 +187,23 @@ def mine_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
     (word numbers) and f.  All counts are exact and over the whole table.
     """
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UND)).alias("lang"), "text")
-    relation = written(rows.mapInArrow(_occurrences(chunk), _r1_schema()), "occurrences-1")
+    relation = written(rows.mapInArrow(_occurrences(chunk), _r1_schema()), "occurrences-1", compression="zstd")
     sizes = relation.where("word is not null").groupBy("lang").agg(F.sum("c").alias("n"))
     # A word's number is that of its first row, so all its rows agree; written once, it stays.
     first = _frequent(relation.where("word is not null").select("lang", "word", "chunk", "code", "c"), ["lang", "word"], min_count)
     kept = written(first.withColumn("__row", F.monotonically_increasing_id()).select(
-        "lang", "word", "chunk", "code", "f", F.min("__row").over(Window.partitionBy("lang", "word")).alias("w1")), "frequent-1")
+        "lang", "word", "chunk", "code", "f", F.min("__row").over(Window.partitionBy("lang", "word")).alias("w1")), "frequent-1", compression="zstd")
     words = written(kept.select("lang", F.col("word").alias("phrase"), "w1", "f").distinct(), "words")
     levels = [words]
     for n in range(1, max_words):
         blocks = relation.where("codes is not null").select("chunk", "code", "at", "codes")
         survivors = kept.select("chunk", "code", *_columns(n))
         relation = written(blocks.groupBy("chunk").cogroup(survivors.groupBy("chunk")).applyInArrow(
-            _joined(n, last=n + 1 == max_words), _rk_schema(n + 1)), f"occurrences-{n + 1}")
+            _joined(n, last=n + 1 == max_words), _rk_schema(n + 1)), f"occurrences-{n + 1}", compression="zstd")
         keys = _columns(n + 1)
         groups = relation.where("codes is null").select("chunk", "code", "c", *keys)
         if n + 1 < max_words:
-            kept = written(_frequent(groups, keys, min_count).select("chunk", "code", "f", *keys), f"frequent-{n + 1}")
+            kept = written(_frequent(groups, keys, min_count).select("chunk", "code", "f", *keys), f"frequent-{n + 1}", compression="zstd")
             found = kept.select("f", *keys).distinct()
         else:
             found = groups.groupBy(*keys).agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)

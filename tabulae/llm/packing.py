@@ -62,10 +62,12 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian 32-bit bytes."""
-        if self.other(text):
-            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
-        else:
-            found = self.ranked.encode_to_numpy(text, disallowed_special=())
+        if not self.other(text):
+            try:
+                return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+            except ValueError:      # its pattern gives up on runs of a million blanks
+                pass
+        found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
         return found.astype("<u4").tobytes()
 
 

@@ -18,9 +18,10 @@ from pyspark.sql.window import Window
 
 from tabulae.llm.common import let, written
 
-ROUNDS = 40   # of re-drawing clashing surrogates before giving up
+ROUNDS = 40   # of re-drawing clashing surrogates; later ones are longer, so far fewer are needed
+SAME_SIZE = {"email": 1, "ip": 6, "phone": 6, "card": 6, "ssn": 6}   # attempts before surrogates of the kind grow
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"   # possessive: a loop without a stack
 IP = r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
@@ -81,12 +82,26 @@ def _name(stream: Column, kind: Column, canon: Column, attempt: Column) -> Colum
 
 def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     """Canonical form of the entity's surrogate."""
+    def more(s: Column, name: str, below: int, sign) -> Column:
+        """Further signs in front on later attempts: a format with few surrogates has enough then."""
+        extra = F.slice(F.sequence(F.lit(0), F.greatest(attempt - SAME_SIZE[name], F.lit(0))), 2, ROUNDS)      # 1, 2, ... or empty
+        return F.array_join(F.transform(extra, lambda i: sign(draw(s, i + 7, below))), "")
+
+    def letter(n: Column) -> Column:
+        return F.char(F.lit(97) + n)
+
+    def digit(n: Column) -> Column:
+        return n.cast("string")
+
     def drawn(s: Column) -> Column:
         ip = F.concat_ws(".", *(((draw(s, F.lit(i), 254) + 1).cast("string")) for i in range(4)))
+        port = F.regexp_replace(more(s, "ip", 10, digit), "^(?=.)", ":1")
         host = F.regexp_extract(canon, r"^(.*)(\.[^.]*)$", 1)
-        return (F.when(kind == "email", F.concat(_swapped(s, host), F.regexp_extract(canon, r"(\.[^.]*)$", 1)))
-                .when(kind == "ip", ip).when(kind == "card", _card(s, canon))
-                .when(kind.isin("phone", "ssn"), _swapped(s, canon)).otherwise(_name(s, kind, canon, attempt)))
+        return (F.when(kind == "email", F.concat(more(s, "email", 26, letter), _swapped(s, host), F.regexp_extract(canon, r"(\.[^.]*)$", 1)))
+                .when(kind == "ip", F.concat(ip, port))
+                .when(kind == "card", F.concat(more(s, "card", 10, digit), _card(s, canon)))
+                .when(kind.isin("phone", "ssn"), F.concat(more(s, "phone", 10, digit), _swapped(s, canon)))
+                .otherwise(_name(s, kind, canon, attempt)))
 
     return let(hex_stream(key, kind, canon, attempt), drawn)
 
@@ -109,7 +124,9 @@ def pieces_of(text: Column, names: Column) -> Column:
     Entities are framed by a mark that holds a digest of the text, so no text
     contains its own mark.
     """
-    mentions = F.concat(F.lit(PATTERN + r"|(?<!\p{L})(?:"), F.array_join(F.transform(names, lambda n: F.concat_ws("|", n["word"], F.upper(n["word"]))), "|"), F.lit(r")(?!\p{L})"))
+    # The longest first: a name that begins a double-barrelled one must not take its first half.
+    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n["word"])).alias("size"), n["word"].alias("word")))), lambda n: n["word"])
+    mentions = F.concat(F.lit(PATTERN + r"|(?<!\p{L})(?:"), F.array_join(F.transform(longest, lambda w: F.concat_ws("|", w, F.upper(w))), "|"), F.lit(r")(?!\p{L})"))
     pattern = F.when(F.size(names) > 0, mentions).otherwise(F.lit(PATTERN))
     mark = F.concat(F.lit("\ue000"), F.substring(F.sha2(text, 256), 1, 16))
     return let(mark, lambda m: F.split(F.regexp_replace(text, F.concat(F.lit("("), pattern, F.lit(")")), F.concat(m, F.lit("$1"), m)), m))
@@ -128,13 +145,19 @@ def entity(piece: Column, names: Column) -> Column:
 
 
 def dressed(kind: Column, piece: Column, made: Column) -> Column:
-    """The surrogate in the format of the mention."""
+    """The surrogate in the format of the mention; what a longer one has more goes in front (addresses: at the end)."""
     def digit(i: Column) -> Column:      # the k-th digit from the right is the surrogate's k-th from the right
         k = F.length(F.regexp_replace(F.substring(piece, i + 1, F.length(piece)), "[^0-9]", ""))
-        return F.when(k <= F.length(made), F.substring(made, F.length(made) - k + 1, F.lit(1))).otherwise(F.substring(piece, i + 1, F.lit(1)))
-
-    numbers = F.array_join(F.transform(_chars(piece), lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).otherwise(c)), "")
-    cased = F.array_join(F.transform(_chars(piece), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substring(made, i + 1, F.lit(1)))).otherwise(F.substring(made, i + 1, F.lit(1)))), "")
+        return F.when(k <= own, F.substring(made, F.length(made) - k + 1, F.lit(1))).otherwise(F.substring(piece, i + 1, F.lit(1)))
+
+    digits = F.length(F.regexp_replace(piece, "[^0-9]", ""))
+    own = F.when(kind == "phone", F.least(digits, F.lit(10))).otherwise(digits)      # digits of the canonical form
+    longer = F.substring(made, F.lit(1), F.greatest(F.length(made) - own, F.lit(0)))
+    numbers = F.concat(longer, F.array_join(F.transform(_chars(piece), lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).otherwise(c)), ""))
+    # sign by sign from arrays: long addresses take linear time
+    cased = let(_chars(made), lambda m: F.concat(
+        F.array_join(F.transform(_chars(piece), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.get(m, i))).otherwise(F.get(m, i))), ""),
+        F.substring(made, F.length(piece) + 1, F.length(made))))
     name = F.when(piece == F.upper(piece), F.upper(made)).otherwise(F.initcap(made))
     return F.when(kind == "email", cased).when(kind == "ip", made).when(kind.isin("phone", "card", "ssn"), numbers).otherwise(name)
 
@@ -178,7 +201,9 @@ def rewritten(text: Column, key: str, again: Column) -> Column:
     def piece(p: Column, i: Column, names: Column) -> Column:
         def replaced(e: Column) -> Column:
             attempt = F.coalesce(F.get(F.filter(again, lambda a: (a["kind"] == e["kind"]) & (a["canon"] == e["canon"])), F.lit(0))["attempt"], F.lit(0))
-            return dressed(e["kind"], p, surrogate(key, e["kind"], e["canon"], attempt))
+            # each evaluated once: a surrogate takes two digests, and is looked at sign by sign
+            made = let(attempt, lambda a: surrogate(key, e["kind"], e["canon"], a))
+            return let(made, lambda m: dressed(e["kind"], p, m))
         return F.when(i % 2 == 1, let(entity(p, names), replaced)).otherwise(p)
 
     def whole(f: Column) -> Column:

@@ -54,7 +54,8 @@ def scan_delimited(
     if recursive:
         opts["recursiveFileLookup"] = "true"
     if checked:
-        opts["columnNameOfCorruptRecord"] = MALFORMED
+        # a parser that skips fields cannot count them
+        opts.update(columnNameOfCorruptRecord=MALFORMED, columnPruning="false")
     schema = string_schema([*cols, MALFORMED] if checked else cols)
     return spark.read.schema(schema).options(**opts).csv(paths if isinstance(paths, list) else [paths])
 
@@ -73,14 +74,17 @@ def malformed_records(checked: DataFrame, cols: list[str], sep: str) -> DataFram
     """The records of a checked scan that are not sound: file, first_field, record, problem.
 
     ``problem`` is ``quotes`` (a quoted field is not closed), ``short`` or
-    ``long`` (too few or too many fields).
+    ``long`` (too few or too many fields).  A last field that is not closed is
+    read to the end of its line and has its record sound.
     """
     # quoted fields removed, what is left are the separators between fields; a doubled quote is one sign
     bare = F.regexp_replace(MALFORMED, '"(?:[^"]|"")*+"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + F.lit(1)
     problem = F.when(F.contains(bare, F.lit('"')), "quotes").when(fields < len(cols), "short").when(fields > len(cols), "long").otherwise("other")
     return checked.where(F.col(MALFORMED).isNotNull()).select(
-        F.col("_metadata.file_path").alias("file"), F.col(cols[0]).alias("first_field"), F.col(MALFORMED).alias("record"), problem.alias("problem"))
+        F.col("_metadata.file_path").alias("file"), F.col(cols[0]).alias("first_field"),
+        # Spark refuses to read the text of a record alone: the second column keeps a field in the scan
+        F.coalesce(MALFORMED, cols[0]).alias("record"), problem.alias("problem"))
 
 
 def sound_and_malformed(spark: SparkSession, paths: str | list[str], cols: list[str], **scan) -> tuple[DataFrame, DataFrame]:

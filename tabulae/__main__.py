@@ -42,14 +42,20 @@ def _parser() -> argparse.ArgumentParser:
     trade.add_argument("--fact-sep", default=",", help="separator of the fact files (';' for the portal's own)")
     registry.add_argument("--archives", metavar="work_root", default=None,
                           help="raw_root holds downloaded archives: unpack them to this folder first")
+    registry.add_argument("--release", action="store_true",
+                          help="publish all tables together under out_root (a pointer is swapped last; a stopped run is gone on with)")
+    registry.add_argument("--quarantine", action="store_true", help="also write the malformed raw records (df_malformed)")
+    incremental.add_argument("--ledger", action="store_true", help="keep a ledger of files beside each table instead of a stream checkpoint")
+    incremental.add_argument("--overwrite", action="store_true", help="with --ledger: a file delivered again replaces its earlier rows")
     for p in (registry, incremental):
         p.add_argument("--tables", nargs="*", default=None, help="only these of simples empresas socios estab")
     for p in (registry, trade, incremental):
         p.add_argument("--encoding", default=None, help="raw file encoding, if not the usual one")
     incremental.add_argument("--codes", required=True, help="folder of the published code tables")
-    incremental.add_argument("--checkpoints", required=True, help="shared folder of the stream checkpoints")
+    incremental.add_argument("--checkpoints", default=None, help="shared folder of the stream checkpoints (not with --ledger)")
     manifest.add_argument("--kind", choices=["registry", "trade"], required=True)
     manifest.add_argument("--years", nargs=2, type=int, default=None, metavar=("FROM", "TO"))
+    manifest.add_argument("--all-years", action="store_true", help="trade links of every year, or without one")
     manifest.add_argument("--known", default=None, help="an earlier manifest (parquet): list only names not in it")
     return parser
 
@@ -62,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
 
         options = dict(fmt=args.format, compat=args.compat, tables=args.tables,
                        partition_by={"estab": args.partition_by} if args.partition_by else None,
-                       read_options={"encoding": args.encoding} if args.encoding else None)
+                       read_options={"encoding": args.encoding} if args.encoding else None,
+                       release=args.release, quarantine=args.quarantine)
         if args.archives:
             out = registry.run_archives(spark, args.source, args.archives, args.target, **options)
         else:
@@ -73,10 +80,16 @@ def main(argv: list[str] | None = None) -> int:
         out = trade.run(spark, args.source, args.target, fmt=args.format, partition_by=args.partition_by,
                         fact_sep=args.fact_sep, compat=args.compat, encoding=args.encoding or "UTF-8")
     elif args.job == "incremental":
-        from tabulae.streaming.registry import run_incremental
+        from tabulae.streaming.registry import run_incremental, run_ledgered
 
-        out = run_incremental(spark, args.source, args.codes, args.target, args.checkpoints, tables=args.tables,
-                              read_options={"encoding": args.encoding} if args.encoding else None)
+        if args.ledger:
+            out = run_ledgered(spark, args.source, args.codes, args.target, tables=args.tables, overwrite=args.overwrite,
+                               read_options={"encoding": args.encoding} if args.encoding else None)
+        elif not args.checkpoints:
+            raise SystemExit("incremental needs --checkpoints, or --ledger")
+        else:
+            out = run_incremental(spark, args.source, args.codes, args.target, args.checkpoints, tables=args.tables,
+                                  read_options={"encoding": args.encoding} if args.encoding else None)
     else:
         from tabulae.operators import links
         from tabulae.operators.ingest import new_only
@@ -84,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
 
         pages = spark.read.parquet(args.source)
         if args.kind == "trade":
-            files = links.trade_manifest(pages, tuple(args.years) if args.years else None)
+            files = links.trade_manifest(pages, links.ALL_YEARS if args.all_years else tuple(args.years) if args.years else None)
         else:
             files = links.registry_manifest(pages)
         if args.known:

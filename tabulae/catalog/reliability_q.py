@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulae.catalog.io_q import _documents
+from tabulae.catalog.io_q import DOC_COLS, DOC_SQL, _documents
 from tabulae.catalog.jobs_files_q import _REGISTRY, digest, stage_register
 from tabulae.catalog.sqlgen import s_digest
 from tabulae.catalog.standin import table
@@ -14,6 +14,7 @@ from tabulae.session import scratch_path
 from tabulae.sinks import write_delimited, write_table
 from tabulae.sinks.publish import read_published
 from tabulae.sources.delimited import sound_and_malformed
+from tabulae.sources.records import scan_records
 from tabulae.streaming.ledger import ingest_files, published
 
 Q: dict = {}
@@ -141,3 +142,13 @@ def q_lookup_split_keys(spark, sf):
 
 Q["lookup_split_keys"] = (q_lookup_split_keys, """SELECT l_orderkey, l_linenumber, CAST(k AS INTEGER) AS nation, CASE WHEN k IS NULL THEN 'UNKNOWN' ELSE n_name END AS n_name
   FROM (SELECT l_orderkey, l_linenumber, CASE l_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 7 ELSE l_suppkey % 30 END AS k FROM lineitem) l LEFT JOIN nation ON k = n_nationkey""")
+
+
+# --- S1-S3: texts with line breaks in quotes, files read in parts --------------------------
+def q_scan_split_records(spark, sf):
+    path = scratch_path(spark, "split-records")
+    write_delimited(_documents(spark, sf), path)
+    return scan_records(spark, path, DOC_COLS)
+
+
+Q["scan_split_records"] = (q_scan_split_records, DOC_SQL)

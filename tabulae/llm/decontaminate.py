@@ -1,8 +1,9 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 The normalised windows of the benchmark's questions and answers form one
-automaton; each normalised text is scanned once, and the hits are mapped back
-to character offsets of the original.
+automaton over word numbers, at most WINDOW nodes a window; each normalised
+text is scanned once, and the hits are mapped back to character offsets of the
+original.  A worker builds the automaton once and keeps it for all its tasks.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import ahocorasick
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from tabulae.llm.common import written
 
 WINDOW = 13
-BLOCK_BYTES = 8_000_000   # benchmark text per automaton: bounds what a task holds
+BLOCK_BYTES = 4_000_000   # benchmark text per automaton: bounds what a worker holds
 # Byte table: A-Z to a-z, digits, letters and bytes over 0x7F stay, the rest become spaces.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -36,41 +38,43 @@ def words(text: str | None) -> list[bytes]:
     return raw(text).translate(_TABLE).split() if text else []
 
 
-def windows(text: str | None) -> set[str]:
-    """Normalised windows of an item, each framed by spaces."""
+def windows(text: str | None) -> set[tuple[bytes, ...]]:
+    """Normalised windows of an item, as words."""
     w = words(text)
-    return {f" {b' '.join(w[i:i + WINDOW]).decode()} " for i in range(max(1, len(w) - WINDOW + 1))} if w else set()
+    return {tuple(w[i:i + WINDOW]) for i in range(max(1, len(w) - WINDOW + 1))} if w else set()
 
 
-def automaton(items: list[tuple]) -> ahocorasick.Automaton | None:
-    """Automaton whose values are (words in the window, ids of the items)."""
-    owners: dict[str, set[str]] = {}
+class Windows(NamedTuple):
+    """Word numbers (from 1) and the automaton over them; its values are (words in the window, ids of the items)."""
+
+    number: dict
+    found: ahocorasick.Automaton | None
+
+
+def automaton(items: list[tuple]) -> Windows:
+    owners: dict[tuple[bytes, ...], set[str]] = {}
     for item, text in items:
         for w in windows(text):
             owners.setdefault(w, set()).add(str(item))
-    if not owners:
-        return None
-    a = ahocorasick.Automaton()
+    number: dict[bytes, int] = {}
+    a = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for w, ids in owners.items():
-        a.add_word(w, (w.count(" ") - 1, tuple(ids)))
-    a.make_automaton()
-    return a
+        a.add_word(tuple(number.setdefault(x, len(number) + 1) for x in w), (len(w), tuple(ids)))
+    if owners:
+        a.make_automaton()
+    return Windows(number, a if owners else None)
 
 
-def scan(text: str | None, a: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+def scan(text: str | None, a: Windows) -> tuple[int, list[tuple[int, int]], set[str]]:
     """(words, hit word ranges [first, last], ids of the items) of one text."""
     w = words(text)
-    if not w or a is None:
-        return len(w), [], set()
-    norm = f" {b' '.join(w).decode()} "
     ranges: list[tuple[int, int]] = []
     ids: set[str] = set()
-    at = seen = 0
-    for end, (n, own) in a.iter(norm):
-        seen += norm.count(" ", at, end)      # words that end before this space
-        at = end
-        ranges.append((seen - n, seen - 1))
-        ids.update(own)
+    if w and a.found is not None:
+        number = a.number.get
+        for end, (n, own) in a.found.iter(tuple(number(x, 0) for x in w)):
+            ranges.append((end - n + 1, end))
+            ids.update(own)
     return len(w), ranges, ids
 
 
@@ -104,76 +108,142 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
     yield block
 
 
-_SPANS = "array<struct<start:long,end:long>>"
-_PARTIAL = f"doc_id long, text string, n_words long, ranges {_SPANS}, ids array<string>"
+HITS = "digest string, n_words long, ranges array<struct<first:long,last:long,start:long,end:long>>, ids array<string>"
+_ARROW_HITS = pa.list_(pa.struct([(x, pa.int64()) for x in ("first", "last", "start", "end")]))
+_VERDICT = "digest string, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:long,end:long>>"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row: RESULT.
 
     ``spans`` are the hit passages as code-point offsets of the original text.
-    A benchmark over BLOCK_BYTES of text is taken in blocks, one after the
-    other, each one map-only pass that adds its hits to the rows; within the
-    bound (the usual case) it is one pass.  Null and empty texts have no words
-    and no hits; null or empty items have no windows; repeated rows are judged
-    alike.  A null item_id counts as "None".  Only doc_id and text are read.
+    A benchmark within BLOCK_BYTES of text (the usual case) is one map-only
+    pass; a larger one is taken in blocks, each a pass over the texts that
+    writes its hits only, which are then merged text by text.  Null and empty
+    texts have no words and no hits; null or empty items have no windows;
+    repeated rows are judged alike; an empty table gives no row.  A null
+    item_id counts as "None".  Only doc_id and text are read.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = _blocks(benchmark)
-    block = next(blocks)
-    first = True
-    for following in blocks:
-        rows = written(rows.mapInArrow(_pass(spark.sparkContext.broadcast(block), first, last=False), _PARTIAL), "hits")
-        block, first = following, False
-    return rows.mapInArrow(_pass(spark.sparkContext.broadcast(block), first, last=True), RESULT)
+    one, verdicts = _judged(docs, benchmark)
+    if verdicts is None:
+        return rows.mapInArrow(_pass(one), RESULT)
+    none = {"n_hit": F.lit(0).cast("long"), "n_items": F.lit(0).cast("long"), "items_sha256": F.lit(hashlib.sha256().hexdigest()),
+            "contaminated": F.lit(False), "spans": F.array().cast("array<struct<start:long,end:long>>")}
+    counted = rows.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(_counts, "doc_id long, digest string, n_words long")
+    return counted.join(verdicts.drop("n_words"), "digest", "left").select(
+        "doc_id", "n_words", *(F.coalesce(c, value).alias(c) for c, value in none.items()))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, their columns as they are.
+
+    Each row is judged by its own text, whatever its doc_id; only the text
+    goes through a Python worker and no row is shuffled (for a benchmark over
+    BLOCK_BYTES rows are joined to the contaminated texts' digests).
+    """
+    one, verdicts = _judged(docs, benchmark)
+    if verdicts is None:
+        return docs.where(~F.arrow_udf(_flags(one), "boolean")(F.col("text")))
+    bad = verdicts.where("contaminated").select(F.col("digest").alias("__digest"))
+    return docs.join(bad, F.md5("text") == F.col("__digest"), "left_anti")
 
 
-def _result(text: str | None, n: int, ranges: list[tuple[int, int]], ids: set[str]) -> tuple:
-    hit = merge(ranges)
+def _judged(docs: DataFrame, benchmark: DataFrame):
+    """(block, None) of a benchmark of one block, else (None, verdicts of the texts with hits)."""
+    spark = docs.sparkSession
+    blocks = _blocks(benchmark)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return _shared(spark, block), None
+    texts = docs.select(F.md5("text").alias("digest"), "text").where(F.col("text") != "")
+    hits = None
+    while block is not None:
+        new = written(texts.mapInArrow(_hits(_shared(spark, block)), HITS), "hits")
+        hits = new if hits is None else hits.unionByName(new)
+        block, following = following, next(blocks, None)
+    # Copies have equal hits: sets of them are one, also before the shuffle.
+    met = hits.groupBy("digest").agg(F.min("n_words").alias("n_words"), F.flatten(F.collect_set("ranges")).alias("ranges"),
+                                     F.flatten(F.collect_set("ids")).alias("ids"))
+    return None, written(met.mapInArrow(_merged, _VERDICT), "verdicts")
+
+
+def _shared(spark, block: list[tuple]):
+    return spark.sparkContext.broadcast({"items": block})
+
+
+def _kept(shared) -> Windows:
+    """The block's automaton; a worker keeps a broadcast value, and the automaton with it."""
+    held = shared.value
+    if "automaton" not in held:
+        held["automaton"] = automaton(held["items"])
+    return held["automaton"]
+
+
+def _summary(n: int, hit: list[tuple[int, int]], ids: set[str]) -> tuple:
+    """(n_hit, n_items, items_sha256, contaminated) of merged ranges."""
     n_hit = sum(b - a + 1 for a, b in hit)
-    digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
-    return n_hit, len(ids), digest, n_hit > 0 and 20 * n_hit >= n, offsets(text, hit) if hit else []
+    return n_hit, len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), n_hit > 0 and 20 * n_hit >= n
+
+
+def _flags(shared):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        a = _kept(shared)
+        for texts in batches:
+            found = (scan(t, a) for t in texts.to_pylist())
+            yield pa.array([_summary(n, merge(ranges), ids)[3] for n, ranges, ids in found], pa.bool_())
+    return run
 
 
-def _pass(block, first: bool, last: bool):
-    """Task function: add one block's hits to the rows of earlier blocks."""
+def _pass(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = automaton(block.value)
+        a = _kept(shared)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [scan(t, a) for t in texts]
-            if not first:
-                before = zip(batch.column("ranges").to_pylist(), batch.column("ids").to_pylist())
-                found = [(n, [(r["start"], r["end"]) for r in rs] + more, set(ids) | own)
-                         for (n, more, own), (rs, ids) in zip(found, before)]
-            n_words = pa.array([f[0] for f in found], pa.int64())
-            if last:
-                out = [_result(t, *f) for t, f in zip(texts, found)]
-                cols = [pa.array([o[k] for o in out], t) for k, t in enumerate(
-                    (pa.int64(), pa.int64(), pa.string(), pa.bool_(), _ARROW_SPANS))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), n_words, *cols],
-                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-            else:
-                spans = [[{"start": lo, "end": hi} for lo, hi in merge(f[1])] for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text"), n_words, pa.array(spans, _ARROW_SPANS),
-                     pa.array([sorted(f[2]) for f in found], pa.list_(pa.string()))],
-                    names=["doc_id", "text", "n_words", "ranges", "ids"])
+            out = []
+            for text in batch.column("text").to_pylist():
+                n, ranges, ids = scan(text, a)
+                hit = merge(ranges)
+                out.append((n, *_summary(n, hit, ids), offsets(text, hit) if hit else []))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), _ARROW_SPANS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array([o[k] for o in out], t) for k, t in enumerate(types))],
+                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
     return run
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, their columns as they are.
-
-    Verdicts are joined by doc_id; rows that share a doc_id go if one of them
-    is contaminated.  Rows without a doc_id are joined by their text.
-    """
-    bad = find_contamination(docs.select(_row_id().alias("doc_id"), "text"), benchmark).where("contaminated").select(
-        F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, _row_id() == F.col("__bad"), "left_anti")
+def _hits(shared):
+    """Task function: the texts that one block hits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = _kept(shared)
+        for batch in batches:
+            out = []
+            for digest, text in zip(*(batch.column(c).to_pylist() for c in ("digest", "text"))):
+                n, ranges, ids = scan(text, a)
+                if ranges:
+                    hit = merge(ranges)
+                    out.append((digest, n, [{"first": lo, "last": hi, **at} for (lo, hi), at in zip(hit, offsets(text, hit))], sorted(ids)))
+            types = (pa.string(), pa.int64(), _ARROW_HITS, pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)],
+                                             names=["digest", "n_words", "ranges", "ids"])
+    return run
 
 
-def _row_id():
-    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hits of several blocks made one verdict a text."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            start = {x["first"]: x["start"] for x in r["ranges"]}
+            end = {x["last"]: x["end"] for x in r["ranges"]}
+            hit = merge([(x["first"], x["last"]) for x in r["ranges"]])
+            out.append((r["digest"], r["n_words"], *_summary(r["n_words"], hit, set(r["ids"])),
+                        [{"start": start[lo], "end": end[hi]} for lo, hi in hit]))
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), _ARROW_SPANS)
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)],
+                                         names=["digest", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = pa.array([len(words(t)) for t in batch.column("text").to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), n], names=["doc_id", "digest", "n_words"])

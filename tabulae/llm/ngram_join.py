@@ -9,12 +9,16 @@ their sets' Jaccard similarity reaches the threshold.
    minima of their points.
 3. Points are dealt to cells by size band and by the shingles that come first
    in one fixed order, as many as a linked pair must share one of.  A cell is
-   a bounded number of points, indexed by a bulk-loaded R-tree: two boxes are
-   opened only if the summed minima of their upper corners allow a link, and
-   the same bound then holds point against point.
+   a bounded number of points, indexed by a bulk-loaded R-tree: from the roots
+   down two boxes are opened only if the summed minima of their upper corners
+   allow a link, and the same bound then holds point against point.
 4. Surviving pairs are verified on their whole texts.  First a spanning forest
    of each cell's closest pairs, so that a large group becomes one component
    without all its pairs; then every other surviving pair of two components.
+   A cell with more such pairs than DENSE a point gives its points instead:
+   their sets are compared block against block, and a spanning forest of the
+   links found there is verified.  So no step writes more than a fixed number
+   of pairs a point.
 5. Components of the links give every document its smallest reachable doc_id.
 6. Links within a component are counted block by block: each two chunks of its
    classes meet in one block, which gives a count a class and not the pairs.
@@ -37,12 +41,14 @@ N = 3                    # words in a shingle, unless given
 NUM, DEN = 90, 100       # threshold, unless given: DEN * intersection >= NUM * union
 GROUPS = 256             # coordinates of a point
 CELL = 2048              # points of one cell, about
+DENSE = 8                # pairs a point of a cell, of more its points are compared in blocks
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20   # classes and shingles of one chunk of a component, about
 SLAB, SPARSE, PAIRS = 2048, 256, 1 << 21   # shingles multiplied out at a time; of how small a share of the pairs one is not; pairs counted at a time
-LEAF = 32                # points of one R-tree leaf
+LEAF, FAN = 32, 8        # points of one R-tree leaf, boxes of one inner node
 COMMON_DOCS, COMMON_IN = 16384, 3   # a shingle in so many of a sample of so many is common
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U64 = np.uint64
+FOUND = "a long, b long, cell string, side int"
 FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, point binary, keys array<long>"
 
 
@@ -191,14 +197,25 @@ need = RULE.need
 
 
 class RTree:
-    """Points packed into leaves, leaves into nodes, by size and then by the
-    coordinate of widest spread in each slice (sort-tile-recursive loading)."""
+    """Points packed into leaves by size and then by the coordinate of widest
+    spread in each slice (sort-tile-recursive loading); FAN neighbours make a
+    node of the level above, up to one root.
+
+    A level is its boxes: upper corners, least sizes, largest sizes.
+    """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        if len(points) <= LEAF:                    # one leaf
-            self.order, self.points, self.sizes, self.starts = np.arange(len(points)), points, sizes, np.zeros(1, np.int64)
-            self.corner, self.low, self.high = points.max(0)[None], sizes.min(keepdims=True), sizes.max(keepdims=True)
-            return
+        self.order = self._tiled(points, sizes) if len(points) > LEAF else np.arange(len(points))
+        self.points, self.sizes = points[self.order], sizes[self.order]
+        self.levels, box, fan = [], (self.points, self.sizes, self.sizes), LEAF
+        while not self.levels or len(box[0]) > 1:
+            starts = np.arange(0, len(box[0]), fan)
+            box = tuple(f.reduceat(x, starts) for f, x in zip((np.maximum, np.minimum, np.maximum), box))
+            self.levels.append(box)
+            fan = FAN
+
+    @staticmethod
+    def _tiled(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         by_size = np.argsort(sizes, kind="stable")
         tile = LEAF * max(1, int(np.ceil(np.sqrt(len(points) / LEAF))))
         order = []
@@ -206,37 +223,50 @@ class RTree:
             part = by_size[lo:lo + tile]
             axis = int(points[part].var(0).argmax())
             order.append(part[np.argsort(points[part, axis], kind="stable")])
-        self.order = np.concatenate(order)
-        self.points, self.sizes = points[self.order], sizes[self.order]
-        self.starts = np.arange(0, len(points), LEAF)
-        self.corner = np.maximum.reduceat(self.points, self.starts)        # upper corners of the leaves
-        self.low = np.minimum.reduceat(self.sizes, self.starts)
-        self.high = np.maximum.reduceat(self.sizes, self.starts)
+        return np.concatenate(order)
+
+    def boxes(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Boxes of a level; a lower tree's root stands for the levels it has not."""
+        return self.levels[min(level, len(self.levels) - 1)]
+
+    def below(self, level: int, at: np.ndarray) -> np.ndarray:
+        """Numbers of the boxes of ``level`` in each box ``at`` of the level above, one row each (some past the end)."""
+        return at[:, None] if level + 1 >= len(self.levels) else at[:, None] * FAN + np.arange(FAN)
+
+    def leaf_pairs(self, other: "RTree", rule: Rule) -> Iterator[tuple[int, int]]:
+        """Leaves that may hold a pair, found from the roots down."""
+        top = max(len(self.levels), len(other.levels)) - 1
+        a = b = np.zeros(1, np.int64)
+        for level in range(top, -1, -1):
+            (corner, low, high), (corner2, low2, high2) = self.boxes(level), other.boxes(level)
+            if level < top:
+                i, j = self.below(level, a), other.below(level, b)
+                shape = (len(a), i.shape[1], j.shape[1])
+                a, b = np.broadcast_to(i[:, :, None], shape).ravel(), np.broadcast_to(j[:, None, :], shape).ravel()
+                there = (a < len(low)) & (b < len(low2)) & ((a <= b) if other is self else True)
+                a, b = a[there], b[there]
+            # Least need of a pair of the two boxes, and sizes that can meet at all.
+            fits = (rule.den * high[a] >= rule.num * low2[b]) & (rule.den * high2[b] >= rule.num * low[a])
+            a, b = a[fits], b[fits]
+            fits = np.minimum(corner[a], corner2[b]).sum(1) >= rule.need(low[a], low2[b])
+            a, b = a[fits], b[fits]
+        return zip(a.tolist(), b.tolist())
 
     def pairs(self, other: "RTree", rule: Rule = RULE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(places here, places in ``other``, bounds) of the pairs that may link.
 
         A tree against itself gives each pair once.
         """
-        own = other is self
-        for a in range(len(self.starts)):
-            bound = np.minimum(self.corner[a], other.corner).sum(1)
-            # Least need of a pair of the two boxes, and sizes that can meet at all.
-            fits = (bound >= rule.need(self.low[a], other.low)) & (rule.den * self.high[a] >= rule.num * other.low) & (rule.den * other.high >= rule.num * self.low[a])
-            if own:
-                fits[:a] = False
-            s = slice(self.starts[a], self.starts[a] + LEAF)
-            p, n = self.points[s], self.sizes[s]
-            for b in np.flatnonzero(fits):
-                t = slice(other.starts[b], other.starts[b] + LEAF)
-                q, m = other.points[t], other.sizes[t]
-                least = np.minimum(p[:, None, :], q[None, :, :]).sum(2)
-                ok = least >= rule.need(n[:, None], m[None, :])
-                if own and a == b:
-                    ok &= np.arange(len(n))[:, None] < np.arange(len(m))[None, :]
-                i, j = np.nonzero(ok)
-                if len(i):
-                    yield self.order[i + s.start], other.order[j + t.start], least[i, j]
+        for a, b in self.leaf_pairs(other, rule):
+            s, t = slice(a * LEAF, (a + 1) * LEAF), slice(b * LEAF, (b + 1) * LEAF)
+            n, m = self.sizes[s], other.sizes[t]
+            least = np.minimum(self.points[s][:, None, :], other.points[t][None, :, :]).sum(2)
+            ok = least >= rule.need(n[:, None], m[None, :])
+            if other is self and a == b:
+                ok &= np.arange(len(n))[:, None] < np.arange(len(m))[None, :]
+            i, j = np.nonzero(ok)
+            if len(i):
+                yield self.order[i + s.start], other.order[j + t.start], least[i, j]
 
 
 def forest(n: int, i: np.ndarray, j: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
@@ -259,27 +289,33 @@ def forest(n: int, i: np.ndarray, j: np.ndarray, near: np.ndarray) -> list[tuple
 
 
 def cell_pairs(reps: np.ndarray, sizes: np.ndarray, points: np.ndarray, chunks: np.ndarray,
-               cell_a: int, cell_b: int, comps: np.ndarray | None = None, rule: Rule = RULE) -> list[tuple[int, int]]:
-    """Pairs of one cell that may link, lower class first.
+               cell_a: int, cell_b: int, comps: np.ndarray | None = None, rule: Rule = RULE) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(pairs of one cell that may link, lower class first; places to compare in blocks).
 
     Without ``comps`` a spanning forest of them; with ``comps`` every pair of
-    two components.
+    two components, or the places of those points if the pairs are many.
     """
+    none = np.zeros(0, np.int64)
     places = [np.flatnonzero(chunks == c) for c in ((cell_a,) if cell_a == cell_b else (cell_a, cell_b))]
     if not all(map(len, places)):
-        return []
+        return [], none
     trees = [RTree(points[at], sizes[at]) for at in places]
-    found = [(places[0][i], places[-1][j], least) for i, j, least in trees[0].pairs(trees[-1], rule)]
-    if not found:
-        return []
+    found = []
+    for x, y, least in trees[0].pairs(trees[-1], rule):
+        x, y = places[0][x], places[-1][y]
+        if comps is not None:
+            apart = comps[x] != comps[y]
+            x, y, least = x[apart], y[apart], least[apart]
+        found.append((x, y, least))
+    if not sum(len(x) for x, _, _ in found):
+        return [], none
     i, j, least = (np.concatenate(x) for x in zip(*found))
-    if comps is not None:
-        apart = comps[i] != comps[j]
-        i, j = i[apart], j[apart]
-    else:
+    if comps is None:
         edges = forest(len(reps), i, j, least / (sizes[i] + sizes[j] - least))
         i, j = np.array(edges, np.int64).T
-    return list(zip(np.minimum(reps[i], reps[j]).tolist(), np.maximum(reps[i], reps[j]).tolist()))
+    elif len(i) > DENSE * len(reps):
+        return [], np.union1d(i, j)
+    return list(zip(np.minimum(reps[i], reps[j]).tolist(), np.maximum(reps[i], reps[j]).tolist())), none
 
 
 def _cells(rule: Rule):
@@ -295,12 +331,19 @@ def _cells(rule: Rule):
             ends = _ends(held)
             if len(ends) > 1:             # the last cell may go on in the next batch
                 done, held = held.slice(0, ends[-2]), held.slice(ends[-2])
-                yield _pairs(_of_cells(done, rule))
+                yield _found(*_of_cells(done, rule))
         if held is not None and held.num_rows:
-            yield _pairs(_of_cells(held, rule))
+            yield _found(*_of_cells(held, rule))
     return run
 
 
+def _found(pairs: list[tuple[int, int]], dense: list[tuple[int, int, str, int]]) -> pa.RecordBatch:
+    """FOUND: pairs (a, b) without a cell, then points (rep, comp, cell, side) of dense cells."""
+    rows = [(a, b, None, None) for a, b in pairs] + dense
+    types = (pa.int64(), pa.int64(), pa.string(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["a", "b", "cell", "side"])
+
+
 def _ends(table: pa.Table) -> np.ndarray:
     """Row after the last of each cell."""
     ids = [table.column(c).to_numpy() for c in ("key", "band", "cell_a", "cell_b")]
@@ -310,14 +353,16 @@ def _ends(table: pa.Table) -> np.ndarray:
     return np.append(np.flatnonzero(new) + 1, table.num_rows)
 
 
-def _of_cells(table: pa.Table, rule: Rule) -> list[tuple[int, int]]:
+def _of_cells(table: pa.Table, rule: Rule) -> tuple[list[tuple[int, int]], list[tuple[int, int, str, int]]]:
     ends = _ends(table)
     starts = np.append(0, ends[:-1])
     rep, n, chunk = (table.column(c).to_numpy().astype(np.int64) for c in ("rep", "n", "chunk"))
     a, b = (table.column(c).to_numpy() for c in ("cell_a", "cell_b"))
     comp = table.column("comp").to_numpy() if "comp" in table.column_names else None
     raw = table.column("point").to_pylist()
+    key, band = (table.column(c).to_numpy() for c in ("key", "band"))
     out: list[tuple[int, int]] = []
+    dense: list[tuple[int, int, str, int]] = []
     two = starts[(ends - starts == 2) & (a[starts] == b[starts])]
     for lo in range(0, len(two), 4096):
         x = two[lo:lo + 4096]
@@ -327,9 +372,12 @@ def _of_cells(table: pa.Table, rule: Rule) -> list[tuple[int, int]]:
     for lo, hi in zip(starts, ends):
         if hi - lo > 2 or hi - lo == 2 and a[lo] != b[lo]:
             order = lo + np.argsort(rep[lo:hi], kind="stable")
-            out += cell_pairs(rep[order], n[order], points_of([raw[i] for i in order]), chunk[order],
-                              a[lo], b[lo], None if comp is None else comp[order], rule)
-    return out
+            pairs, many = cell_pairs(rep[order], n[order], points_of([raw[i] for i in order]), chunk[order],
+                                     a[lo], b[lo], None if comp is None else comp[order], rule)
+            out += pairs
+            at, cell = order[many], f"{key[lo]}:{band[lo]}:{a[lo]}:{b[lo]}"
+            dense += [(r, c, cell, int(s)) for r, c, s in zip(rep[at].tolist(), comp[at].tolist() if len(at) else (), chunk[at] != a[lo])]
+    return out, dense
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -337,14 +385,14 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def candidates(cells: DataFrame, points: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """Distinct candidate pairs (a, b) of all cells.
+    """FOUND: distinct candidate pairs (a, b) of all cells, and the points of dense cells.
 
     ``points``: rep, n, point; with a column comp, every pair of two
-    components, else a spanning forest of each cell.
+    components, else a spanning forest of each cell (and no cell is dense).
     """
     at = ["key", "band", "cell_a", "cell_b"]
     dealt = cells.join(points, "rep").repartition(*at).sortWithinPartitions(*at)
-    return dealt.mapInArrow(_cells(rule), "a long, b long").distinct()
+    return dealt.mapInArrow(_cells(rule), FOUND).distinct()
 
 
 # -- verification and components ----------------------------------------------------------
@@ -472,6 +520,43 @@ def link_counts(comps: DataFrame, links: DataFrame, texts: DataFrame, rule: Rule
     return counted.unionByName(pairs.withColumn("n_links", F.lit(1).cast("long"))).groupBy("rep").agg(F.sum("n_links").alias("n_links"))
 
 
+# -- dense cells ---------------------------------------------------------------------------
+
+def _dense_block(rule: Rule):
+    known = Hashed()
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, comp, part = (table.column(c).to_numpy() for c in ("rep", "comp", "part"))
+        a, b = table.column("block_a")[0].as_py(), table.column("block_b")[0].as_py()
+        sets = [hashes(t, known, rule.n) for t in table.column("text").to_pylist()]
+        ia, ib = np.flatnonzero(part == a), np.flatnonzero(part == b)
+        size = np.array([len(x) for x in sets], np.int64)
+        linked = rule.links(overlaps([sets[i] for i in ia], [sets[i] for i in ib]), size[ia][:, None], size[ib][None, :])
+        linked &= comp[ia][:, None] != comp[ib][None, :]
+        i, j = np.nonzero(np.triu(linked) if a == b else linked)
+        edges = forest(len(rep), ia[i], ib[j], np.ones(len(i), np.float32)) if len(i) else []
+        return pa.table(_pairs([(min(rep[x], rep[y]), max(rep[x], rep[y])) for x, y in edges]))
+    return run
+
+
+def dense_pairs(dense: DataFrame, sizes: DataFrame, texts: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """(a, b): a spanning forest of the links of two components in each block of each dense cell.
+
+    ``dense``: rep, comp, cell, side; ``sizes``: rep, n; ``texts``: rep, text.
+    A cell (or each of its two sides) is cut into parts of a bounded number of
+    classes and shingles, and each two parts that can meet are a block.
+    """
+    sized = dense.join(sizes, "rep")
+    by_side = sized.groupBy("cell", "side").agg(F.count("*").alias("members"), F.sum(F.col("n").cast("long")).alias("total"))
+    parts = by_side.groupBy("cell").agg(F.max("side").alias("two"), F.max(F.greatest(
+        F.ceil(F.col("members") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))).cast("int").alias("parts"))
+    own = sized.join(parts, "cell").withColumn("part", F.col("side") * F.col("parts") + F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    first = F.when((F.col("two") == 1) & (F.col("side") == 0), F.col("parts")).otherwise(0)      # the other side's, or one's own
+    met = own.withColumn("with", F.explode(F.sequence(first, first + F.col("parts") - 1))).select(
+        "rep", "comp", "cell", "part", F.least("part", "with").alias("block_a"), F.greatest("part", "with").alias("block_b"))
+    return met.join(texts, "rep").groupBy("cell", "block_a", "block_b").applyInArrow(_dense_block(rule), "a long, b long").distinct()
+
+
 # -- the operator ---------------------------------------------------------------------------
 
 def _cell_rows(classes: DataFrame, rule: Rule) -> DataFrame:
@@ -518,14 +603,17 @@ def join_documents(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN)
         F.first("point").alias("point"), F.first("keys").alias("keys")).withColumn("rep", F.monotonically_increasing_id()), "classes")
     cells = written(_cell_rows(classes, rule), "cells")
     points = classes.select("rep", "n", "point")
-    pairs = written(candidates(cells, points, rule), "pairs")
+    pairs = written(candidates(cells, points, rule).select("a", "b"), "pairs")
     # Every class with a partner in a cell is in that cell's forest, so these texts do for both rounds.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes, "rep").select("rep", "own.doc_id", "own.text_hash")
     texts = written(rows.join(wanted, ["doc_id", "text_hash"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
     first = written(verified(pairs, texts, rule), "links")
     comps = texts.select("rep").join(components(first).withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", F.coalesce("comp", "rep").alias("comp"))
-    links = first.unionByName(written(verified(candidates(cells, points.join(comps, "rep"), rule), texts, rule), "links"))
+    apart = written(candidates(cells, points.join(comps, "rep"), rule), "pairs")
+    dense = apart.where("cell is not null").select(F.col("a").alias("rep"), F.col("b").alias("comp"), "cell", "side")
+    more = apart.where("cell is null").select("a", "b").unionByName(dense_pairs(dense, points.select("rep", "n"), texts, rule)).distinct()
+    links = first.unionByName(written(verified(more, texts, rule), "links"))
     # Rows of one doc_id with different sets are one document: their classes meet.
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("d1"), F.max("digest").alias("d2")).where("d1 != d2").select("doc_id")
     met = usable.join(several, "doc_id", "left_semi").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")

@@ -82,6 +82,30 @@ def test_decontamination_in_blocks_is_the_same(spark, docs, monkeypatch):
     assert Counter(map(str, decontaminate.find_contamination(docs, bench).collect())) == whole
 
 
+def test_contaminated_rows_are_dropped_by_their_own_text(spark, monkeypatch):
+    passage = " ".join(f"exam{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, passage), (2, "another " + passage.replace("exam", "quiz")), (3, None)], "item_id long, text string")
+    rows = [(1, passage, {"a": 1}), (1, "clean words", {"b": 2}), (None, passage, None), (None, "clean words", None), (2, None, None), (3, "", None),
+            (4, "so " + passage.replace("exam", "Quiz") + " it is", None), (4, "EXAM0 exam1", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest map<string,int>")
+    want = Counter(str(r) for r in rows if "exam5" not in (r[1] or "") and "Quiz5" not in (r[1] or ""))
+    for size in (decontaminate.BLOCK_BYTES, 1):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        left = decontaminate.drop_contaminated(docs, bench)
+        assert left.columns == docs.columns and Counter(str(tuple(r)) for r in left.collect()) == want
+        assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0
+    assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_automaton_takes_a_node_a_word(spark):
+    r = np.random.default_rng(5)
+    text = " ".join("".join(map(chr, r.integers(97, 123, 6))) for _ in range(20_000))
+    a = decontaminate.automaton([(1, text)])
+    stats = a.found.get_stats()
+    assert stats["nodes_count"] <= decontaminate.WINDOW * 20_000 + 1 and stats["total_size"] < 200 * len(text)
+    assert decontaminate.scan("x " + text.upper(), a) == (20_001, [(k + 1, k + 13) for k in range(20_000 - 12)], {"1"})
+
+
 def test_quality_rules_equal_brute_force(docs, texts):
     def brute(t):
         t = t or ""
@@ -293,7 +317,7 @@ def test_points_hold_large_counts():
     c = np.full(ngram_join.GROUPS, 20_000_000 // ngram_join.GROUPS)
     cell = {"key": [1] * 3, "band": [1] * 3, "cell_a": [0] * 3, "cell_b": [0] * 3, "chunk": [0] * 3, "rep": [1, 2, 3],
             "n": pa.array([20_000_000] * 2 + [15_000_000], pa.int32()), "point": [ngram_join.packed(x) for x in (c, c, c * 3 // 4)]}
-    assert ngram_join._of_cells(pa.table(cell), ngram_join.RULE) == [(1, 2)]
+    assert ngram_join._of_cells(pa.table(cell), ngram_join.RULE) == ([(1, 2)], [])
 
 
 def test_rtree_finds_every_pair_within_the_bound():
@@ -306,6 +330,13 @@ def test_rtree_finds_every_pair_within_the_bound():
     least = np.minimum(points[:, None], points[None]).sum(2)
     want = {(a, b) for a in range(240) for b in range(a + 1, 240) if least[a, b] >= ngram_join.need(sizes[a], sizes[b]) and 100 * min(sizes[a], sizes[b]) >= 90 * max(sizes[a], sizes[b])}
     assert want and want <= got
+    assert len(tree.levels) == 2 and len(tree.levels[-1][0]) == 1
+    few = ngram_join.RTree(points[:20], sizes[:20])      # a tree of another height
+    got = {(a, b) for i, j, _ in few.pairs(tree) for a, b in zip(i.tolist(), j.tolist())}
+    assert {(a, b) for a, b in want if a < 20} | {(b, a) for a, b in want if b < 20} <= got
+    many = np.concatenate([points] * 10)
+    deep = ngram_join.RTree(many, many.sum(1))
+    assert len(deep.levels) == 4 and len({(a, b) for i, j, _ in few.pairs(deep) for a, b in zip(i.tolist(), j.tolist())}) >= 10 * len(got)
 
 
 def test_shards_are_even_and_gapless(docs, texts):
@@ -500,3 +531,45 @@ def test_language_needs_a_letter(spark):
     rows = spark.createDataFrame([(1, "²³½ 12 -"), (2, "ab cd")], "doc_id long, text string")
     got = language.identify_languages(rows, language.fit([("xx", "ab cd ef"), ("yy", "uu vv ww")]))
     assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "und", 2: "xx"}
+
+
+def test_documents_just_below_the_bound_give_no_pairs(spark, monkeypatch):
+    """A template's pages, none of which links: points are written, not pairs; those that do link are found."""
+    r = np.random.default_rng(3)
+    template = [f"t{i}" for i in range(400)]
+
+    def page(k, every):      # one word in ``every`` is the page's own
+        return " ".join(f"p{k}x{i}" if i % every == 7 else w for i, w in enumerate(template))
+
+    texts = [page(k, 50) for k in range(60)]
+    texts += [t.replace("t390 ", f"z{k} ") for k, t in enumerate(texts[:20])]      # near copies of a third of them
+    sets = [(k, ngram_join.shingles(t)) for k, t in enumerate(texts)]
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = Counter()
+    for i, a in sets:
+        for j, b in sets[:i]:
+            if 100 * len(a & b) >= 90 * len(a | b):
+                links[i] += 1
+                links[j] += 1
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    assert sum(links.values()) == 40
+    want = Counter((k, len(s), root(k), links[k]) for k, s in sets)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    dealt = []
+    plain = ngram_join.candidates
+    monkeypatch.setattr(ngram_join, "candidates", lambda *x: dealt.append(plain(*x)) or dealt[-1])
+    for cell, block, dense in ((2048, 1024, 8), (2048, 7, 0), (16, 7, 0)):
+        monkeypatch.setattr(ngram_join, "CELL", cell)
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "DENSE", dense)
+        dealt.clear()
+        assert Counter(tuple(x) for x in ngram_join.join_documents(df).collect()) == want
+        assert dealt[1].where("cell is not null").count() > 0
+        assert dealt[1].where("cell is null").count() <= 8 * len(texts)

@@ -1,8 +1,7 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 The normalised windows of the benchmark's questions and answers form one
-automaton over word numbers, at most WINDOW nodes a window; each normalised
-text is scanned once, and the hits are mapped back to character offsets of the
+automaton over word numbers, a few signs a word; each normalised text is scanned once, and the hits are mapped back to character offsets of the
 original.  A worker builds the automaton once and keeps it for all its tasks.
 """
 
@@ -11,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import ahocorasick
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tabulae.llm.common import written
 
 WINDOW = 13
-BLOCK_BYTES = 4_000_000   # benchmark text per automaton: bounds what a worker holds
+BASE = 64                 # signs a place of a word's number: the automaton looks through a node's children one by one
+BLOCK_BYTES = 2_000_000   # benchmark text per automaton: bounds what a worker holds
 # Byte table: A-Z to a-z, digits, letters and bytes over 0x7F stay, the rest become spaces.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -45,9 +46,13 @@ def windows(text: str | None) -> set[tuple[bytes, ...]]:
 
 
 class Windows(NamedTuple):
-    """Word numbers (from 1) and the automaton over them; its values are (words in the window, ids of the items)."""
+    """Signs of each word, how many a word has, and the automaton over them; its values are (words in the window, ids of the items).
 
-    number: dict
+    Every place of a word has signs of its own, so no match begins within a word.
+    """
+
+    signs: dict
+    width: int
     found: ahocorasick.Automaton | None
 
 
@@ -56,13 +61,18 @@ def automaton(items: list[tuple]) -> Windows:
     for item, text in items:
         for w in windows(text):
             owners.setdefault(w, set()).add(str(item))
-    number: dict[bytes, int] = {}
-    a = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    vocabulary = sorted({x for w in owners for x in w})
+    width = 1
+    while BASE ** width < len(vocabulary):
+        width += 1
+    signs = {x: "".join(chr(1 + BASE * k + n // BASE ** k % BASE) for k in range(width)) for n, x in enumerate(vocabulary)}
+    if not owners:
+        return Windows(signs, width, None)
+    a = ahocorasick.Automaton()
     for w, ids in owners.items():
-        a.add_word(tuple(number.setdefault(x, len(number) + 1) for x in w), (len(w), tuple(ids)))
-    if owners:
-        a.make_automaton()
-    return Windows(number, a if owners else None)
+        a.add_word("".join(map(signs.__getitem__, w)), (len(w), tuple(ids)))
+    a.make_automaton()
+    return Windows(signs, width, a)
 
 
 def scan(text: str | None, a: Windows) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -71,9 +81,9 @@ def scan(text: str | None, a: Windows) -> tuple[int, list[tuple[int, int]], set[
     ranges: list[tuple[int, int]] = []
     ids: set[str] = set()
     if w and a.found is not None:
-        number = a.number.get
-        for end, (n, own) in a.found.iter(tuple(number(x, 0) for x in w)):
-            ranges.append((end - n + 1, end))
+        for end, (n, own) in a.found.iter("".join(map(a.signs.get, w, repeat("\0" * a.width)))):
+            last = end // a.width
+            ranges.append((last - n + 1, last))
             ids.update(own)
     return len(w), ranges, ids
 

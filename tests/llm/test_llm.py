@@ -97,12 +97,12 @@ def test_contaminated_rows_are_dropped_by_their_own_text(spark, monkeypatch):
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
 
 
-def test_automaton_takes_a_node_a_word(spark):
+def test_automaton_takes_few_nodes_a_word():
     r = np.random.default_rng(5)
     text = " ".join("".join(map(chr, r.integers(97, 123, 6))) for _ in range(20_000))
     a = decontaminate.automaton([(1, text)])
     stats = a.found.get_stats()
-    assert stats["nodes_count"] <= decontaminate.WINDOW * 20_000 + 1 and stats["total_size"] < 200 * len(text)
+    assert a.width == 3 and stats["nodes_count"] <= 3 * decontaminate.WINDOW * 20_000 + 1 and stats["total_size"] < 250 * len(text)
     assert decontaminate.scan("x " + text.upper(), a) == (20_001, [(k + 1, k + 13) for k in range(20_000 - 12)], {"1"})
 
 

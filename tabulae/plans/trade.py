@@ -110,7 +110,7 @@ def flow(raw_files: list[DataFrame], mun: DataFrame, pais: DataFrame, prod: Data
 
 def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
         partition_by: list[str] | None = None, fact_sep: str = ",", aux_sep: str = ",",
-        encoding: str = "UTF-8", compat: bool = False) -> dict[str, str]:
+        encoding: str = "UTF-8", compat: bool = False, repeated: tuple[str, ...] = ()) -> dict[str, str]:
     """``raw_root/mun/*EXP*|*IMP*`` facts + ``raw_root/aux_tables`` lookups.
 
     ``partition_by=["ano"]`` lays the flows out by year, so readers that
@@ -118,7 +118,15 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
     real CSV quoting, so the portal's own ``;``-separated quoted files work
     as they are (``fact_sep=";"``), with no rewriting step.  ``compat=True``
     publishes the measures as ``int`` (the earlier type).
+
+    A lookup key that comes more than once is an error, but for the tables
+    named in ``repeated`` (``CO_MUN``, ``CO_PAIS``, ``SH4``): there a fact is
+    published once for each of its key's rows, as in any join.
     """
+    unknown = set(repeated) - {"CO_MUN", "CO_PAIS", "SH4"}
+    if unknown:
+        raise ValueError(f"unknown lookup keys: {sorted(unknown)}")
+
     def lookup_file(name: str, cols: list[str]) -> DataFrame:
         return scan_by_header(spark, f"{raw_root}/aux_tables/{name}", cols, aux_sep, encoding)
 
@@ -137,7 +145,9 @@ def run(spark: SparkSession, raw_root: str, out_root: str, fmt: str = "parquet",
         path = scratch_path(spark, f"lookup-{key}")
         write_table(df, path)
         tables[key] = spark.read.schema(df.schema).parquet(path)
-    require_unique(tables)
+    single = {key: df for key, df in tables.items() if key not in repeated}
+    if single:
+        require_unique(single)
     prepared = prepare_lookups(tables)
     out = {}
     for flow_name, marker in S.TRADE_FLOWS.items():

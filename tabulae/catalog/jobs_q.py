@@ -15,7 +15,7 @@ from tabulae.schemas import string_schema
 from tabulae.session import scratch_path
 from tabulae.sinks import write_delimited
 from tabulae.sources.archives import pack_files, unpack_archives
-from tabulae.sources.delimited import scan_delimited
+from tabulae.sources.records import scan_records
 from tabulae.streaming.ingest import ingest_available
 
 Q: dict = {}
@@ -75,14 +75,20 @@ Q["tiered_match"] = (q_tiered_match, SQL_TIERED)
 
 
 # --- R6: documents -> raw files -> zip archives -> unpacked -> scanned ----------
+ARCHIVED_BYTES = 64 << 20      # text of one archive, about
+
+
 def q_unpack_archives(spark, sf):
     raw = scratch_path(spark, "to-pack")
-    write_delimited(_documents(spark, sf).repartition(4), raw)
+    docs = _documents(spark, sf)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    write_delimited(docs.repartition(max(4, -(-size // ARCHIVED_BYTES))), raw)
     archives = scratch_path(spark, "archives")
     pack_files(spark, raw, archives, suffix=".csv", member_suffix=".DOCSCSV")
     dest = scratch_path(spark, "unpacked")
     unpack_archives(spark, archives, dest)
-    return scan_delimited(spark, dest, DOC_COLS, file_glob="*DOCSCSV", recursive=True, multiline=True)
+    # a member of any size is read by many tasks
+    return scan_records(spark, dest, DOC_COLS, file_glob="*DOCSCSV", recursive=True)
 
 
 Q["unpack_archives"] = (q_unpack_archives, DOC_SQL)

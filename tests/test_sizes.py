@@ -5,8 +5,10 @@ import glob
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracle_compare import compare, duck
+from tabulae.catalog import jobs_q
 from tabulae.catalog.all import CATALOG
 from tabulae.plans import trade as T
 from test_golden_trade import make_raw
@@ -47,3 +49,26 @@ def test_repeated_lookup_keys_are_an_error_unless_named(spark, tmp):
     got = sorted((r.SH4, r.nome_sh4, r.VL_FOB) for r in spark.read.parquet(paths["exp"]).collect())
     assert got == [(101, "Cavalos", 5000000000), (201, "Carnes", 7), (201, "Carnes", 20),
                    (201, "Carnes frescas", 7), (201, "Carnes frescas", 20)]
+
+
+def test_archives_are_bounded_and_read_in_parts(spark, tmp, monkeypatch):
+    """A larger table makes more archives, not larger ones, and a large member is read by many tasks."""
+    texts = [(k, None if k % 50 == 3 else f'line {k} "q";\nmore ' + "x" * 4000, "en", "web", 9) for k in range(300)]
+    tables(spark, tmp, documents=("doc_id long, text string, lang string, source string, n_chars long", texts))
+    packed, plain = [], jobs_q.pack_files
+    monkeypatch.setattr(jobs_q, "pack_files", lambda *x, **k: packed.append(plain(*x, **k)) or packed[-1])
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    try:
+        query, sql = jobs_q.Q["unpack_archives"]
+        df = query(spark, str(tmp))
+        assert packed[0].count() == 4
+        parts = df.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
+        assert len(parts) > 8, parts
+        ok, msg = compare(df, duck(str(tmp)), sql)
+        assert ok, msg
+        monkeypatch.setattr(jobs_q, "ARCHIVED_BYTES", 100_000)
+        query(spark, str(tmp))
+        assert packed[1].count() == 12
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)

@@ -5,15 +5,14 @@ in U+0080..U+00FF; trade names are UTF-8 and add typographic signs and further
 Latin letters.  Both are a finite table; other scripts stay as they are and
 ``untransliterated`` counts them.  One-to-one letters go through a single
 ``translate`` (which also deletes characters mapped to nothing); the few
-one-to-many entries are plain ``replace`` calls, only evaluated on rows that
-are still non-ASCII after the ``translate``.  Everything stays inside whole-stage codegen; no Python
+one-to-many entries are a fold of ``replace``, only evaluated on rows that
+are still non-ASCII after the ``translate``.  Everything is native; no Python
 runs per row.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -99,7 +98,10 @@ def translit(c: Column) -> Column:
     ASCII form) can remain, so the ``replace`` chain runs only on those.
     """
     one = F.translate(c, TRANSLATE_FROM, TRANSLATE_TO)
-    many = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), MULTI.items(), one)
+    # a fold, not a chain of calls: written out for every column of a wide table, the chain makes
+    # methods that the JVM leaves interpreted for all rows, most of which never come here
+    spellings = F.array(*(F.struct(F.lit(k).alias("sign"), F.lit(v).alias("ascii")) for k, v in MULTI.items()))
+    many = F.reduce(spellings, one, lambda text, s: F.replace(text, s["sign"], s["ascii"]))
     return F.when(F.octet_length(c) == F.length(c), c).when(F.octet_length(one) == F.length(one), one).otherwise(many)
 
 

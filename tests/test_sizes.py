@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from oracle_compare import compare, duck
 from tabulae.catalog import jobs_q
 from tabulae.catalog.all import CATALOG
+from tabulae.functions.clean import clean_text
 from tabulae.plans import trade as T
 from test_golden_trade import make_raw
 
@@ -72,3 +73,14 @@ def test_archives_are_bounded_and_read_in_parts(spark, tmp, monkeypatch):
         assert packed[1].count() == 12
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
+def test_wide_tables_of_text_are_compiled(spark):
+    """A cleaned text column adds little code: methods above 8000 bytes run interpreted."""
+    df = spark.createDataFrame([("Œuvre № 5 “São” …", None)], "a string, b string")
+    names = [f"t{k}" for k in range(6)]
+    wide = df.select(*(F.concat("a", F.lit(n)).alias(n) for n in names)).select(*(clean_text(n).alias(n) for n in names))
+    assert wide.first()["t0"] == 'Oeuvre No 5 "sao" ...t0'
+    stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(wide._jdf.queryExecution().executedPlan())
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert all(x < 8000 for x in sizes), sizes

@@ -31,12 +31,11 @@ def address_words(text: Column) -> Column:
     plain = F.regexp_replace(F.upper(translit(F.coalesce(text, F.lit("")))), "[^0-9A-Z]+", " ")
     full = F.create_map(*(F.lit(x) for pair in ABBREVIATIONS.items() for x in pair))
 
-    def sounded(word: Column) -> Column:
-        for old, new in SOUNDS:
-            word = F.replace(word, F.lit(old), F.lit(new))
-        return word
-
     words = F.transform(F.split(plain, " "), lambda w: F.coalesce(F.try_element_at(full, w), w))
     words = F.flatten(F.transform(words, lambda w: F.split(w, " ")))
     kept = F.filter(words, lambda w: (w != "") & ~w.isin(*STOP_WORDS))
-    return F.array_sort(F.array_distinct(F.transform(kept, sounded)))
+    # no spelling holds a blank: replaced in all words at once
+    sounded = F.array_join(kept, " ")
+    for old, new in SOUNDS:
+        sounded = F.replace(sounded, F.lit(old), F.lit(new))
+    return F.array_sort(F.array_distinct(F.filter(F.split(sounded, " "), lambda w: w != "")))

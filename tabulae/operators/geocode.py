@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulae.functions.address import address_words
-from tabulae.operators.heavy import split_join
+from tabulae.operators.heavy import _parts, split_join
 from tabulae.operators.match import ADDRESS, EXACT_SCORE, MIN_SCORE, PRECISE
-from tabulae.session import stored
+from tabulae.session import parallelism, stored
 
 OUT = ("tier", "score")
 
@@ -39,14 +39,20 @@ def _set(key: Column) -> Column:
     return F.when(key == "", F.array().cast("array<string>")).otherwise(F.split(key, " "))
 
 
+def _spread(df: DataFrame) -> int:
+    """Tasks for rows that are few bytes and much work: by bytes alone Spark gives all of them to one task."""
+    return max(3 * parallelism(df.sparkSession), _parts(df))
+
+
 def _normal(df: DataFrame) -> DataFrame:
     """``df`` with place, street, quarter (sorted words, blank-joined) and code."""
-    def key(c: str) -> Column:
-        return F.array_join(address_words(F.col(c)), " ")
+    texts = F.transform(F.array("rua", "bairro", "municipio", "uf"), lambda x: F.array_join(address_words(x), " "))
+    df = df.repartition(_spread(df)).withColumn("__texts", texts)       # each part is taken apart once
 
-    place = F.when((key("municipio") != "") & (key("uf") != ""), F.concat_ws("|", key("uf"), key("municipio")))
+    street, quarter, city, state = (F.col("__texts")[i] for i in range(4))
+    place = F.when((city != "") & (state != ""), F.concat_ws("|", state, city))
     code = F.regexp_replace(F.coalesce(F.col("cep").cast("string"), F.lit("")), "[^0-9]", "")
-    return df.withColumns({"__place": place, "__street": key("rua"), "__quarter": key("bairro"), "__code": F.when(code != "", F.lpad(code, 8, "0"))})
+    return df.withColumns({"__place": place, "__street": street, "__quarter": quarter, "__code": F.when(code != "", F.lpad(code, 8, "0"))}).drop("__texts")
 
 
 def similar_sets(left: DataFrame, right: DataFrame, key: str, num: int, den: int) -> DataFrame:
@@ -67,10 +73,11 @@ def similar_sets(left: DataFrame, right: DataFrame, key: str, num: int, den: int
         # a partner shares at least num / (2 den - num) of the set
         must = F.expr(f"cast((size(__all) * {num} + {2 * den - num - 1}) div {2 * den - num} as int)")
         first = F.slice(F.transform("__all", lambda x: x["w"]), F.lit(1), F.size("__all") - must + 1)
-        return ranked.select("__place", F.col(key).alias(name), first.alias(f"{name}_pre")).withColumn("__word", F.explode(f"{name}_pre"))
+        rows = ranked.select("__place", F.col(key).alias(name), F.transform("__all", lambda x: x["w"]).alias(f"{name}_set"), first.alias(f"{name}_pre"))
+        return rows.withColumn("__word", F.explode(f"{name}_pre")).repartition(_spread(side), "__place", "__word")
 
     l, r = prefixes(left, "__l"), prefixes(right, "__r")
-    lw, rw = _set(F.col("__l")), _set(F.col("__r"))
+    lw, rw = F.col("__l_set"), F.col("__r_set")
     once = F.element_at(F.array_intersect("__l_pre", "__r_pre"), 1) == F.col("__word")      # a pair meets at its first shared word
     sizes = F.size(lw) + F.size(rw)
     fits = 2 * den * F.least(F.size(lw), F.size(rw)) >= num * sizes

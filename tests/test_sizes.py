@@ -11,6 +11,7 @@ from oracle_compare import compare, duck
 from tabulae.catalog import jobs_q
 from tabulae.catalog.all import CATALOG
 from tabulae.functions.clean import clean_text
+from tabulae.operators.geocode import similar_sets
 from tabulae.plans import trade as T
 from test_golden_trade import make_raw
 
@@ -75,6 +76,17 @@ def test_archives_are_bounded_and_read_in_parts(spark, tmp, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
+def test_addresses_of_few_bytes_are_scored_by_many_tasks(spark):
+    """Pairs are much work and few bytes: they are not all given to one task."""
+    rows = [("mg|x", f"RUA {chr(65 + k // 26)}{chr(65 + k % 26)}X W{k % 50}") for k in range(300)]
+    side = spark.createDataFrame(rows, "__place string, __street string")
+    pairs = similar_sets(side, side, "__street", 5, 10)
+    parts = pairs.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
+    assert len(parts) > 4, parts
+    sets = [set(t.split(" ")) for _, t in rows]
+    assert pairs.count() == sum(20 * len(a & b) >= 5 * (len(a) + len(b)) for a in sets for b in sets)
+
+
 def test_wide_tables_of_text_are_compiled(spark):
     """A cleaned text column adds little code: methods above 8000 bytes run interpreted."""
     df = spark.createDataFrame([("Œuvre № 5 “São” …", None)], "a string, b string")

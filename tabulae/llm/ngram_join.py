@@ -426,15 +426,17 @@ def components(edges: DataFrame) -> DataFrame:
     is a few aggregates over at most the number of edges, written down.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
+    mark = _mark(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))      # at most the edges; made distinct below
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             down.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         new = written(small, "edges")
-        if _mark(new) == _mark(edges):
+        before, mark = mark, _mark(new)
+        if mark == before:
             return new.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "node").unionByName(
                 new.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
         edges = new
